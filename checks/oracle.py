@@ -325,7 +325,7 @@ JOIN (SELECT patron_id, count(*) AS n_books FROM {pairs} GROUP BY patron_id) USI
 FROM (SELECT DISTINCT patron_id FROM {pairs}) u CROSS JOIN {catalog} c
 LEFT JOIN (SELECT p.patron_id, w.book_id, sum(p.weight * w.weight) AS dot FROM profile{n}{suffix} p JOIN {w} w USING (term) GROUP BY ALL) d
   ON d.patron_id = u.patron_id AND d.book_id = c.book_id
-LEFT JOIN (SELECT patron_id, sqrt(sum(weight * weight)) AS norm FROM profile{n}{suffix} GROUP BY patron_id) USING (patron_id)""",
+LEFT JOIN (SELECT patron_id, sqrt(sum(weight * weight)) AS norm FROM profile{n}{suffix} GROUP BY patron_id) l ON l.patron_id = u.patron_id""",
          f"profile{n}{suffix}", catalog)
 
 
@@ -512,7 +512,7 @@ psi_parts("psi_value", _long("events_day", ("value",), f"ts < TIMESTAMP '{SCORE_
 part("psi_rows", psi_result("psi"), "psi_bins", "psi_edges")
 part("psi_feat_rows", f"""SELECT feature, psi, CASE WHEN psi > 0.2 THEN 'CRITICAL' WHEN psi > 0.1 THEN 'WARNING' ELSE 'OK' END AS flag
 FROM ({psi_result('psi_feat', smoothing=0.0)})""", "psi_feat_bins", "psi_feat_edges")
-part("months", f"""SELECT month, {r('avg(psi)', 4)} AS overall_psi,
+part("months", f"""SELECT month, {r(r('avg(psi)', 9), 4)} AS overall_psi,
   datesub('day', TIMESTAMP '{DRIFT_SPLIT}', month) AS days_since_training
 FROM ({psi_result('psi_month', 'month')}) GROUP BY month""", "psi_month_bins", "psi_month_edges")
 part("scores", f"SELECT least(value / 500, 1.0::DOUBLE) AS score, ts < TIMESTAMP '{SCORE_SPLIT}' AS is_base FROM events")
@@ -721,7 +721,7 @@ USING (category)""", "activity"),
 FROM (SELECT coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE status = 'CRITICAL' AND kind <> 'prediction'), '') AS critical,
   coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE status = 'WARNING' AND kind = 'numeric'), '') AS warning,
   bool_or(status = 'CRITICAL' AND kind = 'prediction') AS kl_critical,
-  {r("avg(value) FILTER (WHERE kind = 'numeric')", 4)} AS overall_psi FROM report)""", "report"),
+  {r(r("avg(value) FILTER (WHERE kind = 'numeric')", 9), 4)} AS overall_psi FROM report)""", "report"),
         "feature_drift": w("SELECT * FROM psi_feat_rows", "psi_feat_rows"),
         "table_health": w("SELECT * FROM health", "health"),
         "health_score": w("SELECT * FROM health_row", "health_row"),
@@ -730,7 +730,7 @@ FROM (SELECT coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE st
         "system_status": w(f"""SELECT overall_psi, health_score, diversity_score,
   CASE WHEN overall_psi > 0.2 OR health_score < 0.7 OR diversity_score < 0.3 THEN 'CRITICAL'
     WHEN overall_psi > 0.1 OR health_score < 0.9 THEN 'WARNING' ELSE 'HEALTHY' END AS system_status, overall_psi > 0.2 AS retraining_recommended
-FROM (SELECT {r('avg(psi)', 4)} AS overall_psi FROM psi_feat_rows), (SELECT health_score FROM health_row),
+FROM (SELECT {r(r('avg(psi)', 9), 4)} AS overall_psi FROM psi_feat_rows), (SELECT health_score FROM health_row),
   (SELECT diversity_score FROM diversity_row)""", "psi_feat_rows", "health_row", "diversity_row"),
         "recommend_batch": w(f"""SELECT q.request_id, q.patron_id, CASE WHEN status = 'ok' AND rank IS NULL THEN 'not_found' ELSE status END AS status,
   CAST(rank AS INTEGER) AS rank, book_id, genre, {r('combined_score', 6)} AS combined_score

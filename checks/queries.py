@@ -42,7 +42,7 @@ def query(fn: Query) -> Query:
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     doubles = {n for n, t in df.dtypes if t in ("double", "float")}
-    return df.select(*[F.round(F.col(f"`{c}`"), digits).alias(c) if c in doubles else F.col(f"`{c}`") for c in df.columns])
+    return df.select(*[F.round(F.round(F.col(f"`{c}`"), 12), digits).alias(c) if c in doubles else F.col(f"`{c}`") for c in df.columns])
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -612,7 +612,7 @@ def _monthly_metrics(spark, d):
     current = loans.where(F.col("checkout_date") >= split).withColumn("month", cal.month_start(F.col("checkout_date")))
     by_month = drift.psi(profile, drift.to_long(current, NUMERIC, "month"), by=["month"])
     return by_month.groupBy("month").agg(
-        F.round(F.avg("psi"), 4).alias("overall_psi")
+        drift.mean_psi(F.col("psi")).alias("overall_psi")
     ).withColumn("days_since_training", cal.elapsed_days(F.col("month"), split))
 
 
@@ -792,7 +792,7 @@ def diversity_over_time(spark, d):
 
 @query
 def system_status(spark, d):
-    psi = _feature_drift(spark, d).agg(F.round(F.avg("psi"), 4)).scalar()
+    psi = _feature_drift(spark, d).agg(drift.mean_psi(F.col("psi"))).scalar()
     health = monitoring.health_score(_health(spark, d)).select("health_score").scalar()
     spread = monitoring.diversity(_popular_with_genre(spark, d)).select("diversity_score").scalar()
     return monitoring.system_status(psi, health, spread, spark.range(1))

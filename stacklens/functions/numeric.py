@@ -20,6 +20,11 @@ def steady_sum(value: Column) -> Column:
     return F.round(F.sum(value), 6)
 
 
+def steady_round(value: Column, digits: int) -> Column:
+    """Round a result of floating-point sums so that its order-dependent last bits cannot flip a digit."""
+    return F.round(F.round(value, 9), digits)
+
+
 def rank_score(value: Column) -> Column:
     """Score as used for ordering: equal scores must tie whatever the summation order."""
     return F.round(value, 9)

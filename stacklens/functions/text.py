@@ -31,12 +31,12 @@ def tokens(text: Column, stop_words: Iterable[str] | None = None) -> Column:
 def ngrams(words: Column, ngram_range: Sequence[int] = (1, 2)) -> Column:
     """All n-grams of the token array for n in the closed range."""
     low, high = ngram_range
-    parts = []
-    for n in range(low, high + 1):
+
+    def of_length(n: int) -> Column:
         if n == 1:
-            parts.append(words)
-            continue
-        last = F.size(words) - n
-        grams = F.transform(F.sequence(F.lit(1), last + 1), lambda i, n=n: F.array_join(F.slice(words, i, n), " "))
-        parts.append(F.when(last >= 0, grams).otherwise(F.array().cast("array<string>")))
-    return F.concat(*parts)
+            return words
+        starts = F.sequence(F.lit(1), F.size(words) - n + 1)
+        grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+        return F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*[of_length(n) for n in range(low, high + 1)])

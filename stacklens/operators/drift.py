@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stacklens.functions.numeric import chi2_upper_tail, clip
+from stacklens.functions.numeric import chi2_upper_tail, clip, steady_round
 from stacklens.operators.quantiles import exact_quantiles, value_counts
 
 # Thresholds and smoothing of the drift checks.
@@ -84,12 +84,16 @@ def psi(
         *by, "feature",
         F.round("raw", 4).alias("psi"),
         F.when(F.col("raw") < PSI_OK, "OK").when(F.col("raw") < PSI_CRITICAL, "WARNING").otherwise("CRITICAL").alias("status"),
-        F.round("mean", 4).alias("baseline_mean"),
-        F.round("current_mean", 4).alias("current_mean"),
-        F.round(F.col("current_mean") - F.col("mean"), 4).alias("mean_shift"),
+        steady_round(F.col("mean"), 4).alias("baseline_mean"),
+        steady_round(F.col("current_mean"), 4).alias("current_mean"),
+        steady_round(F.col("current_mean") - F.col("mean"), 4).alias("mean_shift"),
     )
 
 
+def mean_psi(values: Column) -> Column:
+    return steady_round(F.avg(values), 4)
+
+
 def kl_drift(scores: DataFrame, n_bins: int = 20) -> DataFrame:
     """One row: KL divergence of current from baseline scores over equal bins of [0, 1].
 
@@ -112,8 +116,8 @@ def kl_drift(scores: DataFrame, n_bins: int = 20) -> DataFrame:
     return one.select(
         F.round(raw, 4).alias("kl_divergence"),
         F.when(raw > KL_CRITICAL, "CRITICAL").when(raw > KL_WARNING, "WARNING").otherwise("OK").alias("status"),
-        F.round("mb", 4).alias("baseline_score_mean"), F.round("mc", 4).alias("current_score_mean"),
-        F.round("sb", 4).alias("baseline_score_std"), F.round("sc", 4).alias("current_score_std"),
+        steady_round(F.col("mb"), 4).alias("baseline_score_mean"), steady_round(F.col("mc"), 4).alias("current_score_mean"),
+        steady_round(F.col("sb"), 4).alias("baseline_score_std"), steady_round(F.col("sc"), 4).alias("current_score_std"),
     )
 
 
@@ -161,7 +165,7 @@ def chi2_drift(counts: DataFrame, scale: str = "counts") -> DataFrame:
     )
     with_p = tested.withColumn("p_raw", chi2_upper_tail(F.col("stat"), F.col("dof")))
     return with_p.select(
-        "feature", F.round("stat", 4).alias("chi2_statistic"), "dof", F.round("p_raw", 6).alias("p_value"),
+        "feature", steady_round(F.col("stat"), 4).alias("chi2_statistic"), "dof", steady_round(F.col("p_raw"), 6).alias("p_value"),
         (F.round("p_raw", 9) < CHI2_P_VALUE).alias("drift_detected"),
         F.when(F.round("p_raw", 9) < CHI2_P_VALUE, "CRITICAL").otherwise("OK").alias("status"),
     )
@@ -198,7 +202,7 @@ def drift_summary(rows: DataFrame, days_since_baseline: int = 0) -> DataFrame:
         named((status == "CRITICAL") & (kind != "prediction")).alias("critical"),
         named((status == "WARNING") & (kind == "numeric")).alias("warning"),
         F.coalesce(F.max((status == "CRITICAL") & (kind == "prediction")), F.lit(False)).alias("kl_critical"),
-        F.round(F.coalesce(F.avg(F.when(kind == "numeric", F.col("value"))), F.lit(0.0)), 4).alias("overall_psi"),
+        F.coalesce(mean_psi(F.when(kind == "numeric", F.col("value"))), F.lit(0.0)).alias("overall_psi"),
     )
     is_critical = (F.size("critical") > 0) | F.col("kl_critical") | F.lit(overdue)
     return one.select(

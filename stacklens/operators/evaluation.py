@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stacklens.functions.numeric import steady_round
+
 
 def split_by_hash(loans: DataFrame, train_pct: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Row-level split that does not depend on partitioning.
@@ -40,8 +42,8 @@ def precision_recall_at_k(recommendations: DataFrame, holdout: DataFrame, k: int
     """Mean over the holdout patrons of hits/k and hits/relevant."""
     return _hits(recommendations, holdout, k).agg(
         F.count(F.lit(1)).alias("n_patrons"),
-        F.round(F.avg(F.col("hits") / F.lit(float(k))), 6).alias("precision_at_k"),
-        F.round(F.avg(F.col("hits") / F.col("n_relevant")), 6).alias("recall_at_k"),
+        steady_round(F.avg(F.col("hits") / F.lit(float(k))), 6).alias("precision_at_k"),
+        steady_round(F.avg(F.col("hits") / F.col("n_relevant")), 6).alias("recall_at_k"),
     )
 
 
@@ -52,7 +54,7 @@ def ndcg_at_k(recommendations: DataFrame, holdout: DataFrame, k: int = 10) -> Da
         lambda acc, i: acc + F.lit(1.0) / F.log2(i + F.lit(1.0)),
     )
     return _hits(recommendations, holdout, k).agg(
-        F.count(F.lit(1)).alias("n_patrons"), F.round(F.avg(F.col("dcg") / ideal), 6).alias("ndcg_at_k")
+        F.count(F.lit(1)).alias("n_patrons"), steady_round(F.avg(F.col("dcg") / ideal), 6).alias("ndcg_at_k")
     )
 
 
