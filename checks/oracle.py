@@ -9,7 +9,7 @@ from stacklens.sources.testdata import DRIFT_SPLIT, GENRES, HOLDOUT_START, SCORE
 
 def r(expr: str, digits: int) -> str:
     """Round half up on the decimal value."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,{12 if digits > 4 else digits + 5})), {digits}) AS DOUBLE)"
 
 
 def pick(index: str, labels: list[str]) -> str:
@@ -595,6 +595,8 @@ def oracle_sql() -> dict[str, str]:
     terms50 = "books50_vocab"
     sql = {
         "load_loans": w("SELECT * FROM loans", "loans"),
+        "load_loans_csv": w("SELECT * FROM loans", "loans"),
+        "feature_etl": w("SELECT * FROM temporal JOIN behavioral USING (patron_id)", "temporal", "behavioral"),
         "load_pos": w("SELECT * FROM pos", "pos"),
         "load_activity": w("SELECT * FROM activity", "activity"),
         "stream_equals_batch": w("SELECT * FROM activity", "activity"),

@@ -13,12 +13,14 @@ from stacklens.operators import (
     requests, side_features, svd, temporal, tfidf, validation,
 )
 from stacklens.operators.interactions import interactions, matrix_stats, seen_pairs
+from stacklens.plans import feature_etl as etl
 from stacklens.plans import retraining
 from stacklens.plans.feature_etl import content_docs
 from stacklens.session import configure, cut_lineage, shared_dir
 from stacklens.functions import calendar as cal
 from stacklens.functions import text
 from stacklens.sources import testdata as td
+from stacklens.sources import readers
 from stacklens.sources.readers import parse_metadata
 from stacklens.streaming import activity as live
 from stacklens.streaming import metrics
@@ -57,6 +59,21 @@ def load_loans(spark, d):
     return td.loans(spark, d)
 
 
+@query
+def load_loans_csv(spark, d):
+    """All loans written as CSV to the shared folder and read by the CSV loader."""
+    path = scratch(spark, "loans-csv")
+    td.loans(spark, d).write.option("header", True).csv(path)
+    return readers.load_loans(spark, "csv", path)
+
+
+@query
+def feature_etl(spark, d):
+    """The whole daily job; the result is the master table it wrote."""
+    paths = etl.run(spark, td.loans(spark, d), td.pos(spark, d), td.activity(spark, d), scratch(spark, "etl"), "warn")
+    return spark.read.parquet(paths["master_features"])
+
+
 @query
 def load_pos(spark, d):
     return td.pos(spark, d)
