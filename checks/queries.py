@@ -305,7 +305,7 @@ def ngrams(spark, d):
 
 @query
 def tfidf_vocab(spark, d):
-    return tfidf.vocabulary(tfidf.term_counts(_docs(spark, d), "book_id", "text"), "book_id", 100)
+    return tfidf.vocabulary(_docs(spark, d), "book_id", "text", 100)
 
 
 @query
@@ -315,7 +315,7 @@ def tfidf_weights(spark, d):
 
 @query
 def tfidf_vocab_documents(spark, d):
-    return tfidf.vocabulary(tfidf.term_counts(_documents(spark, d), "doc_id", "text"), "doc_id", 500, min_df=2)
+    return tfidf.vocabulary(_documents(spark, d), "doc_id", "text", 500, min_df=2)
 
 
 @query
@@ -338,7 +338,7 @@ def _text_model(spark, d, max_features=200):
     """Catalog, vocabulary and weights, written once because several joins read them."""
     books = cut_lineage(_catalog(spark, d))
     vocab, weighted = tfidf.fit(content_docs(books), "book_id", "text", max_features)
-    return books, cut_lineage(vocab), cut_lineage(weighted)
+    return books, vocab, cut_lineage(weighted)
 
 
 @query
@@ -608,7 +608,7 @@ def _model_lists(spark, d):
     vocab, weighted = tfidf.fit(content_docs(books), "book_id", "text", 200)
     return {
         "popularity": ranking.popular_unseen(pairs, ranking.popularity_ranks(books), 10),
-        "tfidf": tfidf.recommend(pairs, books, cut_lineage(vocab), cut_lineage(weighted), 10),
+        "tfidf": tfidf.recommend(pairs, books, vocab, cut_lineage(weighted), 10),
         "embedding": embeddings.recommend(train, pairs, td.book_vectors(spark, d), 10),
         "als": als.fit(strengths, 20, 10).recommend(10, pairs),
         "svd": svd.fit(strengths, 20).recommend(10, pairs),

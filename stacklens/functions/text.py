@@ -28,15 +28,26 @@ def tokens(text: Column, stop_words: Iterable[str] | None = None) -> Column:
     return F.filter(found, lambda t: ~t.isin(*words)) if words else found
 
 
+def bound_once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def ngrams(words: Column, ngram_range: Sequence[int] = (1, 2)) -> Column:
     """All n-grams of the token array for n in the closed range."""
     low, high = ngram_range
 
-    def of_length(n: int) -> Column:
-        if n == 1:
-            return words
-        starts = F.sequence(F.lit(1), F.size(words) - n + 1)
-        grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-        return F.when(F.size(words) >= n, grams).otherwise(F.array().cast("array<string>"))
-
-    return F.concat(*[of_length(n) for n in range(low, high + 1)])
+    def build(tokens_once: Column) -> Column:
+        grams, found = tokens_once, []
+        for n in range(1, high + 1):
+            if n > 1:
+                # Each (n-1)-gram but the last meets the token that follows it.
+                count = F.greatest(F.size(tokens_once) - (n - 1), F.lit(0))
+                grams = F.zip_with(
+                    F.slice(grams, 1, count), F.slice(tokens_once, n, count), lambda a, b: F.concat(a, F.lit(" "), b)
+                )
+            if n >= low:
+                found.append(grams)
+        return F.concat(*found)
+
+    return bound_once(words, build)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stacklens.functions.numeric import first_max_label, ratio_or_zero, steady_sum
+from stacklens.functions.numeric import first_max_label, ratio_or_zero, steady_round, steady_sum
 from stacklens.schemas import TRANSACTION_TYPES
 
 MAX_GENRES = 500
@@ -62,7 +62,7 @@ def spending_features(pos: DataFrame) -> DataFrame:
         "patron_id",
         F.round(F.coalesce("spend", F.lit(0.0)), 2).alias("total_spend"),
         "total_pos_transactions",
-        F.round(F.when(n != 0, F.col("spend") / n), 2).alias("avg_transaction_value"),
+        steady_round(F.when(n != 0, F.col("spend") / n), 2).alias("avg_transaction_value"),
         F.round("largest", 2).alias("max_single_transaction"),
         *[F.round(f"spend_{t}", 2).alias(f"spend_{t}") for t in TRANSACTION_TYPES],
         F.coalesce("is_event_buyer", F.lit(0)).alias("is_event_buyer"),

@@ -19,7 +19,8 @@ from stacklens.session import shuffle_partitions
 
 QUERIES_PER_CHUNK = 8192
 ITEMS_PER_BLOCK = 32_768
-MIN_QUERIES_PER_CHUNK = 256
+MIN_QUERIES_PER_CHUNK = 128
+GROUPS_PER_TASK = 3
 
 
 def _slot(column: str, slots: int) -> Column:
@@ -82,18 +83,20 @@ def _kernel(k: int, cosine: bool, names: list[str]):
         found = []
         for start in range(0, len(query_ids), step):
             stop = min(start + step, len(query_ids))
-            s = np.round(queries[start:stop] @ items.T, 9)
+            s = queries[start:stop] @ items.T
             lo, hi = np.searchsorted(b_rows, (start, stop))
             s[b_rows[lo:hi] - start, b_cols[lo:hi]] = -np.inf
             limit = np.partition(s, s.shape[1] - keep, axis=1)[:, s.shape[1] - keep]
-            rows, cols = np.nonzero((s >= limit[:, None]) & np.isfinite(s))
-            order = np.lexsort((cols, -s[rows, cols], rows))
-            rows, cols = rows[order], cols[order]
+            # Whatever ties with the k-th score after rounding is at most 1e-9 below it.
+            limit = np.maximum(limit - 1e-9, np.finfo(float).min)
+            rows, cols = np.nonzero(s >= limit[:, None])
+            values = np.round(s[rows, cols], 9)
+            order = np.lexsort((cols, -values, rows))
+            rows, cols, values = rows[order], cols[order], values[order]
             first = np.searchsorted(rows, np.arange(stop - start))
             best = np.arange(len(rows)) - first[rows] < keep
-            rows, cols = rows[best], cols[best]
             found.append(pd.DataFrame({
-                names[0]: query_ids[start + rows], names[1]: item_ids[cols], "score": s[rows, cols] + 0.0,
+                names[0]: query_ids[start + rows[best]], names[1]: item_ids[cols[best]], "score": values[best] + 0.0,
             }))
         return pd.concat(found) if found else empty
 
@@ -122,8 +125,10 @@ def top_scores(
     n_queries = queries.select(query_key).count() if n_queries is None else n_queries
     n_items = items.select(item_key).count() if n_items is None else n_items
     blocks = max(1, math.ceil(n_items / ITEMS_PER_BLOCK))
-    spread = min(shuffle_partitions(spark), math.ceil(n_queries / MIN_QUERIES_PER_CHUNK))
+    spread = min(GROUPS_PER_TASK * shuffle_partitions(spark), math.ceil(n_queries / MIN_QUERIES_PER_CHUNK))
     chunks = max(1, math.ceil(n_queries / QUERIES_PER_CHUNK), math.ceil(spread / blocks))
+    # The work per byte is high, so the partition number is fixed and not left to size-based coalescing.
+    tasks = max(1, math.ceil(chunks * blocks / GROUPS_PER_TASK))
 
     left = queries.select(
         _slot(query_key, chunks).alias("chunk"),
@@ -141,6 +146,7 @@ def top_scores(
         _slot(item_key, blocks).alias("block"),
         F.col(item_key).alias("item"), *_vector_columns(items),
     )
+    left, right = (side.repartition(tasks, "chunk", "block") for side in (left, right))
     partial = left.groupBy("chunk", "block").cogroup(right.groupBy("chunk", "block")).applyInPandas(
         _kernel(k, cosine, [query_key, item_key]),
         T.StructType([

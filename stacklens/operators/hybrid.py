@@ -106,7 +106,7 @@ class HybridEngine:
         genre = F.col("genre")
         docs = self.catalog.select("book_id", F.concat_ws(" ", "book_title", genre, genre, genre).alias("text"))
         vocab, weighted = tfidf.fit(docs, "book_id", "text", max_features)
-        self.vocab, self.term_weights = cut_lineage(vocab), cut_lineage(weighted)
+        self.vocab, self.term_weights = vocab, cut_lineage(weighted)
         return self
 
     def _check(self) -> None:

@@ -8,29 +8,58 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stacklens.functions.numeric import rank_score
-from stacklens.functions.text import ngrams, tokens
+from stacklens.functions.text import bound_once, ngrams, tokens
 from stacklens.operators.block_scores import top_scores
+from stacklens.session import cut_lineage
 
 MAX_WIDE_TERMS = 1000
 
 
+def _grams(docs: DataFrame, key: str, text: str, ngram_range: Sequence[int], stop_words: Iterable[str] | None) -> DataFrame:
+    return docs.select(key, ngrams(tokens(F.col(text), stop_words), ngram_range).alias("grams"))
+
+
 def term_counts(
     docs: DataFrame,
     key: str,
     text: str,
     ngram_range: Sequence[int] = (1, 2),
     stop_words: Iterable[str] | None = None,
+    vocab: DataFrame | None = None,
 ) -> DataFrame:
-    """(key, term, tf). Each text is exploded where it is read; counts combine map-side."""
-    words = docs.select(key, tokens(F.col(text), stop_words).alias("words"))
-    terms = words.select(key, F.explode(ngrams(F.col("words"), ngram_range)).alias("term"))
+    """(key, term, tf) of the whole texts, of vocabulary terms only when ``vocab`` is given.
+
+    The vocabulary join happens in the task that reads the text, so just the hits
+    are shuffled.
+    """
+    terms = _grams(docs, key, text, ngram_range, stop_words).select(key, F.explode("grams").alias("term"))
+    if vocab is not None:
+        terms = terms.join(F.broadcast(vocab.select("term")), "term")
     return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(counts: DataFrame, key: str, max_features: int, min_df: int = 1) -> DataFrame:
-    """The ``max_features`` most frequent terms: (term, corpus_count, df)."""
-    per_term = counts.groupBy("term").agg(
-        F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("df")
+def vocabulary(
+    docs: DataFrame,
+    key: str,
+    text: str,
+    max_features: int,
+    ngram_range: Sequence[int] = (1, 2),
+    min_df: int = 1,
+    stop_words: Iterable[str] | None = None,
+) -> DataFrame:
+    """The ``max_features`` most frequent terms: (term, corpus_count, df).
+
+    Every document adds its terms once with their repeats and once distinct; both
+    sums combine map-side by term, so no (document, term) pairs are shuffled.
+    """
+    grams = _grams(docs, key, text, ngram_range, stop_words)
+    twice = bound_once(F.col("grams"), lambda g: F.array(
+        F.struct(g.alias("grams"), F.lit(0).alias("distinct")),
+        F.struct(F.array_distinct(g).alias("grams"), F.lit(1).alias("distinct")),
+    ))
+    marked = grams.select(F.explode(twice).alias("g")).select("g.distinct", F.explode("g.grams").alias("term"))
+    per_term = marked.groupBy("term").agg(
+        F.sum(1 - F.col("distinct")).alias("corpus_count"), F.sum("distinct").alias("df")
     )
     return per_term.where(F.col("df") >= min_df).orderBy(F.desc("corpus_count"), "term").limit(max_features)
 
@@ -56,9 +85,9 @@ def fit(
     min_df: int = 1,
     stop_words: Iterable[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(vocabulary, weights) of a corpus."""
-    counts = term_counts(docs, key, text, ngram_range, stop_words)
-    vocab = vocabulary(counts, key, max_features, min_df)
+    """(vocabulary, weights) of a corpus. The vocabulary is written once; both passes need it."""
+    vocab = cut_lineage(vocabulary(docs, key, text, max_features, ngram_range, min_df, stop_words))
+    counts = term_counts(docs, key, text, ngram_range, stop_words, vocab)
     return vocab, weights(docs, counts, vocab, key)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stacklens import schemas
@@ -17,11 +18,13 @@ def _read(spark: SparkSession, source: str, path: str | None, schema: T.StructTy
     if not path:
         raise ValueError(f"filepath required for source {source!r}")
     if source == "csv":
-        header = spark.read.option("header", True).csv(path).columns
+        # Quotes inside a field are doubled, as most writers do (event metadata is JSON text).
+        reader = spark.read.option("header", True).option("escape", '"')
+        header = reader.csv(path).columns
         require_columns(header, schema)
         typed = {field.name: field.dataType for field in schema.fields}
         in_file_order = T.StructType([T.StructField(c, typed.get(c, T.StringType())) for c in header])
-        df = spark.read.schema(in_file_order).option("header", True).csv(path)
+        df = reader.schema(in_file_order).csv(path)
     else:
         df = spark.read.parquet(path) if source == "parquet" else spark.table(path)
         require_columns(df.columns, schema)
@@ -45,6 +48,4 @@ def load_activity(spark: SparkSession, source: str, path: str | None = None, che
 
 def parse_metadata(activity: DataFrame) -> DataFrame:
     """Turn the JSON text of ``event_metadata`` into a map of int values."""
-    from pyspark.sql import functions as F
-
     return activity.withColumn("metadata", F.from_json("event_metadata", schemas.METADATA))
