@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stacklens.operators.behavioral import known_genres
-from stacklens.operators.quantiles import exact_quantiles
+from stacklens.operators.quantiles import exact_quantiles, value_counts
+from stacklens.session import cut_lineage
 
 
 def earliest_values(df: DataFrame, key: str, values: Sequence[str], order: str) -> DataFrame:
@@ -57,29 +58,35 @@ def content_text(catalog: DataFrame) -> DataFrame:
     )
 
 
-def _tier(borrows: Column, q: Column) -> Column:
-    return F.when(borrows <= q[0], "low").when(borrows <= q[1], "medium").otherwise("high")
+def _borrow_counts(books: DataFrame) -> DataFrame:
+    """(feature, value, n) of total_borrows, written once."""
+    return cut_lineage(value_counts(books.select(
+        F.lit("total_borrows").alias("feature"), F.col("total_borrows").cast("double").alias("value")
+    )))
+
+
+def _tier(counts: DataFrame) -> Column:
+    """Popularity tier from the 10 % and 90 % quantiles (two numbers)."""
+    found = exact_quantiles(counts, (0.1, 0.9), counts).first()
+    low, high = found.quantiles if found else (0.0, 0.0)
+    borrows = F.col("total_borrows")
+    return F.when(borrows <= low, "low").when(borrows <= high, "medium").otherwise("high")
 
 
 def popularity_tiers(catalog: DataFrame) -> DataFrame:
     """Books at or below the 10 % quantile of borrows are low, above the 90 % quantile high."""
-    values = catalog.select(F.lit("total_borrows").alias("feature"), F.col("total_borrows").cast("double").alias("value"))
-    q = exact_quantiles(values, (0.1, 0.9)).select("quantiles").scalar()
-    return catalog.select(
-        "book_id", "total_borrows", _tier(F.col("total_borrows"), q).alias("popularity_tier")
-    )
+    return catalog.select("book_id", "total_borrows", _tier(_borrow_counts(catalog)).alias("popularity_tier"))
 
 
 def genre_encoding(metadata: DataFrame, genres: Sequence[str] | None = None) -> DataFrame:
     """0/1 column per genre plus popularity, engagement and overdue signals."""
     genres = sorted(genres) if genres is not None else known_genres(metadata)
-    values = metadata.select(F.lit("total_borrows").alias("feature"), F.col("total_borrows").cast("double").alias("value"))
-    q = exact_quantiles(values, (0.1, 0.9)).select("quantiles").scalar()
-    most = metadata.agg(F.max("total_borrows")).scalar()
+    counts = _borrow_counts(metadata)
+    most = counts.agg(F.max("value")).scalar()
     return metadata.select(
         "book_id",
         *[F.coalesce((F.col("genre") == g).cast("int"), F.lit(0)).alias(f"genre_{g}") for g in genres],
-        _tier(F.col("total_borrows"), q).alias("popularity_tier"),
+        _tier(counts).alias("popularity_tier"),
         F.round(F.col("total_borrows") / most, 4).alias("popularity_score"),
         F.round("avg_renewals", 3).alias("engagement_score"),
         "overdue_rate",

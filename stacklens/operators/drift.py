@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stacklens.functions.numeric import chi2_upper_tail, clip, steady_round
 from stacklens.operators.quantiles import exact_quantiles, value_counts
+from stacklens.session import cut_lineage
 
 # Thresholds and smoothing of the drift checks.
 PSI_OK = 0.10
@@ -40,7 +41,7 @@ def _bin(edges: Column, value: Column) -> Column:
 
 def baseline_profile(baseline: DataFrame, n_bins: int = 10) -> DataFrame:
     """(feature, edges, bin_counts, total, mean) with decile-like inner edges of the baseline."""
-    counts = value_counts(baseline)
+    counts = cut_lineage(value_counts(baseline))
     edges = exact_quantiles(baseline, [i / n_bins for i in range(1, n_bins)], counts)
     binned = counts.join(F.broadcast(edges), "feature").withColumn("bin", _bin(F.col("quantiles"), F.col("value")))
     per_feature = binned.groupBy("feature").agg(
@@ -48,10 +49,11 @@ def baseline_profile(baseline: DataFrame, n_bins: int = 10) -> DataFrame:
         F.sum("n").alias("total"),
         (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
     )
-    return per_feature.join(edges, "feature").select(
+    # One row per feature, joined twice by every check.
+    return cut_lineage(per_feature.join(edges, "feature").select(
         "feature", F.col("quantiles").alias("edges"),
         F.array(*[F.col(f"_{i}") for i in range(n_bins)]).alias("bin_counts"), "total", "mean",
-    )
+    ))
 
 
 def psi(

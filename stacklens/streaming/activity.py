@@ -44,7 +44,11 @@ def from_files(
 
 
 def deduplicate(stream: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """First event of each id; an id is forgotten once the watermark has passed it."""
+    """First event of each id; an id is forgotten once the watermark has passed it.
+
+    ``lateness`` must cover how far out of order events arrive: older ones are late
+    and do not get through.
+    """
     return stream.withWatermark("event_timestamp", lateness).dropDuplicatesWithinWatermark(["event_id"])
 
 
