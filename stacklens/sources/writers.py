@@ -9,20 +9,15 @@ from pyspark.sql import functions as F
 def write_table(df: DataFrame, path: str, month_of: str | None = None) -> str:
     """Overwrite a parquet table; ``month_of`` names the timestamp to partition by month.
 
-    Rows are clustered on the month and a hash salt before the write, so that each
-    month becomes a bounded number of files even when one month dominates.
+    Rows are rebalanced by month before the write: adaptive execution packs small
+    months together and splits a month that holds a large part of the rows.
     """
     if month_of is None:
         df.write.mode("overwrite").parquet(path)
         return path
     month = f"{month_of}_month"
-    salted = df.withColumn(month, F.date_format(month_of, "yyyy-MM")).withColumn(
-        "_salt", F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    )
-    (
-        salted.repartition(month, "_salt").drop("_salt")
-        .write.mode("overwrite").partitionBy(month).parquet(path)
-    )
+    by_month = df.withColumn(month, F.date_format(month_of, "yyyy-MM")).hint("rebalance", month)
+    by_month.write.mode("overwrite").partitionBy(month).parquet(path)
     return path
 
 
