@@ -349,7 +349,7 @@ def tfidf_profile(spark, d):
 
 @query
 def tfidf_recommend(spark, d):
-    return tfidf.recommend(_pairs(spark, d), *_text_model(spark, d, 500), 10)
+    return tfidf.recommend(cut_lineage(_pairs(spark, d)), *_text_model(spark, d, 500), 10)
 
 
 @query
@@ -485,7 +485,7 @@ def emb_profile(spark, d):
 @query
 def emb_recommend(spark, d):
     loans = td.loans(spark, d, ("patron_id", "book_id", "checkout_date"))
-    return embeddings.recommend(loans, seen_pairs(loans), td.book_vectors(spark, d), 10)
+    return embeddings.recommend(loans, cut_lineage(seen_pairs(loans)), td.book_vectors(spark, d), 10)
 
 
 @query

@@ -71,9 +71,11 @@ def profiles(loans: DataFrame, vectors: DataFrame, recency: bool = True) -> Data
 
 
 def recommend(loans: DataFrame, seen: DataFrame, vectors: DataFrame, n: int, do_exclude_seen: bool = True) -> DataFrame:
+    """Top ``n`` books by cosine of the recency-weighted profile; patrons without a known vector get no rows."""
     return top_scores(
         profiles(loans, vectors), vectors, "patron_id", "book_id", n,
         exclude=seen if do_exclude_seen else None, cosine=True,
+        n_queries=seen.select("patron_id").distinct().count(), n_items=vectors.count(),
     )
 
 

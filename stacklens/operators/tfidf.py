@@ -142,24 +142,29 @@ def recommend(
     n: int,
     exclude_seen: bool = True,
 ) -> DataFrame:
-    """Top ``n`` books per patron by cosine of profile and book: (patron_id, book_id, score, rank)."""
+    """Top ``n`` books per patron by cosine of profile and book: (patron_id, book_id, score, rank).
+
+    ``pairs`` and ``catalog`` are read several times and best materialised.
+    """
+    patrons = pairs.select("patron_id").distinct()
     return top_scores(
-        as_vectors(profiles(pairs, weighted), vocab, "patron_id", pairs.select("patron_id").distinct()),
+        as_vectors(profiles(pairs, weighted), vocab, "patron_id", patrons),
         as_vectors(weighted, vocab, "book_id", catalog),
         "patron_id", "book_id", n,
         exclude=pairs if exclude_seen else None,
-        cosine=True,
+        cosine=True, n_queries=patrons.count(), n_items=catalog.count(),
     )
 
 
 def similar(catalog: DataFrame, vocab: DataFrame, weighted: DataFrame, n: int) -> DataFrame:
     """Top ``n`` other books per book: (book_id, similar_book_id, score, rank)."""
     vectors = as_vectors(weighted, vocab, "book_id", catalog)
+    n_books = catalog.count()
     return top_scores(
         vectors, vectors.withColumnRenamed("book_id", "similar_book_id"),
         "book_id", "similar_book_id", n,
         exclude=catalog.select("book_id", F.col("book_id").alias("similar_book_id")),
-        cosine=True,
+        cosine=True, n_queries=n_books, n_items=n_books,
     )
 
 
