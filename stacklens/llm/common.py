@@ -21,17 +21,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the driver ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop)
+    files.deleteOnExit(hadoop)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, deleted when the driver ends.
+    """``df`` as a Parquet table in the shared folder.
 
     Cuts the lineage: a lost executor costs no recomputation of what is written.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_path(df.sparkSession, name)}/rows"
     df.write.parquet(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def numbered(docs: DataFrame, name: str, **columns: Column) -> DataFrame:

@@ -6,12 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stacklens.llm import exact_dedup, mixing, packing, quality, simhash
-from stacklens.llm.common import documents
+from stacklens.llm import exact_dedup, html_text, mixing, packing, quality, secret_scan, simhash, token_output, toxicity
+from stacklens.llm.common import documents, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = documents(spark, sf_dir)
+    files = token_output.token_files(docs, public_tokenizers.path("word_bpe_49k.json"), scratch_path(spark, "ids"))
+    return token_output.digests(files)
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.secret_spans(documents(spark, sf_dir)))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -20,6 +36,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).score(docs)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -39,4 +60,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_exact_dedup, op4_quality_rules, op6_best_fit_packing, op7_simhash, op8_mix_sources, pipeline)}
+    op2_token_output, op3_exact_dedup, op4_quality_rules, op5_toxicity, op6_best_fit_packing, op7_simhash, op8_mix_sources, op9_html_text, op10_secret_scan, pipeline)}
