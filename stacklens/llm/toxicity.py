@@ -25,7 +25,9 @@ CONTEXT = 8
 CACHE = 200_000
 
 EXACT, FUZZY, STEM = 1, 2, 3
-FEATURES = 9
+FEATURES = 7
+#: A word with a typing error counts so much of the word it is taken for.
+FUZZY_SHARE = 0.8
 
 # Quotation marks, words of report, words of address, digits for letters.
 OPENING, CLOSING = "\"“«„‘'‹`", "\"”»“’'›`"
@@ -117,15 +119,21 @@ class FuzzyTrie:
 
 @dataclass
 class Lexicon:
-    """Words and stems (beginnings of words) with their log odds."""
+    """Words and stems (beginnings of words) with their log odds.
+
+    Only ``near`` words are looked for with typing errors: words of their own, not one of the
+    many forms of a stem. ``clean`` has words that look like them but occur in clean documents.
+    """
 
     words: dict[str, float]
     stems: dict[str, float]
+    near: frozenset[str] = frozenset()
+    clean: frozenset[str] = frozenset()
     seen: dict[str, tuple[int, float]] = field(default_factory=dict, repr=False)
     trie: FuzzyTrie | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {"words": self.words, "stems": self.stems, "seen": {}, "trie": None}
+        return {**self.__dict__, "seen": {}, "trie": None}
 
     def look_up(self, token: str) -> tuple[int, float]:
         """(kind, weight) of a raw token; kind 0 if it is no hit."""
@@ -137,19 +145,24 @@ class Lexicon:
         return found
 
     def _look_up(self, word: str) -> tuple[int, float]:
-        if self.trie is None:
-            self.trie = FuzzyTrie(self.words)
         if not word:
             return 0, 0.0
+        if word in self.words:
+            return EXACT, self.words[word]
+        for n in range(4, min(len(word), 8)):
+            if word[:n] in self.stems:
+                return STEM, self.stems[word[:n]]
+        weight = 0.0 if word in self.clean else self.fuzzy(word)
+        return (FUZZY, FUZZY_SHARE * weight) if weight else (0, 0.0)
+
+    def fuzzy(self, word: str) -> float:
+        """Weight of the word that ``word`` is a misspelling of, or 0."""
+        if self.trie is None:
+            self.trie = FuzzyTrie({w: self.words[w] for w in self.near})
         hit = self.trie.match(word)
-        if hit and hit[0] == 0:
-            return EXACT, hit[1]
-        stems = [self.stems[word[:n]] for n in range(4, min(len(word), 8)) if word[:n] in self.stems]
-        if stems:
-            return STEM, max(stems)
         if not hit and not word.isalpha() and not word.isdigit():
             hit = self.trie.match(word.translate(LEET))
-        return (FUZZY, hit[1]) if hit else (0, 0.0)
+        return hit[1] if hit else 0.0
 
 
 def quoted(tokens: list[str], at: int) -> bool:
@@ -199,18 +212,19 @@ def features(lexicon: Lexicon, texts: pa.Array) -> np.ndarray:
         doc = int(np.searchsorted(ends, hits[0], side="right"))
         first = int(ends[doc] - lengths[doc])
         everywhere = {int(h) for h in hits}
-        sums = [0.0] * 6
-        for h in everywhere:
+        sums, plain = [0.0] * 4, []
+        for h in sorted(everywhere):
             lo, hi = max(first, h - 3 * CONTEXT), min(int(ends[doc]), h + 3 * CONTEXT)
             tokens = [names[c] for c in codes[lo:hi].tolist()]
             score, is_quoted = context_score(tokens, h - lo, {x - lo for x in range(h - CONTEXT, h + CONTEXT + 1) if x in everywhere})
             kind, weight = found[codes[h]]
-            sums[kind - 1 + 3 * is_quoted] += score * min(weight, 6.0) / 3
-        n = len(hits)
-        window = max(int(np.searchsorted(hits, h + 6 * CONTEXT) - k) for k, h in enumerate(hits))
-        out[doc, 1:7] = np.log1p(sums)
-        out[doc, 7] = math.log1p(1000 * n / lengths[doc])
-        out[doc, 8] = math.log1p(window)
+            sums[(kind == STEM) + 2 * is_quoted] += score * min(weight, 6.0) / 3
+            if not is_quoted:
+                plain.append(h)
+        out[doc, 1:5] = np.log1p(sums)
+        if plain:
+            out[doc, 5] = math.log1p(1000 * len(plain) / lengths[doc])
+            out[doc, 6] = math.log1p(max(int(np.searchsorted(plain, h + 6 * CONTEXT)) - k for k, h in enumerate(plain)))
     return out
 
 
@@ -228,36 +242,49 @@ def train_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str, tex
     return written(sample.select(F.col("label_id").alias("id"), whole(text_col).alias("text"), "toxic"), "sample")
 
 
-def learn_lexicon(sample: DataFrame, terms: int = LEXICON_TERMS) -> Lexicon:
-    """Words, and beginnings shared by two words of a document, that mark toxic documents."""
+def count_terms(sample: DataFrame) -> DataFrame:
+    """(term, pos0, neg0, pos1, neg1): toxic and clean documents with the term, by half of the sample.
+
+    Terms are words, and with a star beginnings that two words of a document share.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts: tuple[Counter, Counter] = Counter(), Counter()
-            for text, toxic in zip(batch["text"], batch["toxic"]):
+            counts = [Counter() for _ in range(4)]
+            for text, toxic, half in zip(batch["text"], batch["toxic"], batch["half"]):
                 found = {w for w in map(bare, text.as_py().split()) if 2 < len(w) < 40}
                 begin = Counter(w[:n] for w in found for n in range(4, min(len(w), 8)))
-                counts[bool(toxic.as_py())].update([*found, *(f"{p}*" for p, n in begin.items() if n > 1)])
-            for k in (0, 1):
+                counts[2 * half.as_py() + (not toxic.as_py())].update([*found, *(f"{p}*" for p, n in begin.items() if n > 1)])
+            for k, counted in enumerate(counts):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(counts[k]), pa.string()), pa.array([k] * len(counts[k]), pa.int32()),
-                     pa.array(list(counts[k].values()), pa.int64())], ["term", "toxic", "n"])
-
-    total = {r["toxic"]: r["n"] for r in sample.groupBy(F.col("toxic").cast("int").alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_pos, n_neg = total.get(1, 0), total.get(0, 0)
-    counted = sample.mapInArrow(run, "term string, toxic int, n bigint").groupBy("term").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("neg"))
-    odds = F.ln((F.col("pos") + 0.5) / F.lit(n_pos + 1.0)) - F.ln((F.col("neg") + 0.5) / F.lit(n_neg + 1.0))
-    strong = counted.where((F.col("pos") >= max(3, 0.004 * n_pos)) & (odds >= 2.0)).withColumn("odds", odds)
+                    [pa.array(list(counted), pa.string()), pa.array([k] * len(counted), pa.int32()),
+                     pa.array(list(counted.values()), pa.int64())], ["term", "k", "n"])
+
+    rows = sample.select("text", "toxic", "half").mapInArrow(run, "term string, k int, n bigint")
+    sums = [F.sum(F.when(F.col("k") == k, F.col("n")).otherwise(0)).alias(c) for k, c in enumerate(("pos0", "neg0", "pos1", "neg1"))]
+    return written(rows.groupBy("term").agg(*sums), "terms")
+
+
+def learn_lexicon(counts: DataFrame, totals: dict[tuple[int, int], int], halves: tuple[int, ...], terms: int = LEXICON_TERMS) -> Lexicon:
+    """Terms that mark the toxic documents of some halves of the sample; at most ``terms``."""
+    n_pos, n_neg = (sum(totals.get((h, k), 0) for h in halves) for k in (1, 0))
+    pos, neg = (sum((F.col(f"{k}{h}") for h in halves[1:]), F.col(f"{k}{halves[0]}")) for k in ("pos", "neg"))
+    odds = F.ln((pos + 0.5) / F.lit(n_pos + 1.0)) - F.ln((neg + 0.5) / F.lit(n_neg + 1.0))
+    strong = counts.select("term", pos.alias("pos"), neg.alias("neg"), odds.alias("odds")).where(
+        (F.col("pos") >= max(3, 0.004 * n_pos)) & (F.col("odds") >= 2.0))
     rows = strong.orderBy(F.desc(F.col("pos") * F.col("odds")), "term").limit(terms).collect()
-    words = {r["term"]: round(r["odds"], 4) for r in rows if not r["term"].endswith("*")}
     stems: dict[str, float] = {}
     for r in sorted((r for r in rows if r["term"].endswith("*")), key=lambda r: len(r["term"])):
         stem = r["term"][:-1]
         shorter = [stems[stem[:n]] for n in range(4, len(stem)) if stem[:n] in stems]
         if not shorter or max(shorter) < 0.8 * r["odds"]:
             stems[stem] = round(r["odds"], 4)
-    return Lexicon(words, stems)
+    words = {r["term"]: round(r["odds"], 4) for r in rows if not r["term"].endswith("*")}
+    near = frozenset(r["term"] for r in rows if r["term"] in words and r["pos"] >= 0.05 * n_pos and r["neg"] <= 0.1 * r["pos"])
+    lexicon = Lexicon(words, stems, near)
+    # Words one error away from a term: few, as the terms are.
+    fuzzy = F.udf(lambda w: lexicon.fuzzy(w) > 0, "boolean", useArrow=True)
+    alike = counts.where((neg > 0) & ~F.col("term").endswith("*") & (F.length("term") >= 4)).where(fuzzy("term")).select("term")
+    return Lexicon(words, stems, near, frozenset(r["term"] for r in alike.collect()) - set(words))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> np.ndarray:
@@ -315,16 +342,22 @@ class ToxicityModel:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """Learns from labelled rows that are not held out, at most ``rows``.
 
-    The lexicon comes from one half of them (by hash), the weights from the other, so
-    that words which mark the first half by chance get no weight. Without labels of both
-    kinds every document scores as the share of toxic ones. Nothing but the text enters a score.
+    Two lexicons, each from one half of them (by hash), give the features of the other half,
+    so that words which mark a half by chance get no weight; the lexicon that scores is
+    learned from both halves. Without labels of both kinds every document scores as the
+    share of toxic ones. Nothing but the text enters a score.
     """
-    sample = train_sample(docs, labels, rows, id_col, text_col)
-    half = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2))
-    lexicon = learn_lexicon(sample.where(half == 0))
-    frame = _with_features(sample.where(half == 1).select("toxic", "text"), lexicon, None).collect()
+    sample = train_sample(docs, labels, rows, id_col, text_col).withColumn("half", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)).cast("int"))
+    totals = {(r["half"], r["toxic"]): r["n"] for r in sample.groupBy("half", F.col("toxic").cast("int").alias("toxic")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    counts = count_terms(sample)
+    frame = []
+    for half in (0, 1):
+        other = learn_lexicon(counts, totals, (1 - half,))
+        frame += _with_features(sample.where(F.col("half") == half).select("toxic", "text"), other, None).collect()
+    lexicon = learn_lexicon(counts, totals, (0, 1))
     x = np.array([r["x"] for r in frame]).reshape(-1, FEATURES)
-    y = np.array([float(r["toxic"]) for r in frame])
+    y = np.array([float(r["toxic"] > 0) for r in frame])
     if len(set(y.tolist())) < 2:
         share = min(max(float(y.mean()) if len(y) else 0.0, 1e-6), 1 - 1e-6)
         return ToxicityModel(lexicon, np.array([*[0.0] * FEATURES, math.log(share / (1 - share))]))
