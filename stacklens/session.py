@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +20,19 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the SQL settings every job here relies on (safe to repeat)."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    _show_package(spark)
     return spark
 
 
+def _show_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver did (a cluster gets it by --py-files)."""
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
