@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stacklens.session import configure, shared_dir
 
-# The white space of all contracts, as a pattern and as characters.
+# Fixed value: the white space of all contracts.
 SPACE = r"[\x20\x09-\x0D]"
-SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 #: Largest row count of a table that may be broadcast.
 BROADCAST_ROWS = 10_000
@@ -63,8 +64,7 @@ def whole(text: str | Column = "text") -> Column:
 
 def words(text: Column) -> Column:
     """Array of the maximal runs of anything but white space."""
-    inner = F.btrim(text, F.lit(SPACE_CHARS))
-    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, f"{SPACE}+"))
+    return F.array_remove(F.split(text, f"{SPACE}+"), "")
 
 
 def n_words(text: Column) -> Column:
@@ -83,3 +83,26 @@ def join_checked(big: DataFrame, small: DataFrame, on: Column, how: str = "inner
 def per_task(spark: SparkSession, rows: int, size: int) -> int:
     """Number of groups of about ``size`` rows."""
     return max(1, -(-rows // size))
+
+
+def whole_groups(batches, keys: tuple[str, ...], rows: int):
+    """Tables of about ``rows`` rows of sorted batches; no group of equal ``keys`` is parted."""
+    held, n, want = [], 0, rows
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n < want:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        new = np.zeros(n, dtype=bool)
+        for k in keys:
+            column = table[k].to_numpy()
+            new[1:] |= column[1:] != column[:-1]
+        cut = int(n - 1 - np.argmax(new[::-1])) if new.any() else 0
+        if cut:
+            yield table.slice(0, cut)
+        rest = table.slice(cut)
+        held, n = rest.to_batches(), len(rest)
+        want = max(rows, 2 * n)
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stacklens.llm.common import SPACE, n_words, per_task, whole, written
+from stacklens.llm.common import n_words, per_task, whole, words, written
 
 #: Documents packed by one task.
 GROUP = 8_192
@@ -102,7 +102,7 @@ def pack_group(lengths: list[int], sources: list[int], clusters: list[int], capa
 
 def content_cluster(text: Column) -> Column:
     """Cluster of texts that are equal but for case and white space."""
-    return F.xxhash64(F.lower(F.regexp_replace(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), f"{SPACE}+", " ")))
+    return F.xxhash64(F.lower(F.array_join(words(text), " ")))
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",

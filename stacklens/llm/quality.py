@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stacklens.llm.common import SPACE, SPACE_CHARS, join_checked, unpacked, whole, words, written
+from stacklens.llm.common import SPACE, join_checked, unpacked, whole, words, written
 
 SYMBOLS = "#*$%&|<>"  # fixed value
 WINDOW = 8
@@ -45,10 +45,9 @@ def measured(docs: DataFrame, text: Column, *keep: Column) -> DataFrame:
     df = docs.select(*[c.alias(n) for c, n in zip(keep, names)], whole(text).alias("t"))
     df = df.select("*", words(F.col("t")).alias("w"),
                    F.filter(F.split("t", "\n"), lambda x: x.rlike(rf"[^{SPACE[1:-1]}]")).alias("lines"))
-    bare = F.translate("t", SPACE_CHARS, "")
     df = df.select(
-        *names, F.size("w").cast("long").alias("n_words"), F.length(bare).cast("long").alias("word_chars"),
-        (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        *names, F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        (F.length("t") - F.length(F.regexp_replace("t", f"[{SYMBOLS}]", ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("lines").cast("long").alias("n_lines"), F.transform("w", lambda x: F.xxhash64(x)).alias("h"),
     )
