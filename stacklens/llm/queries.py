@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stacklens.llm import exact_dedup, html_text, mixing, packing, quality, secret_scan, simhash, token_output, toxicity
+from stacklens.llm import exact_dedup, html_text, mixing, packing, quality, secret_scan, simhash, suffix_dedup, token_output, toxicity
 from stacklens.llm.common import documents, scratch_path
+from stacklens.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.repeated_passages(documents(spark, sf_dir)))
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -21,7 +26,7 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_text.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return html_text.extract_text(configure(spark).read.parquet(f"{sf_dir}/pages.parquet"))
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,4 +65,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_token_output, op3_exact_dedup, op4_quality_rules, op5_toxicity, op6_best_fit_packing, op7_simhash, op8_mix_sources, op9_html_text, op10_secret_scan, pipeline)}
+    op1_suffix_dedup, op2_token_output, op3_exact_dedup, op4_quality_rules, op5_toxicity, op6_best_fit_packing, op7_simhash, op8_mix_sources, op9_html_text, op10_secret_scan, pipeline)}
