@@ -38,6 +38,31 @@ def test_csv_columns_in_another_order(spark, loans, tmp_path):
     assert readers.load_loans(spark, "csv", str(tmp_path / "r")).exceptAll(loans).count() == 0
 
 
+BROKEN = "P1,B1,t,g,31/12/2023,2024-01-02T00:00:00.000Z,returned,abc,0,18-25,basic"
+
+
+@pytest.mark.parametrize("check_rows", [False, True])
+def test_malformed_csv_is_refused(spark, loans, tmp_path, check_rows):
+    loans.limit(3).coalesce(1).write.option("header", True).csv(str(tmp_path / "l"))
+    (tmp_path / "l" / "part-broken.csv").write_text(",".join(loans.columns) + "\n" + BROKEN + "\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        readers.load_loans(spark, "csv", str(tmp_path / "l"), check_rows).select("patron_id").collect()
+
+
+def test_malformed_csv_rows_can_be_kept_aside(spark, loans, tmp_path):
+    loans.limit(3).coalesce(1).write.option("header", True).csv(str(tmp_path / "l"))
+    (tmp_path / "l" / "part-broken.csv").write_text(",".join(loans.columns) + "\n" + BROKEN + "\n")
+    rows = readers.load_loans(spark, "csv", str(tmp_path / "l"), rejects=str(tmp_path / "bad"))
+    assert rows.count() == 3
+    assert [r.value for r in spark.read.text(str(tmp_path / "bad")).collect()] == [BROKEN]
+
+
+def test_typed_sources_must_have_timestamps(spark, loans, tmp_path):
+    loans.limit(2).withColumn("checkout_date", F.lit("2024-01-01")).write.parquet(str(tmp_path / "p"))
+    with pytest.raises(SchemaError, match="checkout_date must be a timestamp"):
+        readers.load_loans(spark, "parquet", str(tmp_path / "p"))
+
+
 def test_parquet_by_month(spark, loans, tmp_path):
     path = writers.write_table(loans, str(tmp_path / "loans"), month_of="checkout_date")
     back = spark.read.parquet(path)
