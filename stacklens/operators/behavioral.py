@@ -8,54 +8,65 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stacklens.functions.numeric import first_max_label, ratio_or_zero, steady_round, steady_sum
+from stacklens.functions.numeric import ratio_or_zero, steady_round, steady_sum
 from stacklens.schemas import TRANSACTION_TYPES
 
-MAX_GENRES = 500
+#: Genres that become columns unless a list is given: the most frequent ones.
+WIDE_GENRES = 500
 COUNTED_EVENTS = ("book_search", "book_view", "wishlist_add", "reservation_made", "review_submitted")
 
 
-def known_genres(loans: DataFrame) -> list[str]:
-    """Sorted genres. They become columns, so more than MAX_GENRES is refused."""
-    genres = [r.genre for r in loans.select("genre").where("genre IS NOT NULL").distinct().limit(MAX_GENRES + 1).collect()]
-    if len(genres) > MAX_GENRES:
-        raise ValueError(f"more than {MAX_GENRES} genres; a column per genre is not sensible")
-    return sorted(genres)
+def known_genres(loans: DataFrame, limit: int = WIDE_GENRES) -> list[str]:
+    """The genres that get a column, sorted: the ``limit`` most frequent (then the smaller name)."""
+    counted = loans.where("genre IS NOT NULL").groupBy("genre").agg(F.count(F.lit(1)).alias("n"))
+    return sorted(r.genre for r in counted.orderBy(F.desc("n"), "genre").limit(limit).collect())
 
 
 def genre_column(genre: str) -> str:
     return f"genre_{genre.lower().replace(' ', '_')}_count"
 
 
+def genre_counts(loans: DataFrame) -> DataFrame:
+    """(patron_id, genre, n): the long form, for any number of genres."""
+    kept = loans.where(F.col("patron_id").isNotNull() & F.col("genre").isNotNull())
+    return kept.groupBy("patron_id", "genre").agg(F.count("book_id").alias("n"))
+
+
 def genre_features(loans: DataFrame, genres: Sequence[str] | None = None) -> DataFrame:
-    """Loans per genre, number of genres, top genre and its share, per patron (one shuffle)."""
+    """Loans per listed genre; number of genres, top genre and its share over all genres, per patron.
+
+    Of equally frequent genres the smaller name is the top one. Loans are counted by patron
+    and genre first, so what is ordered per patron is one row per genre.
+    """
     genres = sorted(genres) if genres is not None else known_genres(loans)
-    counts = [F.col(genre_column(g)) for g in genres]
-    per_patron = (
-        loans.where(F.col("patron_id").isNotNull() & F.col("genre").isNotNull())
-        .groupBy("patron_id")
-        .agg(*[F.count(F.when(F.col("genre") == g, F.col("book_id"))).alias(genre_column(g)) for g in genres])
+    n = F.col("n")
+    per_patron = genre_counts(loans).groupBy("patron_id").agg(
+        *[F.sum(F.when(F.col("genre") == g, n).otherwise(0)).alias(genre_column(g)) for g in genres],
+        F.count_if(n > 0).alias("genre_diversity"), F.sum(n).alias("total"),
+        F.min(F.struct((-n).alias("less"), "genre")).alias("top"),
     )
-    total = sum(counts[1:], counts[0])
-    top = F.array_max(F.array(*counts))
     return per_patron.select(
-        "patron_id", *counts,
-        sum(((c > 0).cast("long") for c in counts[1:]), (counts[0] > 0).cast("long")).alias("genre_diversity"),
-        first_max_label(counts, genres).alias("top_genre"),
-        ratio_or_zero(top, total, 3).alias("genre_concentration"),
+        "patron_id", *[f"`{genre_column(g)}`" for g in genres], "genre_diversity", F.col("top.genre").alias("top_genre"),
+        ratio_or_zero(-F.col("top.less"), F.col("total"), 3).alias("genre_concentration"),
     )
 
 
 def spending_features(pos: DataFrame) -> DataFrame:
     kind, amount = F.col("transaction_type"), F.col("amount")
-    per_patron = pos.where(F.col("patron_id").isNotNull()).groupBy("patron_id").agg(
-        steady_sum(amount).alias("spend"),
-        F.count("amount").alias("total_pos_transactions"),
-        F.max("amount").alias("largest"),
+    # Additive sums by patron and payment method in a plain hash aggregate, then one row per patron.
+    per_method = pos.where(F.col("patron_id").isNotNull()).groupBy("patron_id", "payment_method").agg(
+        F.sum(amount).alias("spend"), F.count("amount").alias("n"), F.max("amount").alias("largest"),
         *[F.sum(F.when(kind == t, amount).otherwise(0.0)).alias(f"spend_{t}") for t in TRANSACTION_TYPES],
         F.max((kind == "event_ticket").cast("int")).alias("is_event_buyer"),
         F.max((kind == "donation").cast("int")).alias("is_donor"),
-        F.mode("payment_method", True).alias("preferred_payment"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+    used = F.when(F.col("payment_method").isNotNull(), F.struct((-F.col("rows")).alias("less"), "payment_method"))
+    per_patron = per_method.groupBy("patron_id").agg(
+        steady_sum(F.col("spend")).alias("spend"), F.sum("n").alias("total_pos_transactions"), F.max("largest").alias("largest"),
+        *[F.sum(f"spend_{t}").alias(f"spend_{t}") for t in TRANSACTION_TYPES],
+        F.max("is_event_buyer").alias("is_event_buyer"), F.max("is_donor").alias("is_donor"),
+        F.min(used)["payment_method"].alias("preferred_payment"),
     )
     n = F.col("total_pos_transactions")
     return per_patron.select(
@@ -72,29 +83,30 @@ def spending_features(pos: DataFrame) -> DataFrame:
 
 
 def engagement_counts(activity: DataFrame) -> DataFrame:
-    """Additive part of the engagement features (also kept as streaming state)."""
-    kind = F.col("event_type")
-    device_counts = ("desktop", "mobile", "tablet")
-    return activity.where(F.col("patron_id").isNotNull()).groupBy("patron_id").agg(
-        F.count("event_id").alias("total_events"),
-        *[F.count(F.when(kind == t, F.col("event_id"))).alias(f"count_{t}") for t in COUNTED_EVENTS],
-        F.count(F.when(kind == "session_start", F.col("event_id"))).alias("total_sessions"),
-        *[F.count_if(F.col("device_type") == d).alias(f"device_{d}") for d in device_counts],
-    )
+    """(patron_id, event_type, device_type, n, rows): additive, so batches of a stream add up."""
+    return activity.where(F.col("patron_id").isNotNull()).groupBy("patron_id", "event_type", "device_type").agg(
+        F.count("event_id").alias("n"), F.count(F.lit(1)).alias("rows"))
 
 
 def engagement_from_counts(counts: DataFrame) -> DataFrame:
-    """Ratios and flags over the counts; a ratio is 0 when its denominator is 0."""
-    devices = ["desktop", "mobile", "tablet"]
+    """Features per patron; a ratio is 0 when its denominator is 0.
+
+    The preferred device is the most frequent of whatever devices occur, the smaller name on ties.
+    """
+    kind, n = F.col("event_type"), F.col("n")
+    of_type = lambda t: F.sum(F.when(kind == t, n).otherwise(0))
+    sums = {"total_events": F.sum(n), **{f"count_{t}": of_type(t) for t in COUNTED_EVENTS}, "total_sessions": of_type("session_start")}
+    per_device = counts.groupBy("patron_id", "device_type").agg(
+        *[c.alias(k) for k, c in sums.items()], F.sum("rows").alias("rows"))
+    used = F.when(F.col("device_type").isNotNull(), F.struct((-F.col("rows")).alias("less"), "device_type"))
+    per_patron = per_device.groupBy("patron_id").agg(*[F.sum(k).alias(k) for k in sums], F.min(used)["device_type"].alias("preferred_device"))
     count = {t: F.col(f"count_{t}") for t in COUNTED_EVENTS}
-    seen_device = sum((F.col(f"device_{d}") for d in devices), F.lit(0)) > 0
-    return counts.select(
+    return per_patron.select(
         "patron_id", "total_events", *count.values(),
         ratio_or_zero(count["wishlist_add"], count["book_view"], 3).alias("wishlist_conversion_rate"),
         ratio_or_zero(count["reservation_made"], count["book_search"], 3).alias("reservation_rate"),
         (count["review_submitted"] > 0).cast("int").alias("is_reviewer"),
-        F.when(seen_device, first_max_label([F.col(f"device_{d}") for d in devices], devices)).alias("preferred_device"),
-        "total_sessions",
+        "preferred_device", "total_sessions",
         ratio_or_zero(F.col("total_events"), F.col("total_sessions"), 2).alias("events_per_session"),
     )
 

@@ -56,21 +56,33 @@ def baseline_profile(baseline: DataFrame, n_bins: int = 10) -> DataFrame:
     ))
 
 
+def bin_counts(profile: DataFrame, current: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by…, feature, bin, n, total): additive, so batches of a stream add up.
+
+    The profile has one row per feature and is broadcast; the data need one aggregation
+    with map-side combine.
+    """
+    binned = current.join(F.broadcast(profile.select("feature", "edges")), "feature")
+    return binned.groupBy(*by, "feature", _bin(F.col("edges"), F.col("value")).alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+
+
 def psi(
     profile: DataFrame, current: DataFrame, by: Sequence[str] = (), smoothing: str = "full", n_bins: int = 10
 ) -> DataFrame:
     """Population stability index per feature (and per ``by`` group) against a baseline profile.
 
-    The profile has one row per feature and is broadcast; the current data need one
-    aggregation with map-side combine. ``smoothing`` is "full" or "simple" (the
-    epsilon is not added to the total).
+    ``smoothing`` is "full" or "simple" (the epsilon is not added to the total).
     """
-    binned = current.join(F.broadcast(profile.select("feature", "edges")), "feature").withColumn(
-        "bin", _bin(F.col("edges"), F.col("value"))
-    )
-    now = binned.groupBy(*by, "feature").agg(
-        *[F.count_if(F.col("bin") == i).alias(f"_{i}") for i in range(n_bins)],
-        F.count(F.lit(1)).alias("current_total"), F.avg("value").alias("current_mean"),
+    return psi_from_counts(profile, bin_counts(profile, current, by), by, smoothing, n_bins)
+
+
+def psi_from_counts(
+    profile: DataFrame, counts: DataFrame, by: Sequence[str] = (), smoothing: str = "full", n_bins: int = 10
+) -> DataFrame:
+    now = counts.groupBy(*by, "feature").agg(
+        *[F.sum(F.when(F.col("bin") == i, F.col("n")).otherwise(0)).alias(f"_{i}") for i in range(n_bins)],
+        F.sum("n").alias("current_total"), (F.sum("total") / F.sum("n")).alias("current_mean"),
     )
     joined = now.join(F.broadcast(profile), "feature")
     extra = n_bins * EPSILON if smoothing == "full" else 0.0
@@ -221,10 +233,10 @@ MIN_VALUES = 10
 
 
 def monitored_features(master: DataFrame, limit: int = MONITORED) -> list[str]:
-    """The first numeric columns of the master table."""
+    """The first numeric columns of the master table, of any numeric type."""
     from pyspark.sql import types as T
 
-    return [f.name for f in master.schema.fields if isinstance(f.dataType, (T.LongType, T.DoubleType))][:limit]
+    return [f.name for f in master.schema.fields if isinstance(f.dataType, T.NumericType)][:limit]
 
 
 def feature_drift(baseline: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:

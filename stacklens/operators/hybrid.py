@@ -50,7 +50,9 @@ def candidates(lists: dict[str, DataFrame]) -> DataFrame:
 
 
 def patron_top_genre(loans: DataFrame) -> DataFrame:
-    return loans.where("patron_id IS NOT NULL").groupBy("patron_id").agg(F.mode("genre", True).alias("modal_genre"))
+    counted = loans.where("patron_id IS NOT NULL").groupBy("patron_id", "genre").agg(F.count(F.lit(1)).alias("n"))
+    top = F.when(F.col("genre").isNotNull(), F.struct((-F.col("n")).alias("less"), "genre"))
+    return counted.groupBy("patron_id").agg(F.min(top)["genre"].alias("modal_genre"))
 
 
 def score(
