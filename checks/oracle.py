@@ -530,19 +530,23 @@ FROM (SELECT {r('sum(q * ln(q / p))', 9)} AS kl FROM (
 part("categories", " UNION ALL ".join(
     f"SELECT '{f}' AS feature, {f} AS category, count(*) FILTER (WHERE {IS_BASE}) AS base, count(*) FILTER (WHERE NOT {IS_BASE}) AS cur FROM loans GROUP BY ALL"
     for f in ("genre", "loan_status", "patron_membership_type")), "loans")
-part("shares", """SELECT feature, category, sum(cur + 1e-6::DOUBLE) OVER w AS tc,
+_SHARES = """SELECT feature, category, sum(cur + 1e-6::DOUBLE) OVER w AS tc,
   (base + 1e-6::DOUBLE) / sum(base + 1e-6::DOUBLE) OVER w AS p, (cur + 1e-6::DOUBLE) / sum(cur + 1e-6::DOUBLE) OVER w AS q
-FROM categories WINDOW w AS (PARTITION BY feature)""", "categories")
+FROM {t} WINDOW w AS (PARTITION BY feature)"""
+part("shares", _SHARES.format(t="categories"), "categories")
+part("book_categories", f"""SELECT 'book_id' AS feature, book_id AS category, count(*) FILTER (WHERE {IS_BASE}) AS base,
+  count(*) FILTER (WHERE NOT {IS_BASE}) AS cur FROM loans GROUP BY ALL""", "loans")
+part("book_shares", _SHARES.format(t="book_categories"), "book_categories")
 
 
-def chi2(scale: str) -> str:
-    """Upper tail by the incomplete gamma series, summed in the log domain."""
+def chi2(scale: str, shares: str = "shares", terms: int = 400) -> str:
+    """Upper tail by the incomplete gamma series, summed in the log domain; far in the tail it is 0."""
     term = "(q - p) * (q - p) / p" + (" * tc" if scale == "counts" else "")
     return f"""SELECT feature, {r('stat', 4)} AS chi2_statistic, dof, {r('p_raw', 6)} AS p_value, {r('p_raw', 9)} < 0.05 AS drift_detected,
   CASE WHEN {r('p_raw', 9)} < 0.05 THEN 'CRITICAL' ELSE 'OK' END AS status
-FROM (SELECT feature, stat, dof, CASE WHEN stat / 2 > dof + 50 THEN 0 ELSE greatest(1 - (SELECT sum(exp(-stat / 2 + (dof / 2.0::DOUBLE + k) * ln(stat / 2)
-    - lgamma(dof / 2.0::DOUBLE + k + 1))) FROM range(400) s(k)), 0) END AS p_raw
-  FROM (SELECT feature, sum({term}) AS stat, count(*) - 1 AS dof FROM shares GROUP BY feature))"""
+FROM (SELECT feature, stat, dof, CASE WHEN stat > 2 * dof + 200 THEN 0 ELSE greatest(1 - (SELECT sum(exp(-stat / 2 + (dof / 2.0::DOUBLE + k) * ln(stat / 2)
+    - lgamma(dof / 2.0::DOUBLE + k + 1))) FROM range({terms}) s(k)), 0) END AS p_raw
+  FROM (SELECT feature, sum({term}) AS stat, count(*) - 1 AS dof FROM {shares} GROUP BY feature))"""
 
 
 part("chi2_rows", chi2("counts"), "shares")
@@ -711,6 +715,7 @@ FROM (SELECT {r('avg(hits / 10.0::DOUBLE)', 6)} AS challenger_score FROM hits),
         "stream_psi": w(psi_result("psi_value", "day"), "psi_value_bins", "psi_value_edges"),
         "kl_drift": w("SELECT * FROM kl", "kl"),
         "chi2_drift": w("SELECT * FROM chi2_rows", "chi2_rows"),
+        "chi2_drift_books": w(chi2("counts", "book_shares", 20000), "book_shares"),
         "chi2_drift_proportion": w(chi2("proportion"), "shares"),
         "category_shifts": w(f"SELECT feature, category, {r(r('q - p', 9), 4)} AS shift FROM shares WHERE abs({r('q - p', 9)}) > 0.001", "shares"),
         "histogram_alignment": w(f"""SELECT 'kind' AS feature, category, coalesce(b.n, 0) AS base, coalesce(c.n, 0) AS cur
@@ -753,8 +758,15 @@ FROM checked_requests q LEFT JOIN (
 FROM request_log GROUP BY ALL""", "request_log"),
         "sliding_increase": w("""SELECT date_trunc('hour', request_ts)::TIMESTAMP - to_hours(h) AS window_start, endpoint, count(*) AS requests
 FROM request_log, (SELECT unnest(range(24)) AS h) GROUP BY ALL""", "request_log"),
-        "change_events": w(f"SELECT {MINUTE} AS window_start, endpoint, count(*) AS increase FROM request_log WHERE endpoint = 'purchase' GROUP BY ALL",
-                           "request_log"),
+        "stream_windowed_rate": w(f"""SELECT {MINUTE} AS window_start, endpoint, count(*) AS requests, {r('count(*) / 60.0::DOUBLE', 6)} AS per_second
+FROM request_log GROUP BY ALL""", "request_log"),
+        "change_events": w(f"""
+SELECT date_trunc('hour', m) AS window_start, endpoint, count(*) FILTER (WHERE v <> b) AS changes,
+  sum(CASE WHEN b IS NULL THEN 0 WHEN v < b THEN v ELSE v - b END)::BIGINT AS increase
+FROM (SELECT m, endpoint, v, lag(v) OVER (PARTITION BY endpoint ORDER BY m) AS b
+  FROM (SELECT m, endpoint, sum(n) OVER (PARTITION BY endpoint, date_trunc('day', m) ORDER BY m) AS v
+    FROM (SELECT {MINUTE} AS m, endpoint, count(*) AS n FROM request_log GROUP BY ALL)))
+GROUP BY ALL""", "request_log"),
         "windowed_percentiles": w(_percentiles("latency_ms", 5, {"p50": 0.5, "p95": 0.95, "p99": 0.99}), "request_log"),
         "score_percentiles": w(_percentiles("least(latency_ms / 500, 1.0::DOUBLE)", 10, {"p50": 0.5, "p90": 0.9}), "request_log"),
     }

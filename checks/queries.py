@@ -729,9 +729,17 @@ def chi2_drift_proportion(spark, d):
     return drift.chi2_drift(_categories(spark, d), scale="proportion")
 
 
+@query
+def chi2_drift_books(spark, d):
+    """Drift of the books borrowed: as many categories as there are books."""
+    loans = td.loans(spark, d, ("checkout_date", "book_id"))
+    split = F.lit(td.DRIFT_SPLIT).cast("timestamp")
+    return drift.chi2_drift(drift.category_counts(loans, ["book_id"], F.col("checkout_date") < split))
+
+
 @query
 def category_shifts(spark, d):
-    """Shares of membership types before and after the split, with every shift above half a percent."""
+    """Shares of all three features before and after the split that moved by more than a tenth of a percent."""
     return drift.category_shifts(_categories(spark, d), 0.001)
 
 
@@ -864,34 +872,38 @@ def explain_batch(spark, d):
 # --- streaming ----------------------------------------------------------------------------
 
 def _event_stream(spark, d):
-    schema = td.table(spark, d, "events").schema
-    return live.from_files(spark, d, schema, file_filter="events.parquet")
+    """The events as four files that arrive one per batch, in no order of time, and a fifth that repeats some."""
+    path = scratch(spark, "events")
+    events = td.table(spark, d, "events")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    for i in range(4):
+        events.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    return live.from_files(spark, path, events.schema, max_files=1), events, path
 
 
 @query
 def stream_equals_batch(spark, d):
+    """Events in several batches, out of order and with repeats: each comes out once."""
     out = scratch(spark, "activity")
-    live.append_batches(
-        live.deduplicate(td.activity_from_events(_event_stream(spark, d))), f"{out}/rows", f"{out}/checkpoint"
-    ).awaitTermination()
-    return spark.read.parquet(f"{out}/rows")
+    stream, events, path = _event_stream(spark, d)
+    events.where("event_id % 10 = 3").coalesce(1).write.mode("append").parquet(path)
+    live.unique_events(td.activity_from_events(stream), out, f"{out}/checkpoint").awaitTermination()
+    return live.settled_events(spark, out)
 
 
 @query
 def stream_engagement(spark, d):
     out = scratch(spark, "engagement")
-    live.engagement_updates(
-        td.activity_from_events(_event_stream(spark, d)), f"{out}/updates", f"{out}/checkpoint"
-    ).awaitTermination()
-    return live.latest_engagement(spark, f"{out}/updates")
+    stream, _, _ = _event_stream(spark, d)
+    live.engagement_updates(td.activity_from_events(stream), out, f"{out}/checkpoint", compact_every=2).awaitTermination()
+    return live.latest_engagement(spark, out)
 
 
 @query
 def stream_quarantine(spark, d):
     out = scratch(spark, "quarantine")
-    live.quarantine(
-        td.activity_from_events(_event_stream(spark, d), keep_errors=True), out, f"{out}/checkpoint"
-    ).awaitTermination()
+    stream, _, _ = _event_stream(spark, d)
+    live.quarantine(td.activity_from_events(stream, keep_errors=True), out, f"{out}/checkpoint").awaitTermination()
     read = lambda part: spark.read.parquet(f"{out}/{part}").withColumn("part", F.lit(part))
     return read("valid").unionByName(read("quarantine")).groupBy("part", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
@@ -903,8 +915,18 @@ def stream_psi(spark, d):
     events = td.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     base = events.where(F.col("ts") < F.lit(td.SCORE_SPLIT).cast("timestamp"))
     profile = cut_lineage(drift.baseline_profile(drift.to_long(base, ["value"])))
-    metrics.psi_updates(_event_stream(spark, d), profile, "ts", ["value"], f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{out}/rows").drop("batch_id")
+    stream, _, _ = _event_stream(spark, d)
+    metrics.psi_updates(stream, profile, "ts", ["value"], out, f"{out}/checkpoint").awaitTermination()
+    return metrics.current_psi(spark, profile, out)
+
+
+@query
+def stream_windowed_rate(spark, d):
+    """Requests per minute, counted batch by batch."""
+    out = scratch(spark, "rates")
+    stream, _, _ = _event_stream(spark, d)
+    metrics.rate_updates(td.request_log_from_events(stream), out, f"{out}/checkpoint").awaitTermination()
+    return metrics.current_rates(spark, out)
 
 
 @query
@@ -931,5 +953,5 @@ def score_percentiles(spark, d):
 
 @query
 def change_events(spark, d):
-    """Minutes in which the total of purchases went up."""
-    return metrics.counter_changes(td.request_log(spark, d).where("endpoint = 'purchase'"))
+    """Changes per hour of a counter of requests that starts anew every day."""
+    return metrics.counter_changes(metrics.counter_samples(td.request_log(spark, d)))

@@ -60,3 +60,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _files(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop = _files(spark, path)
+    return files.exists(hadoop)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, hadoop = _files(spark, path)
+    files.delete(hadoop, True)
+
+
+def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The numbers n of the folders ``path``/``prefix``n, ascending."""
+    files, hadoop = _files(spark, path)
+    names = [s.getPath().getName() for s in files.listStatus(hadoop)] if files.exists(hadoop) else []
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))

@@ -118,15 +118,19 @@ def book_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(key("B", "vec_id").alias("book_id"), F.col("embedding").alias("vector"))
 
 
-def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Served requests with a latency."""
-    return table(spark, sf_dir, "events").select(
+def request_log_from_events(events: DataFrame) -> DataFrame:
+    """Served requests with a latency (from a batch or a streaming frame)."""
+    return events.select(
         F.col("ts").cast("timestamp").alias("request_ts"),
         F.col("event_type").alias("endpoint"),
         F.col("value").alias("latency_ms"),
     )
 
 
+def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return request_log_from_events(table(spark, sf_dir, "events"))
+
+
 def prediction_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores in [0, 1] with the period they belong to."""
     return table(spark, sf_dir, "events").select(

@@ -1,8 +1,8 @@
-"""Streaming activity: source, de-duplication, quarantine and live engagement features."""
+"""Streaming activity: source, de-duplication, quarantine and live sums."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stacklens import schemas
 from stacklens.operators.behavioral import engagement_counts, engagement_from_counts
+from stacklens.session import numbered_folders, remove
 
 
 def from_kafka(spark: SparkSession, servers: str, topic: str, max_per_trigger: int | None = None) -> DataFrame:
@@ -25,9 +26,17 @@ def from_kafka(spark: SparkSession, servers: str, topic: str, max_per_trigger: i
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """``value`` (JSON text or bytes) → activity columns."""
-    parsed = F.from_json(F.col("value").cast("string"), schemas.ACTIVITY)
-    return messages.select(parsed.alias("a")).select("a.*")
+    """``value`` (JSON text or bytes) → activity columns and ``raw_message``.
+
+    ``raw_message`` has the whole text of a message that does not parse, else NULL, so that
+    quarantine can keep it.
+    """
+    schema = T.StructType([*schemas.ACTIVITY.fields, T.StructField("raw_message", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "raw_message"}
+    parsed = F.from_json(F.col("value").cast("string"), schema, options)
+    return messages.select(parsed.alias("a"), F.col("value").cast("string").alias("text")).select(
+        *[f"a.{f.name}" for f in schemas.ACTIVITY.fields],
+        F.when(F.col("a").isNull(), F.col("text")).otherwise(F.col("a.raw_message")).alias("raw_message"))
 
 
 def from_files(
@@ -43,13 +52,45 @@ def from_files(
     return reader.parquet(path)
 
 
-def deduplicate(stream: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """First event of each id; an id is forgotten once the watermark has passed it.
+def unique_events(stream: DataFrame, out: str, checkpoint: str, lateness: str = "1 day") -> StreamingQuery:
+    """First event of each id into ``out/rows``; late events into ``out/late``. Nothing is dropped but repeats.
 
-    ``lateness`` must cover how far out of order events arrive: older ones are late
-    and do not get through.
+    An event is late if it is older than the newest one seen before its batch by more than ``lateness``.
+    Others are compared with the accepted ids of that span only, found by the time
+    statistics of the files, so a batch reads no more than the span. Late events are settled
+    against all rows when they are read (``settled_events``). Events without an id are kept.
     """
-    return stream.withWatermark("event_timestamp", lateness).dropDuplicatesWithinWatermark(["event_id"])
+    def accept(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = [n for n in numbered_folders(spark, f"{out}/newest", "batch_id=") if n < batch_id]
+        newest = spark.read.parquet(f"{out}/newest/batch_id={before[-1]}").first()["newest"] if before else None
+        bound = F.lit(newest) - F.expr(f"INTERVAL {lateness}") if newest else F.lit(None).cast("timestamp")
+        fresh = F.coalesce(F.col("event_timestamp") >= bound, F.lit(True))
+        once = _first_of_each(batch).withColumn("fresh", fresh).persist()
+        rows = once.where("fresh").drop("fresh")
+        if before:
+            known = spark.read.parquet(f"{out}/rows").where(F.col("batch_id") < batch_id).where(
+                (F.col("event_timestamp") >= bound) | F.col("event_timestamp").isNull())
+            rows = rows.join(known.select("event_id"), "event_id", "left_anti").select(batch.columns)
+        rows.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
+        once.where("NOT fresh").drop("fresh").write.mode("overwrite").parquet(f"{out}/late/batch_id={batch_id}")
+        newest_now = once.agg(F.greatest(F.max("event_timestamp"), F.lit(newest).cast("timestamp")).alias("newest"))
+        newest_now.write.mode("overwrite").parquet(f"{out}/newest/batch_id={batch_id}")
+        once.unpersist()
+
+    return _start(stream, "append", accept, checkpoint)
+
+
+def _first_of_each(events: DataFrame) -> DataFrame:
+    """One row of each id, and all rows without one."""
+    return events.where("event_id IS NOT NULL").dropDuplicates(["event_id"]).unionByName(events.where("event_id IS NULL"))
+
+
+def settled_events(spark: SparkSession, out: str) -> DataFrame:
+    """All accepted events and the late ones that repeat none of them."""
+    rows, late = (spark.read.parquet(f"{out}/{part}").drop("batch_id") for part in ("rows", "late"))
+    more = _first_of_each(late).join(rows.select("event_id"), "event_id", "left_anti").select(rows.columns)
+    return rows.unionByName(more)
 
 
 def is_valid() -> F.Column:
@@ -80,20 +121,53 @@ def quarantine(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return _start(stream, "append", split, checkpoint)
 
 
-def engagement_updates(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Running engagement counts per patron; each batch writes the patrons it changed."""
+def additive_updates(
+    stream: DataFrame, counts: Callable[[DataFrame], DataFrame], keys: Sequence[str], out: str, checkpoint: str,
+    compact_every: int = 10,
+) -> StreamingQuery:
+    """Running sums of ``counts(batch)`` by ``keys``; all its other columns are added up.
 
+    A batch writes its own sums to ``out/delta``. After ``compact_every`` batches they are added to
+    the table of all before, ``out/base``, so what a reader adds up stays bounded. A
+    repeated batch overwrites its folder; sums need no watermark and lose no late event.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        counts(batch).write.mode("overwrite").parquet(f"{out}/delta/batch_id={batch_id}")
+        if (batch_id + 1) % compact_every:
+            return
+        old = [n for n in numbered_folders(spark, f"{out}/base", "upto=") if n < batch_id]
+        current_sums(spark, keys, out, batch_id - 1, batch_id).write.mode("overwrite").parquet(f"{out}/base/upto={batch_id}")
+        # One earlier table stays for readers that have begun.
+        for n in old[:-1]:
+            remove(spark, f"{out}/base/upto={n}")
+        for n in numbered_folders(spark, f"{out}/delta", "batch_id="):
+            if old and n <= old[-1]:
+                remove(spark, f"{out}/delta/batch_id={n}")
+
+    return _start(stream, "append", write, checkpoint)
+
+
+def current_sums(spark: SparkSession, keys: Sequence[str], out: str, base: int | None = None, upto: int | None = None) -> DataFrame:
+    """The newest table of sums plus the batches after it."""
+    bases = [n for n in numbered_folders(spark, f"{out}/base", "upto=") if base is None or n <= base]
+    deltas = [n for n in numbered_folders(spark, f"{out}/delta", "batch_id=") if (not bases or n > bases[-1]) and (upto is None or n <= upto)]
+    paths = [f"{out}/base/upto={bases[-1]}"] if bases else []
+    rows = spark.read.parquet(*paths, *[f"{out}/delta/batch_id={n}" for n in deltas])
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in rows.columns if c not in keys])
+
+
+ENGAGEMENT_KEYS = ("patron_id", "event_type", "device_type")
+
 
-    return _start(engagement_counts(stream), "update", write, checkpoint)
+def engagement_updates(stream: DataFrame, out: str, checkpoint: str, compact_every: int = 10) -> StreamingQuery:
+    """Running engagement counts per patron, event type and device."""
+    return additive_updates(stream, engagement_counts, ENGAGEMENT_KEYS, out, checkpoint, compact_every)
 
 
 def latest_engagement(spark: SparkSession, out: str) -> DataFrame:
-    """Engagement features from the newest update of each patron."""
-    updates = spark.read.parquet(out)
-    newest = updates.groupBy("patron_id").agg(F.max("batch_id").alias("batch_id"))
-    return engagement_from_counts(updates.join(newest, ["patron_id", "batch_id"]).drop("batch_id"))
+    """Engagement features from the counts of all batches."""
+    return engagement_from_counts(current_sums(spark, ENGAGEMENT_KEYS, out))
 
 
 def append_batches(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

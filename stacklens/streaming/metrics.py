@@ -1,27 +1,66 @@
-"""Service metrics over event-time windows; every function takes a batch or a stream."""
+"""Service metrics over event-time windows.
+
+Counts are additive: streams keep sums per window (``*_updates``) that are read with ``current_*``.
+Percentiles are not; a stream gives them for windows the watermark has closed.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stacklens.operators import drift
-from stacklens.streaming.activity import _start
+from stacklens.streaming.activity import additive_updates, append_batches, current_sums
 
 PERCENTILES = (0.50, 0.95, 0.99)
 
 
+def window_counts(requests: DataFrame, length: str = "1 minute") -> DataFrame:
+    """(window_start, endpoint, requests) of tumbling windows; additive over batches."""
+    counted = requests.groupBy(F.window("request_ts", length).alias("w"), "endpoint").agg(F.count(F.lit(1)).alias("requests"))
+    return counted.select(F.col("w.start").alias("window_start"), "endpoint", "requests")
+
+
+def rates(counts: DataFrame, seconds: float) -> DataFrame:
+    return counts.withColumn("per_second", F.round(F.col("requests") / seconds, 6))
+
+
 def windowed_rate(requests: DataFrame, length: str = "1 minute", slide: str | None = None) -> DataFrame:
-    """Requests and requests per second by endpoint and window."""
-    w = F.window("request_ts", length, slide) if slide else F.window("request_ts", length)
-    counted = requests.groupBy(w.alias("w"), "endpoint").agg(F.count(F.lit(1)).alias("requests"))
-    seconds = F.unix_timestamp("w.end") - F.unix_timestamp("w.start")
-    return counted.select(
-        F.col("w.start").alias("window_start"), "endpoint", "requests",
-        F.round(F.col("requests") / seconds, 6).alias("per_second"),
-    )
+    """Requests and requests per second by endpoint and window.
+
+    Sliding windows are spread from counts of tumbling ones as long as the slide, not from
+    the requests; ``length`` must be a multiple of ``slide``.
+    """
+    seconds = _seconds(length)
+    if slide is None:
+        return rates(window_counts(requests, length), seconds)
+    step = _seconds(slide)
+    if seconds % step:
+        raise ValueError(f"{length} is no multiple of {slide}")
+    small = window_counts(requests, slide)
+    back = F.explode(F.transform(F.sequence(F.lit(0), F.lit(seconds // step - 1)), lambda k: F.make_interval(secs=k * step)))
+    spread = small.select("endpoint", "requests", "window_start", back.alias("back"))
+    return rates(spread.groupBy((F.col("window_start") - F.col("back")).alias("window_start"), "endpoint").agg(
+        F.sum("requests").alias("requests")), seconds)
+
+
+def _seconds(length: str) -> int:
+    number, unit = length.split()
+    return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+
+RATE_KEYS = ("window_start", "endpoint")
+
+
+def rate_updates(stream: DataFrame, out: str, checkpoint: str, length: str = "1 minute"):
+    """Running counts per window; late requests are added to their window whenever they come."""
+    return additive_updates(stream, lambda batch: window_counts(batch, length), RATE_KEYS, out, checkpoint)
+
+
+def current_rates(spark: SparkSession, out: str, length: str = "1 minute") -> DataFrame:
+    return rates(current_sums(spark, RATE_KEYS, out), _seconds(length))
 
 
 def windowed_percentiles(
@@ -39,17 +78,50 @@ def windowed_percentiles(
     )
 
 
+def closed_percentiles(stream: DataFrame, value: str, lateness: str, out: str, checkpoint: str, length: str = "5 minutes",
+                       probs: Sequence[float] = PERCENTILES):
+    """Percentiles of the windows that the watermark has closed, as a stream into parquet."""
+    return append_batches(windowed_percentiles(stream.withWatermark("request_ts", lateness), value, length, probs), out, checkpoint)
+
+
+PSI_KEYS = ("day", "feature", "bin")
+
+
 def psi_updates(stream: DataFrame, profile: DataFrame, ts: str, features: Sequence[str], out: str, checkpoint: str):
-    """PSI per day and feature of every arriving batch against a stored baseline profile."""
+    """Running bin counts per day and feature against the edges of a stored baseline profile."""
+    def counts(batch: DataFrame) -> DataFrame:
+        return drift.bin_counts(profile, drift.to_long(batch.withColumn("day", F.to_date(ts)), features, "day"), ["day"])
+
+    return additive_updates(stream, counts, PSI_KEYS, out, checkpoint)
+
+
+def current_psi(spark: SparkSession, profile: DataFrame, out: str) -> DataFrame:
+    """PSI per day and feature from the counts of all batches."""
+    return drift.psi_from_counts(profile, current_sums(spark, PSI_KEYS, out), ["day"])
+
+
+def counter_samples(requests: DataFrame, length: str = "1 minute", reset: str = "1 day") -> DataFrame:
+    """(period, window_start, endpoint, value): a running total of requests that starts anew every ``reset``.
 
-    def check(batch: DataFrame, batch_id: int) -> None:
-        long = drift.to_long(batch.withColumn("day", F.to_date(ts)), features, "day")
-        drift.psi(profile, long, by=["day"]).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    Ordered within endpoint and period over the counts of windows, not over requests.
+    """
+    period = F.window("window_start", reset)["start"]
+    counted = window_counts(requests, length).withColumn("period", period)
+    upto = Window.partitionBy("endpoint", "period").orderBy("window_start")
+    return counted.select("period", "window_start", "endpoint", F.sum("requests").over(upto).alias("value"))
 
-    return _start(stream, "append", check, checkpoint)
 
+def counter_changes(samples: DataFrame, length: str = "1 hour") -> DataFrame:
+    """Changes and increase of a counter by endpoint and window.
 
-def counter_changes(requests: DataFrame, length: str = "1 minute") -> DataFrame:
-    """Windows in which the running total of an endpoint went up, with the increase."""
-    counted = windowed_rate(requests, length)
-    return counted.where(F.col("requests") > 0).select("window_start", "endpoint", F.col("requests").alias("increase"))
+    A sample that differs from the one before is a change; one below it means that the
+    counter began anew, and counts in full. The first sample of an endpoint is neither.
+    """
+    order = Window.partitionBy("endpoint").orderBy("window_start")
+    before, value = F.lag("value").over(order), F.col("value")
+    # One row per endpoint and window of the counter, however many requests there were.
+    steps = samples.withColumn("before", before)
+    grown = F.when(F.col("before").isNull(), 0).when(value < F.col("before"), value).otherwise(value - F.col("before"))
+    return steps.groupBy(F.window("window_start", length).alias("w"), "endpoint").agg(
+        F.count_if(value != F.col("before")).alias("changes"), F.sum(grown).alias("increase"),
+    ).select(F.col("w.start").alias("window_start"), "endpoint", "changes", "increase")

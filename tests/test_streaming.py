@@ -1,9 +1,12 @@
 import json
+from datetime import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from stacklens import schemas
 from stacklens.operators.behavioral import engagement_features
+from stacklens.session import numbered_folders
 from stacklens.sources import testdata
 from stacklens.streaming import activity as live
 from stacklens.streaming import metrics
@@ -16,29 +19,36 @@ def files_of(spark, tiny, path, n):
 
 
 def test_engagement_over_many_batches_equals_batch(spark, tiny, tmp_path):
-    stream = files_of(spark, tiny, str(tmp_path / "in"), 5)
-    live.engagement_updates(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    stream = files_of(spark, tiny, str(tmp_path / "in"), 7)
+    live.engagement_updates(stream, str(tmp_path / "out"), str(tmp_path / "cp"), compact_every=2).awaitTermination()
     got = live.latest_engagement(spark, str(tmp_path / "out"))
     want = engagement_features(testdata.activity(spark, tiny))
     assert got.exceptAll(want).count() == 0 and got.count() == want.count()
-    assert spark.read.parquet(str(tmp_path / "out")).select("batch_id").distinct().count() == 5
+    # Batches that a table of sums covers are gone, but for those of its last predecessor.
+    assert numbered_folders(spark, str(tmp_path / "out/base"), "upto=") == [3, 5]
+    assert numbered_folders(spark, str(tmp_path / "out/delta"), "batch_id=") == [4, 5, 6]
 
 
-def test_rows_do_not_depend_on_the_batch_size(spark, tiny, tmp_path):
-    for n in (1, 4):
-        # The files arrive in any order, so the watermark must allow for the whole month.
-        stream = live.deduplicate(files_of(spark, tiny, str(tmp_path / f"in{n}"), n), "60 days")
-        live.append_batches(stream, str(tmp_path / f"out{n}"), str(tmp_path / f"cp{n}")).awaitTermination()
-    one, four = (spark.read.parquet(str(tmp_path / f"out{n}")) for n in (1, 4))
-    assert one.exceptAll(four).count() == 0 and one.count() == four.count() == 1000
+@pytest.mark.parametrize("lateness", ["1 day", "60 days"])
+@pytest.mark.parametrize("n", [1, 4])
+def test_rows_do_not_depend_on_the_batch_size(spark, tiny, tmp_path, n, lateness):
+    rows = testdata.activity(spark, tiny)
+    rows.union(rows.limit(50)).repartition(n).write.parquet(str(tmp_path / "in"))
+    stream = live.from_files(spark, str(tmp_path / "in"), schemas.ACTIVITY, max_files=1)
+    live.unique_events(stream, str(tmp_path / "out"), str(tmp_path / "cp"), lateness).awaitTermination()
+    got = live.settled_events(spark, str(tmp_path / "out"))
+    assert got.exceptAll(rows).count() == 0 and got.count() == rows.count()
+    assert (spark.read.parquet(str(tmp_path / "out/late")).count() > 0) == (n > 1 and lateness == "1 day")
 
 
-def test_repeated_events_are_dropped(spark, tiny, tmp_path):
-    rows = testdata.activity(spark, tiny)
-    rows.union(rows.limit(50)).write.parquet(str(tmp_path / "in"))
-    stream = live.deduplicate(live.from_files(spark, str(tmp_path / "in"), schemas.ACTIVITY))
-    live.append_batches(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == rows.count()
+def test_events_without_id_or_time_are_kept(spark, tmp_path):
+    rows = [(None, "P1", "book_view", dt(2024, 1, 1), "B1", "S", "mobile", "{}")] * 2 + [("E1", "P1", "book_view", None, "B1", "S", "mobile", "{}")] * 2
+    for i in range(2):
+        spark.createDataFrame(rows, schemas.ACTIVITY).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = live.from_files(spark, str(tmp_path / "in"), schemas.ACTIVITY, max_files=1)
+    live.unique_events(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got = [r.event_id for r in live.settled_events(spark, str(tmp_path / "out")).collect()]
+    assert sorted(map(str, got)) == ["E1"] + ["None"] * 4
 
 
 def test_quarantine_keeps_every_row(spark, tiny, tmp_path):
@@ -56,7 +66,14 @@ def test_json_messages(spark):
                           "event_timestamp": "2024-01-01T10:00:00", "book_id": None, "session_id": "S",
                           "device_type": "mobile", "event_metadata": '{"rating": 4}'})
     row = live.parse_messages(spark.createDataFrame([(bytearray(message.encode()),)], "value binary")).first()
-    assert (row.event_id, row.book_id, row.event_timestamp.hour) == ("E1", None, 10)
+    assert (row.event_id, row.book_id, row.event_timestamp.hour, row.raw_message) == ("E1", None, 10, None)
+
+
+@pytest.mark.parametrize("message", ["{broken", '{"event_id": "E1", "event_timestamp": "soon"}', "[]", ""])
+def test_malformed_messages_keep_their_text(spark, message):
+    rows = live.parse_messages(spark.createDataFrame([(message,)], "value string"))
+    row = rows.withColumn("ok", live.is_valid()).first()
+    assert row.raw_message == message and not row.ok
 
 
 def test_windows_work_on_a_stream(spark, tiny, tmp_path):
