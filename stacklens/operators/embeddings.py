@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stacklens.operators.block_scores import top_scores
@@ -85,3 +85,12 @@ def similar(vectors: DataFrame, n: int) -> DataFrame:
         vectors, vectors.withColumnRenamed("book_id", "similar_book_id"), "book_id", "similar_book_id", n,
         exclude=vectors.select("book_id", F.col("book_id").alias("similar_book_id")), cosine=True,
     )
+
+
+def save(path: str, vectors: DataFrame) -> None:
+    vectors.write.mode("overwrite").parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """(book_id, vector) as saved."""
+    return spark.read.parquet(path)

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from stacklens.functions.numeric import steady_round
 
 
-def split_by_hash(loans: DataFrame, train_pct: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Row-level split that does not depend on partitioning.
+def split_by_hash(loans: DataFrame, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
+    """Split that depends on neither partitioning nor engine: by the md5 of patron, book and checkout second.
 
-    Equal rows are told apart by nothing, so they fall on the same side.
+    Loans of one book by one patron at one time fall on the same side.
     """
-    bucket = F.pmod(F.xxhash64(*loans.columns, F.lit(seed)), F.lit(100))
+    key = F.concat_ws("|", "patron_id", "book_id", F.unix_timestamp("checkout_date").cast("string"))
+    bucket = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % 100
     return loans.where(bucket < train_pct), loans.where(bucket >= train_pct)
 
 
@@ -38,33 +39,34 @@ def _hits(recommendations: DataFrame, holdout: DataFrame, k: int) -> DataFrame:
     return per_patron.join(hits, "patron_id", "left").fillna(0, subset=["hits", "dcg"])
 
 
-def precision_recall_at_k(recommendations: DataFrame, holdout: DataFrame, k: int = 10) -> DataFrame:
-    """Mean over the holdout patrons of hits/k and hits/relevant."""
+def ranking_metrics(recommendations: DataFrame, holdout: DataFrame, k: int = 10) -> DataFrame:
+    """One row: means over the holdout patrons of hits/k, hits/relevant and DCG over the best possible DCG."""
+    ideal = F.aggregate(
+        F.sequence(F.lit(1), F.least(F.col("n_relevant"), F.lit(k)).cast("int")), F.lit(0.0),
+        lambda acc, i: acc + F.lit(1.0) / F.log2(i + F.lit(1.0)),
+    )
     return _hits(recommendations, holdout, k).agg(
         F.count(F.lit(1)).alias("n_patrons"),
         steady_round(F.avg(F.col("hits") / F.lit(float(k))), 6).alias("precision_at_k"),
         steady_round(F.avg(F.col("hits") / F.col("n_relevant")), 6).alias("recall_at_k"),
+        steady_round(F.avg(F.col("dcg") / ideal), 6).alias("ndcg_at_k"),
     )
 
 
+def precision_recall_at_k(recommendations: DataFrame, holdout: DataFrame, k: int = 10) -> DataFrame:
+    return ranking_metrics(recommendations, holdout, k).drop("ndcg_at_k")
+
+
 def ndcg_at_k(recommendations: DataFrame, holdout: DataFrame, k: int = 10) -> DataFrame:
-    """Mean over the holdout patrons of DCG over the best possible DCG."""
-    ideal = F.aggregate(
-        F.sequence(F.lit(1), F.least(F.col("n_relevant"), F.lit(k)).cast("int")), F.lit(0.0),
-        lambda acc, i: acc + F.lit(1.0) / F.log2(i + F.lit(1.0)),
-    )
-    return _hits(recommendations, holdout, k).agg(
-        F.count(F.lit(1)).alias("n_patrons"), steady_round(F.avg(F.col("dcg") / ideal), 6).alias("ndcg_at_k")
-    )
+    return ranking_metrics(recommendations, holdout, k).select("n_patrons", "ndcg_at_k")
 
 
 def compare_models(lists: dict[str, DataFrame], holdout: DataFrame, k: int = 10) -> DataFrame:
-    """One row per model: precision, recall and NDCG at k."""
+    """One row per model: precision, recall and NDCG at k, from one pass over its list."""
     rows = None
     for model, recs in lists.items():
-        row = precision_recall_at_k(recs, holdout, k).join(
-            ndcg_at_k(recs, holdout, k), "n_patrons"
-        ).select(F.lit(model).alias("model"), "n_patrons", "precision_at_k", "recall_at_k", "ndcg_at_k")
+        row = ranking_metrics(recs, holdout, k).select(
+            F.lit(model).alias("model"), "n_patrons", "precision_at_k", "recall_at_k", "ndcg_at_k")
         rows = row if rows is None else rows.unionByName(row)
     return rows
 

@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stacklens.operators.interactions import with_global_rank
+from stacklens.session import cut_lineage
+
+#: Largest popularity rank up to which the ranks are broadcast, and parts of a rank beyond it.
+BROADCAST_RANKS = 100_000
+SALTS = 64
 
 
 def exclude_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:
@@ -25,36 +30,42 @@ def popularity_ranks(catalog: DataFrame) -> DataFrame:
     )
 
 
-def popular_unseen(seen: DataFrame, ranked: DataFrame, n: int) -> DataFrame:
+def popular_unseen(seen: DataFrame, ranked: DataFrame, n: int, patrons: DataFrame | None = None) -> DataFrame:
     """The ``n`` most borrowed books each patron has not had: (patron_id, book_id, score, rank).
 
-    If a patron's i-th seen book (by popularity) has popularity rank r, then r - i
+    For the patrons of ``seen``, or all of ``patrons``: those without loans get the most
+    borrowed books. If a patron's i-th seen book (by popularity) has popularity rank r, then r - i
     unseen books come before it. So the j-th unseen book has rank j plus the number
     of seen books with r - i < j. Only the n result rows per patron are produced;
     no patron meets the whole catalog.
     """
     seen_ranks = seen.join(ranked.select("book_id", "popularity_rank"), "book_id")
     by_rank = Window.partitionBy("patron_id").orderBy("popularity_rank")
-    unseen_before = (
+    unseen_before = cut_lineage(
         seen_ranks.withColumn("gap", F.col("popularity_rank") - F.row_number().over(by_rank))
         .where(F.col("gap") < n)
         .groupBy("patron_id", "gap").agg(F.count(F.lit(1)).alias("seen_here"))
-        .groupBy("patron_id").agg(F.collect_list(F.struct("gap", "seen_here")).alias("gaps"))
-    )
-    slots = (
-        seen.select("patron_id").distinct()
-        .join(unseen_before, "patron_id", "left")
-        .withColumn("rank", F.explode(F.sequence(F.lit(1), F.lit(n))))
+        .groupBy("patron_id").agg(F.collect_list(F.struct("gap", "seen_here")).alias("gaps"), F.sum("seen_here").alias("skipped"))
     )
+    everyone = (seen if patrons is None else patrons).select("patron_id").where("patron_id IS NOT NULL").distinct()
+    slots = everyone.join(unseen_before, "patron_id", "left").withColumn("rank", F.explode(F.sequence(F.lit(1), F.lit(n))))
     skipped = F.aggregate(
         F.filter(F.coalesce("gaps", F.array().cast("array<struct<gap:bigint,seen_here:bigint>>")),
                  lambda g: g["gap"] < F.col("rank")),
         F.lit(0).cast("long"), lambda acc, g: acc + g["seen_here"],
     )
     wanted = slots.select("patron_id", "rank", (F.col("rank") + skipped).alias("popularity_rank"))
-    return wanted.join(ranked, "popularity_rank").select(
-        "patron_id", "book_id", F.col("total_borrows").cast("double").alias("score"), "rank"
-    )
+    # All patrons want the same few ranks: no one asks for more than n and the most books any patron skips.
+    deepest = n + (unseen_before.agg(F.max("skipped")).first()[0] or 0)
+    asked = ranked.where(F.col("popularity_rank") <= deepest)
+    if deepest <= BROADCAST_RANKS:
+        found = wanted.join(F.broadcast(asked), "popularity_rank")
+    else:
+        # The popular ranks would meet in one task each, so both sides are dealt by a salt too.
+        salt = F.pmod(F.xxhash64("patron_id"), F.lit(SALTS)).cast("int")
+        salted = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        found = wanted.withColumn("salt", salt).join(salted, ["popularity_rank", "salt"])
+    return found.select("patron_id", "book_id", F.col("total_borrows").cast("double").alias("score"), "rank")
 
 
 def minmax_normalise(candidates: DataFrame, score: str = "score") -> DataFrame:

@@ -22,10 +22,17 @@ from stacklens.session import cut_lineage
 class SvdModel(FactorModel):
     singular_values: tuple[float, ...] = ()
 
+    def save(self, path: str) -> None:
+        super().save(path)
+        spark = self.book_factors.sparkSession
+        rows = spark.createDataFrame(list(enumerate(self.singular_values)), "component int, value double")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/singular_values")
+
     @classmethod
     def load(cls, spark, path: str) -> SvdModel:
         model = FactorModel.load(spark, path)
-        return cls(model.patron_factors, model.book_factors)
+        values = spark.read.parquet(f"{path}/singular_values").orderBy("component").collect()
+        return cls(model.patron_factors, model.book_factors, tuple(r.value for r in values))
 
 
 def _multiply(strengths: DataFrame, factors: DataFrame, by: str, to: str, dims: int) -> DataFrame:
@@ -66,8 +73,10 @@ def _orthonormal(factors: DataFrame, key: str, dims: int) -> DataFrame:
 def fit(
     strengths: DataFrame, n_components: int = 50, n_iter: int = 10, oversample: int = 10, seed: int = 42
 ) -> SvdModel:
-    """Patron factors UΣ and book factors V of the ``n_components`` largest singular values."""
-    strengths = cut_lineage(strengths)
+    """Patron factors UΣ and book factors V of the ``n_components`` largest singular values.
+
+    ``strengths`` is read twice per iteration; the caller writes it out once.
+    """
     dims = n_components + oversample
     # Start block: a uniform number per book and column that depends on the book id only.
     uniform = lambda j: F.pmod(F.xxhash64("book_id", F.lit(j), F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20)) - 0.5

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stacklens.functions.numeric import rank_score
-from stacklens.functions.text import bound_once, ngrams, tokens
+from stacklens.functions.text import ngrams, tokens
 from stacklens.operators.block_scores import top_scores
 from stacklens.session import cut_lineage
 
-MAX_WIDE_TERMS = 1000
-
 
 def _grams(docs: DataFrame, key: str, text: str, ngram_range: Sequence[int], stop_words: Iterable[str] | None) -> DataFrame:
     return docs.select(key, ngrams(tokens(F.col(text), stop_words), ngram_range).alias("grams"))
@@ -47,30 +45,32 @@ def vocabulary(
     min_df: int = 1,
     stop_words: Iterable[str] | None = None,
 ) -> DataFrame:
-    """The ``max_features`` most frequent terms: (term, corpus_count, df).
+    """The ``max_features`` most frequent terms: (term, corpus_count, df)."""
+    return most_frequent(spread_counts(docs, key, text, ngram_range, stop_words), max_features, min_df)
+
+
+def spread_counts(
+    docs: DataFrame, key: str, text: str, ngram_range: Sequence[int] = (1, 2), stop_words: Iterable[str] | None = None
+) -> DataFrame:
+    """``term_counts`` after dealing the texts by key.
 
-    Every document adds its terms once with their repeats and once distinct; both
-    sums combine map-side by term, so no (document, term) pairs are shuffled.
+    That shuffle spreads a table of few files over all cores, and the counts by key and term
+    need no other: the terms of a document are where its text is.
     """
-    grams = _grams(docs, key, text, ngram_range, stop_words)
-    twice = bound_once(F.col("grams"), lambda g: F.array(
-        F.struct(g.alias("grams"), F.lit(0).alias("distinct")),
-        F.struct(F.array_distinct(g).alias("grams"), F.lit(1).alias("distinct")),
-    ))
-    marked = grams.select(F.explode(twice).alias("g")).select("g.distinct", F.explode("g.grams").alias("term"))
-    per_term = marked.groupBy("term").agg(
-        F.sum(1 - F.col("distinct")).alias("corpus_count"), F.sum("distinct").alias("df")
-    )
+    return term_counts(docs.select(key, text).repartition(key), key, text, ngram_range, stop_words)
+
+
+def most_frequent(counts: DataFrame, max_features: int, min_df: int = 1) -> DataFrame:
+    per_term = counts.groupBy("term").agg(F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("df"))
     return per_term.where(F.col("df") >= min_df).orderBy(F.desc("corpus_count"), "term").limit(max_features)
 
 
-def weights(docs: DataFrame, counts: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
+def weights(n_docs: int, counts: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
     """(key, term, weight): tf · (ln((1+n)/(1+df)) + 1), scaled to unit length per document.
 
     The vocabulary holds at most ``max_features`` rows, a parameter, so it is broadcast.
     """
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0
+    idf = F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0
     raw = counts.join(F.broadcast(vocab), "term").select(key, "term", (F.col("tf") * idf).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("w") / norm).alias("weight"))
@@ -85,17 +85,25 @@ def fit(
     min_df: int = 1,
     stop_words: Iterable[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(vocabulary, weights) of a corpus. The vocabulary is written once; both passes need it."""
-    vocab = cut_lineage(vocabulary(docs, key, text, max_features, ngram_range, min_df, stop_words))
-    counts = term_counts(docs, key, text, ngram_range, stop_words, vocab)
-    return vocab, weights(docs, counts, vocab, key)
+    """(vocabulary, weights) of a corpus. Texts are read and tokenised once, into written counts."""
+    counts = cut_lineage(spread_counts(docs, key, text, ngram_range, stop_words))
+    vocab = cut_lineage(most_frequent(counts, max_features, min_df))
+    return vocab, weights(docs.count(), counts, vocab, key)
+
+
+def save(path: str, vocab: DataFrame, weighted: DataFrame) -> None:
+    vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
+    weighted.write.mode("overwrite").parquet(f"{path}/weights")
+
+
+def load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(vocabulary, weights) as saved."""
+    return spark.read.parquet(f"{path}/vocabulary"), spark.read.parquet(f"{path}/weights")
 
 
 def wide(docs: DataFrame, weighted: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
-    """One ``tfidf_<term>`` column per vocabulary term, 0 where absent."""
-    terms = sorted(r.term for r in vocab.select("term").limit(MAX_WIDE_TERMS + 1).collect())
-    if len(terms) > MAX_WIDE_TERMS:
-        raise ValueError(f"more than {MAX_WIDE_TERMS} terms; use the long form")
+    """One ``tfidf_<term>`` column per vocabulary term, 0 where absent; ``weighted`` is the long form."""
+    terms = sorted(r.term for r in vocab.select("term").collect())
     present = weighted.groupBy(key).agg(*[
         F.sum(F.when(F.col("term") == t, F.col("weight")).otherwise(0.0)).alias(f"tfidf_{t}") for t in terms
     ])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,9 +54,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably in the shared folder and drop its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written to the shared folder and read from there: pruned columns, statistics, no lineage.
+
+    The files go when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    files, hadoop = _files(spark, path)
+    files.mkdirs(hadoop)
+    files.deleteOnExit(hadoop)
+    df.write.parquet(f"{path}/rows")
+    return spark.read.schema(df.schema).parquet(f"{path}/rows")
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
