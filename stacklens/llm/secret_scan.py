@@ -35,7 +35,8 @@ ALLOWED = tuple(re.compile(p, re.IGNORECASE | re.ASCII) for p in (
 ))
 BEFORE = 16
 
-_PLOG = [0.0, *[c * math.log2(c) for c in range(1, WINDOW + 1)]]
+# One more than a window holds: the new character enters before the old one leaves.
+_PLOG = [0.0, *[c * math.log2(c) for c in range(1, WINDOW + 2)]]
 
 
 def hot_runs(run: str, bits: float, window: int = WINDOW) -> list[tuple[int, int]]:
