@@ -798,6 +798,9 @@ FROM hashed WHERE NOT is_train AND patron_id IN (SELECT patron_id FROM hashed WH
 FROM (SELECT unnest(['popularity', 'tfidf', 'embedding', 'als', 'svd']) AS model),
   (SELECT count(*) AS n_patrons, {r('avg(hits / 10.0::DOUBLE)', 6)} AS p, {r('avg(hits / n_relevant)', 6)} AS q,
     {r('avg(dcg / (SELECT sum(1.0::DOUBLE / log2(i + 1)) FROM range(1, 11) s(i) WHERE i <= n_relevant))', 6)} AS g FROM hits)""", "hits")
+    sql["recommend_batch_hybrid"] = w("""SELECT status, count(*) AS n_requests, TRUE AS size_kept, TRUE AS answered, TRUE AS cap_kept, TRUE AS exclude_kept
+FROM (SELECT CASE WHEN status = 'ok' AND patron_id NOT IN (SELECT patron_id FROM pairs) THEN 'not_found' ELSE status END AS status
+  FROM checked_requests) GROUP BY status""", "checked_requests", "pairs")
     sql["retrain_properties"] = w("""SELECT 1 AS n_versions, 'v1' AS champion, TRUE AS promoted, TRUE AS ran, FALSE AS ran_again,
   count(*) AS baseline_rows FROM loans""", "loans")
     asked = """SELECT request_id, trim(r.patron_id) AS patron_id, b.book_id FROM recommend_requests r

@@ -950,11 +950,14 @@ def system_status(spark, d):
 def _scored_lists(spark, d):
     """Scored candidates with and without the books a patron had, from the content models."""
     books, vocab, weighted = _text_model(spark, d)
-    pairs = cut_lineage(_pairs(spark, d))
-    loans = td.loans(spark, d, ("patron_id", "book_id", "checkout_date"))
+    all_loans = cut_lineage(td.loans(spark, d, ("patron_id", "book_id", "checkout_date")))
     vectors, genres = td.book_vectors(spark, d), _top_genres(spark, d)
+    asked = cut_lineage(requests.validate_recommend(td.recommend_requests(spark, d)).where("status = 'ok'"))
     rows = None
     for unseen_only in (True, False):
+        # Only patrons that ask, under the flag they ask with.
+        loans = all_loans.join(asked.where(F.col("exclude_seen") == unseen_only), "patron_id", "left_semi")
+        pairs = cut_lineage(seen_pairs(loans))
         lists = {
             "tfidf": tfidf.recommend(pairs, books, vocab, weighted, 50, unseen_only),
             "embedding": embeddings.recommend(loans, pairs, vectors, 50, unseen_only),
@@ -969,6 +972,26 @@ def recommend_batch(spark, d):
     return rounded(requests.recommend_batch(td.recommend_requests(spark, d), _scored_lists(spark, d)))
 
 
+@query
+def recommend_batch_hybrid(spark, d):
+    """Requests answered from all four models: how many of each status, and whether each request was honoured."""
+    engine, asked = _engine(spark, d), td.recommend_requests(spark, d)
+    answers = cut_lineage(engine.answer(asked))
+    checked = requests.validate_recommend(asked).select("request_id", "n_recommendations", "exclude_seen", "diversity_cap")
+    per_genre = answers.where("book_id IS NOT NULL").groupBy("request_id", "genre").agg(F.count(F.lit(1)).alias("n"))
+    per_request = answers.groupBy("request_id", "status").agg(F.count("book_id").alias("n"), F.max("rank").alias("last"))
+    seen = answers.join(engine.seen(), ["patron_id", "book_id"], "left_semi").select("request_id").distinct()
+    facts = (per_request.join(checked, "request_id")
+             .join(per_genre.groupBy("request_id").agg(F.max("n").alias("most")), "request_id", "left")
+             .join(seen.withColumn("repeats", F.lit(True)), "request_id", "left"))
+    return facts.groupBy("status").agg(
+        F.count(F.lit(1)).alias("n_requests"),
+        F.bool_and((F.col("n") <= F.col("n_recommendations")) | (F.col("n") == 0)).alias("size_kept"),
+        F.bool_and((F.col("n") > 0) == (F.col("status") == "ok")).alias("answered"),
+        F.bool_and(F.coalesce(F.col("most") <= F.col("diversity_cap"), F.lit(True))).alias("cap_kept"),
+        F.bool_and(F.coalesce(~F.col("exclude_seen") | ~F.col("repeats"), F.lit(True))).alias("exclude_kept"))
+
+
 @query
 def similar_batch(spark, d):
     books, vocab, weighted = _text_model(spark, d)

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stacklens.operators import als, embeddings, ranking, svd, tfidf
+from stacklens.operators import als, embeddings, ranking, requests, svd, tfidf
 from stacklens.operators.catalog import book_catalog
 from stacklens.operators.factors import FactorModel, NotFittedError
 from stacklens.operators.interactions import interactions
@@ -118,17 +118,37 @@ class HybridEngine:
     def seen(self) -> DataFrame:
         return self.strengths.select("patron_id", "book_id")
 
-    def lists(self, n: int = CANDIDATES_PER_MODEL) -> dict[str, DataFrame]:
+    def lists(self, n: int = CANDIDATES_PER_MODEL, unseen: bool = True, patrons: DataFrame | None = None) -> dict[str, DataFrame]:
+        """Candidates of every model, without the books a patron had if ``unseen``, for all or some patrons."""
         self._check()
+        pairs, loans = self.seen(), self.loans
+        if patrons is not None:
+            wanted = patrons.select("patron_id").distinct()
+            pairs, loans = (t.join(wanted, "patron_id", "left_semi") for t in (pairs, loans))
+        exclude = pairs if unseen else None
         found = {
-            "als": self.als_model.recommend(n, self.seen()),
-            "svd": self.svd_model.recommend(n, self.seen()),
-            "tfidf": tfidf.recommend(self.seen(), self.catalog, self.vocab, self.term_weights, n),
+            "als": self.als_model.recommend(n, exclude, patrons),
+            "svd": self.svd_model.recommend(n, exclude, patrons),
+            "tfidf": tfidf.recommend(pairs, self.catalog, self.vocab, self.term_weights, n, unseen),
         }
         if self.vectors is not None:
-            found["embedding"] = embeddings.recommend(self.loans, self.seen(), self.vectors, n)
+            found["embedding"] = embeddings.recommend(loans, pairs, self.vectors, n, unseen)
         return found
 
+    def answer(self, asked: DataFrame) -> DataFrame:
+        """Answers to a table of requests from all models, each with its own size, cap and exclude flag.
+
+        Only patrons that ask are scored, and only under the flag they ask with.
+        """
+        self._check()
+        checked = cut_lineage(requests.validate_recommend(asked).where("status = 'ok'").select("patron_id", "exclude_seen").distinct())
+        genres, scored = patron_top_genre(self.loans), None
+        for unseen in (True, False):
+            lists = self.lists(unseen=unseen, patrons=checked.where(F.col("exclude_seen") == unseen))
+            part = score(lists, self.catalog, genres, self.settings).withColumn("exclude_seen", F.lit(unseen))
+            scored = part if scored is None else scored.unionByName(part)
+        return requests.recommend_batch(asked, scored)
+
     def weights(self) -> dict[str, float]:
         models = [m for m in self.settings.weights if m != "embedding" or self.vectors is not None]
         return redistribute(self.settings.weights, models)
