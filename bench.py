@@ -20,6 +20,9 @@ HEADLINE = [
     "ndcg_at_k", "psi_drift", "kl_drift", "drift_report", "windowed_rate", "stream_engagement",
 ]
 
+#: Queries under so many seconds run a second time, with compiled code.
+WARM_BELOW = 20
+
 
 def main() -> None:
     from pyspark.sql import SparkSession
@@ -35,15 +38,21 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()
-    timings = {}
-    for name in sys.argv[1:] or HEADLINE:
+
+    def run(name: str) -> float:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - start, 3)
-        print(name, timings[name], file=sys.stderr, flush=True)
+        return round(time.perf_counter() - start, 3)
+
+    timings, warm = {}, {}
+    for name in sys.argv[1:] or HEADLINE:
+        timings[name] = run(name)
+        if timings[name] < WARM_BELOW:
+            warm[name] = run(name)
+        print(name, timings[name], warm.get(name, ""), file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "total_seconds", "value": round(sum(timings.values()), 3), "unit": "sec",
-        "queries": timings, "sf": os.path.basename(sf_dir.rstrip("/")),
+        "queries": timings, "warm": warm, "sf": os.path.basename(sf_dir.rstrip("/")),
     }))
     spark.stop()
 

@@ -604,6 +604,8 @@ def oracle_sql() -> dict[str, str]:
         "load_loans_csv": w("SELECT * FROM loans", "loans"),
         "feature_etl": w("SELECT * FROM temporal JOIN behavioral USING (patron_id)", "temporal", "behavioral"),
         "load_pos": w("SELECT * FROM pos", "pos"),
+        "load_pos_csv": w("SELECT * FROM pos", "pos"),
+        "load_activity_csv": w("SELECT * FROM activity", "activity"),
         "load_activity": w("SELECT * FROM activity", "activity"),
         "stream_equals_batch": w("SELECT * FROM activity", "activity"),
         "activity_metadata": w("SELECT event_id, CAST(json_extract(event_metadata, '$.k') AS INTEGER) AS k FROM activity", "activity"),
@@ -721,10 +723,9 @@ FROM (SELECT {r('avg(hits / 10.0::DOUBLE)', 6)} AS challenger_score FROM hits),
         "chi2_drift_books": w(chi2("counts", "book_shares", 20000), "book_shares"),
         "chi2_drift_proportion": w(chi2("proportion"), "shares"),
         "category_shifts": w(f"SELECT feature, category, {r(r('q - p', 9), 4)} AS shift FROM shares WHERE abs({r('q - p', 9)}) > 0.001", "shares"),
-        "histogram_alignment": w(f"""SELECT 'kind' AS feature, category, coalesce(b.n, 0) AS base, coalesce(c.n, 0) AS cur
-FROM (SELECT event_type AS category, count(*) AS n FROM activity WHERE event_timestamp < TIMESTAMP '{SCORE_SPLIT}' GROUP BY ALL) b
-FULL JOIN (SELECT device_type AS category, count(*) AS n FROM activity WHERE event_timestamp >= TIMESTAMP '{SCORE_SPLIT}' GROUP BY ALL) c
-USING (category)""", "activity"),
+        "histogram_alignment": w(f"""SELECT feature, category, count(*) FILTER (WHERE base) AS base, count(*) FILTER (WHERE NOT base) AS cur
+FROM (SELECT 'patron_id' AS feature, patron_id AS category, event_timestamp < TIMESTAMP '{SCORE_SPLIT}' AS base FROM activity
+  UNION ALL SELECT 'book_id', book_id, event_timestamp < TIMESTAMP '{SCORE_SPLIT}' FROM activity) GROUP BY feature, category""", "activity"),
         "drift_report": w("SELECT * FROM report", "report"),
         "drift_summary": w(f"""SELECT CASE WHEN critical <> '' OR kl_critical THEN 'CRITICAL' WHEN warning <> '' THEN 'WARNING' ELSE 'OK' END AS overall_status,
   critical <> '' OR kl_critical AS retraining_recommended, overall_psi, critical AS critical_features, warning AS warning_features

@@ -84,6 +84,23 @@ def load_activity(spark, d):
     return td.activity(spark, d)
 
 
+def _by_csv(spark, table, load):
+    """A table written as CSV to the shared folder and read by its loader."""
+    path = scratch(spark, "csv")
+    table.write.option("header", True).option("escape", '"').option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+    return load(spark, "csv", path)
+
+
+@query
+def load_pos_csv(spark, d):
+    return _by_csv(spark, td.pos(spark, d), readers.load_pos)
+
+
+@query
+def load_activity_csv(spark, d):
+    return _by_csv(spark, td.activity(spark, d), readers.load_activity)
+
+
 @query
 def activity_metadata(spark, d):
     return parse_metadata(td.activity(spark, d)).select("event_id", F.col("metadata")["k"].alias("k"))
@@ -867,11 +884,12 @@ def category_shifts(spark, d):
 
 @query
 def histogram_alignment(spark, d):
-    """Event types by side, where a type may be missing on one."""
+    """Events by patron and book asked for, before and after the split; many books occur on one side only."""
     events = td.activity(spark, d)
     is_base = F.col("event_timestamp") < F.lit(td.SCORE_SPLIT).cast("timestamp")
-    count = lambda df, c: df.groupBy(F.lit("kind").alias("feature"), F.col(c).alias("category")).agg(F.count(F.lit(1)).alias("n"))
-    return drift.align_histograms(count(events.where(is_base), "event_type"), count(events.where(~is_base), "device_type"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("category")) for c in ("patron_id", "book_id")])
+    count = lambda df: df.select(F.inline(pairs)).groupBy("feature", "category").agg(F.count(F.lit(1)).alias("n"))
+    return drift.align_histograms(count(events.where(is_base)), count(events.where(~is_base)))
 
 
 def _drift_rows(spark, d):
