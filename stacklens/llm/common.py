@@ -18,8 +18,22 @@ SPACE = r"[\x20\x09-\x0D]"
 BROADCAST_ROWS = 10_000
 
 
+#: Bytes that one batch for a Python worker holds, beyond a single long row.
+BATCH_BYTES = 8 << 20
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table, with batches for Python workers that are small enough for whole texts."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
+
+
+#: Paths given out in this driver and not yet deleted.
+_SCRATCH: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -29,9 +43,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.mkdirs(hadoop)
     files.deleteOnExit(hadoop)
+    _SCRATCH.append(path)
     return path
 
 
+def tidy(docs: DataFrame) -> None:
+    """Deletes all scratch tables that ``docs`` does not read.
+
+    For a job of stages whose results are written: at the start of a stage the intermediates of
+    the ones before are no longer needed.
+    """
+    spark = docs.sparkSession
+    read = docs.inputFiles()
+    for path in list(_SCRATCH):
+        name = path.rsplit("/", 1)[-1]
+        if not any(f"/{name}/" in f for f in read):
+            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+            _SCRATCH.remove(path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder.
 

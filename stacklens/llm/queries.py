@@ -7,14 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stacklens.llm import exact_dedup, html_text, mixing, packing, quality, secret_scan, simhash, suffix_dedup, token_output, toxicity
-from stacklens.llm.common import documents, scratch_path
-from stacklens.session import configure
+from stacklens.llm.common import documents, scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.digests(suffix_dedup.repeated_passages(documents(spark, sf_dir)))
+    return suffix_dedup.passage_digests(documents(spark, sf_dir))
 
 
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +25,7 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_text.extract_text(configure(spark).read.parquet(f"{sf_dir}/pages.parquet"))
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +42,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).score(docs)
+    return toxicity.fit(docs, table(spark, sf_dir, "labels")).score(docs)
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,6 @@ whose hash occurs once, nearly all, are dropped; the windows of the others meet
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,10 +24,14 @@ LENGTH = 200
 GRAM = 64
 #: Windows of a long text that are worked on at once.
 SEGMENT = 1 << 20
-#: Anchors of one hash that one task compares; the windows of more are dealt by content.
+#: Anchors of one hash that one task sorts; the windows of more are dealt out by content.
 HOT = 20_000
 #: Contexts that one sort takes.
-SORT_ROWS = 20_000
+SORT_ROWS = 10_000
+#: Bytes of the digest that stands for a window of a hot hash.
+DIGEST = 16
+#: Parts over which further anchors of one hash from one batch are spread.
+SPREAD = 1024
 #: Depth in bytes, a multiple of 8, from which tied suffixes go to blind tries.
 SHALLOW = 32
 
@@ -187,19 +190,25 @@ def repeated_spans(groups: list, contexts: list[bytes], lefts: list[int], length
 
     A context has the text of the windows of one anchor, ``left`` bytes of it before the anchor;
     ``groups`` tells which contexts have anchors of equal hash. Equal contexts are sorted as one.
+    A context shorter than ``length`` is the digest of one window; an empty one is known to
+    repeat whole, and ``left`` is its length.
     """
     owners: defaultdict[tuple, list[int]] = defaultdict(list)
+    spans: list[list[tuple[int, int]]] = [[] for _ in contexts]
     for i, key in enumerate(zip(groups, lefts, contexts)):
-        owners[key].append(i)
+        if key[2]:
+            owners[key].append(i)
+        else:
+            spans[i] = [(0, key[1])]
     kinds: defaultdict[object, list[tuple]] = defaultdict(list)
     for key in owners:
-        kinds[key[0]].append(key)
-    spans: list[list[tuple[int, int]]] = [[] for _ in contexts]
+        if len(key[2]) >= length:
+            kinds[key[0]].append(key)
     alone: list[tuple] = []
     for key, who in owners.items():
         if len(who) > 1:
             for i in who:
-                spans[i] = [(0, len(key[2]))]
+                spans[i] = [(0, max(length, len(key[2])))]
     for keys in kinds.values():
         if len(keys) > 1 and any(len(owners[k]) == 1 for k in keys):
             alone += keys
@@ -221,6 +230,8 @@ KEY = ("th", "size")
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Anchors as rows. Of those with one hash in a batch one meets other batches; the rest are sure of
+    a twin already and are spread, so a hash that is everywhere sends one row per batch to one task."""
     for batch in batches:
         parts, n = [], 0
         for i, text in enumerate(batch["text"]):
@@ -231,49 +242,72 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n += len(h)
             if n > 200_000 or parts and i + 1 == len(batch):
                 h, who, code = (np.concatenate(c) for c in zip(*parts))
+                order = np.argsort(h, kind="stable")
+                h, who, code = h[order], who[order], code[order]
+                new = np.ones(len(h) + 1, dtype=bool)
+                new[1:-1] = h[1:] != h[:-1]
+                salt = np.where(new[:-1], 0, 1 + np.arange(len(h)) % SPREAD).astype(np.int32)
                 keys = [batch[c].take(pa.array(who)) for c in KEY]
-                yield pa.RecordBatch.from_arrays([pa.array(h), *keys, pa.array(code)], ["h", *KEY, "code"])
+                sure = pa.array(~(new[:-1] & new[1:]))
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(salt), sure, *keys, pa.array(code)], ["h", "salt", "sure", *KEY, "code"])
                 parts, n = [], 0
 
 
 def _with_twin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows, sorted by h, whose h occurs twice; only one row is held back at a time."""
+    """Rows, sorted by h and salt, that are sure of a twin or stand next to one; one row is held back at a time."""
     held, has_twin = None, False
     for batch in batches:
         if not len(batch):
             continue
         table = pa.Table.from_batches([batch])
         table = (pa.concat_tables([held, table]) if held else table).combine_chunks()
-        h = table["h"].to_numpy()
-        same = h[1:] == h[:-1]
-        keep = np.zeros(len(h), dtype=bool)
+        h, salt = table["h"].to_numpy(), table["salt"].to_numpy()
+        same = (h[1:] == h[:-1]) & (salt[1:] == salt[:-1])
+        keep = table["sure"].to_numpy().copy()
         keep[1:] |= same
         keep[:-1] |= same
         keep[0] |= has_twin
-        yield from table.slice(0, len(h) - 1).filter(pa.array(keep[:-1])).to_batches()
+        out = table.select(["h", *KEY, "code"])
+        yield from out.slice(0, len(h) - 1).filter(pa.array(keep[:-1])).to_batches()
         held, has_twin = table.slice(len(h) - 1), bool(keep[-1])
     if held and has_twin:
-        yield from held.to_batches()
+        yield from held.select(["h", *KEY, "code"]).to_batches()
 
 
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts of anchors as rows.
+
+    For a hot hash the rows are windows, each by its digest, dealt by it, so equal ones still meet.
+    Contexts that are equal within a batch are known to repeat whole: one gives its windows
+    for others to meet, and each has one row without a text, of its length.
+    """
     names = ["h", "salt", "left", "first", *KEY, "context"]
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     for batch in batches:
         rows: list[tuple] = []
+        hot: defaultdict[tuple, list[tuple]] = defaultdict(list)
         for i in range(len(batch)):
             text, th, size = batch["text"][i].as_py(), batch["th"][i].as_py(), batch["size"][i].as_py()
             list_of = batch["list"][i].values
-            columns = [list_of.field(k).to_pylist() for k in range(3)]
-            for h, code, n in zip(*columns):
-                place, left, more = code >> 16, code >> 8 & 255, code & 255
-                first = place - left
-                if n is None:
-                    rows.append((h, 0, left, first, th, size, text[first:first + more + LENGTH]))
+            for h, code, is_hot in zip(*[list_of.field(k).to_pylist() for k in range(3)]):
+                left = code >> 8 & 255
+                first = (code >> 16) - left
+                context = text[first:first + (code & 255) + LENGTH]
+                if is_hot:
+                    hot[h, left, context].append((first, th, size))
                 else:
-                    for p in range(first, first + more + 1):
-                        window = text[p:p + LENGTH]
-                        rows.append((h, zlib.crc32(window) % (n // HOT + 1), place - p, p, th, size, window))
+                    rows.append((h, 0, left, first, th, size, context))
+            if i + 1 == len(batch):
+                for (h, left, context), where in hot.items():
+                    if len(where) > 1:
+                        rows += [(h, th, len(context), first, th, size, b"") for first, th, size in where]
+                    first, th, size = where[0]
+                    for k in range(len(context) - LENGTH + 1):
+                        digest = hashlib.blake2b(context[k:k + LENGTH], digest_size=DIGEST).digest()
+                        rows.append((h, int.from_bytes(digest[:8], "little", signed=True), left - k, first + k, th, size, digest))
+                        if len(rows) > 20_000:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+                            rows = []
             if len(rows) > 20_000 or rows and i + 1 == len(batch):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
                 rows = []
@@ -303,41 +337,48 @@ def merged(spans: np.ndarray) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, text (binary), spans (array of (start, end) to remove, in bytes, ordered).
-
-    A byte goes when a string of ``LENGTH`` bytes that covers it starts anywhere else too, in the same
-    document or another; overlapping starts count, and strings never cross documents. Null
-    texts are empty; texts under ``LENGTH`` bytes lose nothing. Repeated rows are documents of
-    their own, so they are copies of each other. An empty table gives no rows; other columns are ignored.
-    """
+def _with_found(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, found): the text in bytes and the spans to remove, unordered, overlapping, null if none."""
     text = whole(text_col)
     # Identifies a row; rows that agree in it have the same id and text, and the same spans.
     texts = docs.select(F.xxhash64(F.col(id_col), text).alias("th"), F.octet_length(text).cast("long").alias("size"),
                         F.col(id_col).alias("id"), text.cast("binary").alias("text"))
-    rows = texts.where(F.col("size") >= LENGTH).select(*KEY, "text").mapInArrow(_anchor_rows, "h bigint, th bigint, size bigint, code bigint")
-    twins = written(rows.repartition("h").sortWithinPartitions("h").mapInArrow(_with_twin, rows.schema), "anchors")
-    hot = written(twins.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT), "hot").withColumnRenamed("h", "hh")
-    marked = join_checked(twins, hot, F.col("h") == F.col("hh"), "left")
-    lists = marked.groupBy(*KEY).agg(F.collect_set(F.struct("h", "code", "n")).alias("list"))
+    rows = texts.where(F.col("size") >= LENGTH).select(*KEY, "text").mapInArrow(_anchor_rows, "h bigint, salt int, sure boolean, th bigint, size bigint, code bigint")
+    twins = written(rows.repartition("h", "salt").sortWithinPartitions("h", "salt").mapInArrow(
+        _with_twin, "h bigint, th bigint, size bigint, code bigint"), "anchors")
+    counts = twins.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT)
+    hot = written(counts.select(F.col("h").alias("hh"), F.lit(True).alias("hot")), "hot")
+    marked = join_checked(twins, hot, F.col("h") == F.col("hh"), "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    lists = marked.groupBy(*KEY).agg(F.collect_set(F.struct("h", "code", "hot")).alias("list"))
     contexts = texts.join(lists, list(KEY)).mapInArrow(
-        _context_rows, "h bigint, salt int, left int, first bigint, th bigint, size bigint, context binary")
+        _context_rows, "h bigint, salt bigint, left int, first bigint, th bigint, size bigint, context binary")
     dealt = contexts.repartition("h", "salt").sortWithinPartitions("h", "salt")
     spans = dealt.mapInArrow(_span_rows, "th bigint, size bigint, start bigint, end bigint")
     removed = spans.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("found"))
+    return texts.join(removed, list(KEY), "left").select("id", "text", "found")
 
-    def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _pairs(found: pa.ListScalar) -> list[tuple[int, int]]:
+    return merged(np.column_stack([found.values.field(k).to_numpy() for k in (0, 1)])) if found.is_valid else []
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, text (binary), spans (array of (start, end) to remove, in bytes, ordered).
+
+    A byte goes when a string of ``LENGTH`` bytes that covers it starts anywhere else too, in the same
+    document or another; overlapping starts count, and strings never cross documents. Null
+    texts are empty; texts under ``LENGTH`` bytes lose nothing. Repeated rows are documents of
+    their own, so they are copies of each other. An empty table gives no rows; other columns are ignored.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            out = []
-            for x in batch["found"]:
-                pairs = [] if not x.is_valid else merged(np.column_stack([x.values.field(k).to_numpy() for k in (0, 1)]))
-                out.append([{"start": a, "end": b} for a, b in pairs])
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["text"], pa.array(out, kind)], ["id", "text", "spans"])
+            spans = pa.array([[{"start": a, "end": b} for a, b in _pairs(x)] for x in batch["found"]], kind)
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["text"], spans], ["id", "text", "spans"])
 
-    kind = texts.schema["id"].dataType.simpleString()
-    joined = texts.join(removed, list(KEY), "left").select("id", "text", "found")
-    return joined.mapInArrow(join_up, f"id {kind}, text binary, spans array<struct<start:bigint,end:bigint>>").withColumnRenamed("id", id_col)
+    found = _with_found(docs, id_col, text_col)
+    kind = found.schema["id"].dataType.simpleString()
+    return found.mapInArrow(run, f"id {kind}, text binary, spans array<struct<start:bigint,end:bigint>>").withColumnRenamed("id", id_col)
 
 
 def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -348,17 +389,20 @@ def kept_bytes(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
-def digests(passages: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes that stay."""
+def passage_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes that stay; otherwise as ``repeated_passages``."""
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, spans in zip(batch["text"], batch["spans"]):
-                text, pairs = text.as_py(), [(s["start"], s["end"]) for s in spans.as_py()]
+            for text, found in zip(batch["text"], batch["found"]):
+                text, pairs = text.as_py(), _pairs(found)
                 rows.append((len(text), sum(b - a for a, b in pairs), len(pairs), hashlib.sha256(kept_bytes(text, pairs)).hexdigest()))
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 3 + [pa.string()])] if rows else [
-                pa.array([], t) for t in [pa.int64()] * 3 + [pa.string()]]
-            yield pa.RecordBatch.from_arrays([batch[id_col], *columns], [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            columns = zip(*rows) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([batch["id"], *[pa.array(c, t) for c, t in zip(columns, types)]],
+                                             ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    kind = passages.schema[id_col].dataType.simpleString()
-    return passages.mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    found = _with_found(docs, id_col, text_col)
+    kind = found.schema["id"].dataType.simpleString()
+    return found.mapInArrow(run, f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string").withColumnRenamed("id", id_col)
