@@ -113,6 +113,7 @@ def top_scores(
     cosine: bool = False,
     n_queries: int | None = None,
     n_items: int | None = None,
+    digits: int = 4,
 ) -> DataFrame:
     """(query_key, item_key, score, rank): the exact k best items of every query.
 
@@ -159,5 +160,5 @@ def top_scores(
     return (
         partial.withColumn("rank", F.row_number().over(best_first))
         .where(F.col("rank") <= k)
-        .withColumn("score", F.round("score", 4))
+        .withColumn("score", F.round("score", digits))
     )

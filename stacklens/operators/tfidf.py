@@ -131,7 +131,7 @@ def as_vectors(weighted: DataFrame, vocab: DataFrame, key: str, everyone: DataFr
     vectors = (
         weighted.join(F.broadcast(numbered), "term")
         .groupBy(key)
-        .agg(F.collect_list(F.struct("position", "weight")).alias("entries"))
+        .agg(F.array_sort(F.collect_list(F.struct("position", "weight"))).alias("entries"))
     )
     if everyone is not None:
         vectors = everyone.select(key).join(vectors, key, "left")
@@ -142,6 +142,40 @@ def as_vectors(weighted: DataFrame, vocab: DataFrame, key: str, everyone: DataFr
     )
 
 
+#: Patrons with more books of their own than this are scored against every book.
+FEW_SEEN = 200
+
+
+def _shared(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Books with one vector stand together under the smallest of their ids.
+
+    Returns (book_id, n_books, positions, weights) per vector and (shared_id, place, book_id) per
+    book, placed by id within its vector.
+    """
+    vectors = cut_lineage(vectors.withColumn("key", F.transform("weights", lambda x: F.round(x, 12))))
+    per_vector = cut_lineage(vectors.groupBy("positions", "key").agg(
+        F.min("book_id").alias("shared_id"), F.count(F.lit(1)).alias("n_books"), F.min("weights").alias("weights")))
+    by_id = Window.partitionBy("shared_id").orderBy("book_id")
+    books = vectors.select("positions", "key", "book_id").join(per_vector.select("positions", "key", "shared_id"), ["positions", "key"])
+    members = cut_lineage(books.select("shared_id", "book_id", F.row_number().over(by_id).alias("place")))
+    return per_vector.select(F.col("shared_id").alias("book_id"), "n_books", "positions", "weights"), members
+
+
+def _expanded(best: DataFrame, members: DataFrame, query: str, need: str) -> DataFrame:
+    """Books of the best vectors of each query: enough to hold its ``need`` best books.
+
+    ``best`` has (query, shared_id, n_books, score, rank, need). Vectors are taken in order until they
+    have ``need`` books, with all that tie with the last of them; of one vector the first ``need`` books
+    are enough, since equal scores are ordered by book.
+    """
+    order = Window.partitionBy(query).orderBy("rank")
+    before = F.sum("n_books").over(order) - F.col("n_books")
+    least = F.min(F.when(F.col("before") < F.col(need), F.col("score"))).over(Window.partitionBy(query))
+    taken = best.withColumn("before", before).withColumn("least", least).where(F.col("score") >= F.col("least"))
+    places = F.explode(F.sequence(F.lit(1), F.least("n_books", need).cast("int")))
+    return taken.select(query, "shared_id", "score", places.alias("place")).join(members, ["shared_id", "place"]).select(query, "book_id", "score")
+
+
 def recommend(
     pairs: DataFrame,
     catalog: DataFrame,
@@ -152,28 +186,47 @@ def recommend(
 ) -> DataFrame:
     """Top ``n`` books per patron by cosine of profile and book: (patron_id, book_id, score, rank).
 
+    Many books share a vector, so patrons are scored against distinct vectors and the best of
+    these are turned into books. If a patron has m books, the n best unseen ones are
+    among the n + m best vectors: each vector before a book's own has a book that comes
+    before it. Patrons with more than ``FEW_SEEN`` books are scored against all books instead.
     ``pairs`` and ``catalog`` are read several times and best materialised.
     """
-    patrons = pairs.select("patron_id").distinct()
-    return top_scores(
-        as_vectors(profiles(pairs, weighted), vocab, "patron_id", patrons),
-        as_vectors(weighted, vocab, "book_id", catalog),
-        "patron_id", "book_id", n,
-        exclude=pairs if exclude_seen else None,
-        cosine=True, n_queries=patrons.count(), n_items=catalog.count(),
-    )
+    own = cut_lineage(pairs.groupBy("patron_id").agg(F.count(F.lit(1)).alias("n_own")))
+    books = cut_lineage(as_vectors(weighted, vocab, "book_id", catalog))
+    queries = cut_lineage(as_vectors(profiles(pairs, weighted), vocab, "patron_id", own))
+    few = own.where(F.col("n_own") <= FEW_SEEN)
+    many = own.where(F.col("n_own") > FEW_SEEN)
+    vectors, members = _shared(books)
+    most = (few.agg(F.max("n_own")).first()[0] or 0) if exclude_seen else 0
+    best = top_scores(queries.join(few, "patron_id", "left_semi"), vectors, "patron_id", "book_id", n + most, cosine=True, digits=9)
+    need = best.join(few, "patron_id").withColumn("need", (F.col("n_own") if exclude_seen else F.lit(0)) + n)
+    need = need.join(vectors.select("book_id", "n_books"), "book_id").withColumnRenamed("book_id", "shared_id")
+    found = _expanded(need, members, "patron_id", "need")
+    if exclude_seen:
+        found = found.join(pairs.select("patron_id", "book_id"), ["patron_id", "book_id"], "left_anti")
+    order = Window.partitionBy("patron_id").orderBy(F.desc("score"), "book_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).withColumn("score", F.round("score", 4))
+    if many.isEmpty():
+        return ranked
+    rest = top_scores(
+        queries.join(many, "patron_id", "left_semi"), books, "patron_id", "book_id", n,
+        exclude=pairs.join(many, "patron_id", "left_semi") if exclude_seen else None, cosine=True)
+    return ranked.unionByName(rest.select(ranked.columns))
 
 
 def similar(catalog: DataFrame, vocab: DataFrame, weighted: DataFrame, n: int) -> DataFrame:
-    """Top ``n`` other books per book: (book_id, similar_book_id, score, rank)."""
-    vectors = as_vectors(weighted, vocab, "book_id", catalog)
-    n_books = catalog.count()
-    return top_scores(
-        vectors, vectors.withColumnRenamed("book_id", "similar_book_id"),
-        "book_id", "similar_book_id", n,
-        exclude=catalog.select("book_id", F.col("book_id").alias("similar_book_id")),
-        cosine=True, n_queries=n_books, n_items=n_books,
-    )
+    """Top ``n`` other books per book by cosine; distinct vectors are compared, then turned into books."""
+    vectors, members = _shared(as_vectors(weighted, vocab, "book_id", catalog))
+    best = top_scores(vectors.withColumnRenamed("book_id", "query_id"), vectors, "query_id", "book_id", n + 1, cosine=True, digits=9)
+    sized = best.join(vectors.select("book_id", "n_books"), "book_id").withColumnRenamed("book_id", "shared_id").withColumn("need", F.lit(n + 1))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "book_id")
+    near = _expanded(sized, members, "query_id", "need").withColumn("place", F.row_number().over(order)).where(F.col("place") <= n + 1)
+    near = cut_lineage(near.select(F.col("query_id").alias("shared_id"), F.col("book_id").alias("similar_book_id"), "score"))
+    others = members.select("shared_id", "book_id").join(near, "shared_id").where(F.col("book_id") != F.col("similar_book_id"))
+    order = Window.partitionBy("book_id").orderBy(F.desc("score"), "similar_book_id")
+    return others.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).select(
+        "book_id", "similar_book_id", F.round("score", 4).alias("score"), "rank")
 
 
 def explain(
