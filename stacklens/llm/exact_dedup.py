@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stacklens.llm.common import SPACE, unpacked, whole
+from stacklens.llm.common import SPACE, whole
 
 
 def normalised(text: Column) -> Column:
@@ -13,9 +13,9 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, rf"{SPACE}{{2,}}|[\x09-\x0D]", " ")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = normalised(whole(text_col))
-    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("h"), *more)
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("h"))
 
 
 def _groups(keyed: DataFrame) -> DataFrame:
@@ -53,11 +53,18 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The kept rows of ``docs`` with all their columns.
 
-    Of rows with the same id and text one stays (any, where other columns differ).
+    Of rows with the same id and text one stays (any, where other columns differ). Whole texts
+    are shuffled once: the other columns travel with the group, and a row's own text only
+    where normalising changed it.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    keyed = _keyed(docs, id_col, text_col, row)
-    keep = _groups(keyed.select("id", "text", "h")).select(F.col("h").alias("kh"), F.col("sha").alias("ks"), "keep_id")
-    rows = keyed.select("id", "h", F.sha2("text", 256).alias("sha"), "row")
-    same = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("h") == F.col("kh")) & (F.col("sha") == F.col("ks"))
-    return unpacked(rows.join(keep, same).dropDuplicates(["id", "h", "sha"]))
+    norm = normalised(whole(text_col))
+    own = F.col(f"`{text_col}`")
+    same = own.isNotNull() & (own == norm)
+    rest = [c for c in docs.columns if c != text_col]
+    payload = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], same.alias("same"), F.when(~same | own.isNull(), own).alias("own"))
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"))
+    keyed = docs.select(F.unhex(F.md5(norm)).alias("h"), norm.alias("norm"), payload.alias("x"), order.alias("o"))
+    kept = keyed.groupBy("h", "norm").agg(F.min_by("x", "o").alias("x"))
+    text = F.when(F.col("x.same"), F.col("norm")).otherwise(F.col("x.own"))
+    at = {c: F.col(f"x.c{i}") for i, c in enumerate(rest)} | {text_col: text}
+    return kept.select(*[at[c].alias(c) for c in docs.columns])
