@@ -19,7 +19,7 @@ BROADCAST_ROWS = 10_000
 
 
 #: Bytes that one batch for a Python worker holds, beyond a single long row.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
