@@ -243,7 +243,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     signed = written(fingerprints(docs, F.col(text_col), shingle, id=F.col(id_col)), "simhash")
     rows = _with_class(signed, budget)
-    smallest = rows.groupBy("root").agg(F.min("id").alias("component_id"))
+    # Written, so that the join below is of two shuffles and a class of many documents can be split.
+    smallest = written(rows.groupBy("root").agg(F.min("id").alias("component_id")), "classes")
     return rows.join(smallest, "root").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
