@@ -165,22 +165,6 @@ def by_frequency(tokens: DataFrame, kind: str) -> np.ndarray:
     return np.array([r["id"] for r in sorted(rows, key=lambda r: (-r["n"], r["id"]))], dtype="<u4")
 
 
-def encoded(tokens: DataFrame, ranks: np.ndarray, kind: str) -> DataFrame:
-    """(doc_id, n, control, data): the ranks of each document's ids, encoded."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, pairs = [], []
-            for ids in batch["ids"]:
-                values = ranks[np.frombuffer(ids.as_py(), dtype=kind)]
-                n.append(len(values))
-                pairs.append(encode(values))
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(n, pa.int64()), *[pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]],
-                ["doc_id", "n", "control", "data"])
-
-    return tokens.mapInArrow(run, "doc_id bigint, n bigint, control binary, data binary")
-
-
 BLOCKS = "block bigint, first bigint, doc_ids array<bigint>, sizes array<bigint>, control binary, data binary"
 
 
@@ -191,8 +175,7 @@ def write_files(tokens: DataFrame, path: str, shards: int, kind: str) -> None:
     ids; each row of its file is a block of whole documents: their ids, their token counts, and
     the ranks of their tokens as control and data bytes, document after document. ``first``
     counts the tokens before the block in its shard. The file's frame is Parquet without
-    compression, so that Spark commits it whole and reads it from any store. What is
-    sorted are encoded documents, about a third of their ids.
+    compression, so that Spark commits it whole and reads it from any store.
     """
     spark = tokens.sparkSession
     ids = by_frequency(tokens, kind)
@@ -205,16 +188,17 @@ def write_files(tokens: DataFrame, path: str, shards: int, kind: str) -> None:
         rows: list[tuple] = []
 
         def out():
-            docs, sizes, control, data = zip(*rows)
+            docs, sizes, pairs = zip(*rows)
             return pa.RecordBatch.from_arrays(
                 [pa.array([block]), pa.array([first]), pa.array([docs], longs), pa.array([sizes], longs),
-                 pa.array([b"".join(control)], pa.binary()), pa.array([b"".join(data)], pa.binary())],
+                 *[pa.array([b"".join(p[k] for p in pairs)], pa.binary()) for k in (0, 1)]],
                 ["block", "first", "doc_ids", "sizes", "control", "data"])
 
         for batch in batches:
-            for row in zip(*[batch[c].to_pylist() for c in ("doc_id", "n", "control", "data")]):
-                rows.append(row)
-                n += row[1]
+            for doc, found in zip(batch["doc_id"], batch["ids"]):
+                values = ranks[np.frombuffer(found.as_py(), dtype=kind)]
+                rows.append((doc.as_py(), len(values), encode(values)))
+                n += len(values)
                 if n >= BLOCK_IDS:
                     yield out()
                     block, first, n, rows = block + 1, first + n, 0, []
@@ -222,7 +206,8 @@ def write_files(tokens: DataFrame, path: str, shards: int, kind: str) -> None:
             yield out()
 
     longs = pa.list_(pa.int64())
-    ordered = encoded(tokens, ranks, kind).repartitionByRange(shards, F.col("doc_id")).sortWithinPartitions("doc_id", "n", "control", "data")
+    # Ranges are sampled from the written ids, so nothing in Python runs twice.
+    ordered = tokens.repartitionByRange(shards, F.col("doc_id")).sortWithinPartitions("doc_id", F.octet_length("ids"), "ids")
     blocks = ordered.mapInArrow(run, BLOCKS).withColumn("shard", F.spark_partition_id())
     blocks.write.option("compression", "none").partitionBy("shard").parquet(f"{path}/blocks")
 
