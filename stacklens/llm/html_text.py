@@ -49,10 +49,12 @@ SECTIONS = frozenset(["thead", "tbody", "tfoot"])
 SCOPE = frozenset("table td th caption html".split())
 IN_HEAD = frozenset("base link meta noscript script style template title head html".split())
 
+# A quote opens a string only where the value of an attribute starts; a "=" where a name starts belongs to the name.
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|[^<]++|<""", re.DOTALL)
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+>?|"""
+    r"""<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+))?+)*+)>|[^<]++|<""", re.DOTALL)
 LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
-ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*+)))?""")
 SPACES = re.compile(r"[\t\n\f\r][ \t\n\f\r]*| [ \t\n\f\r]+")
 #: Cells wider than this do not widen their column.
 WIDEST = 60

@@ -203,6 +203,15 @@ def test_any_page_gives_text(page):
     assert isinstance(html_text.page_text(page), str)
 
 
+def test_quotes_outside_values_and_short_comments():
+    for page, want in (
+            ("<p title=it's>Hello</p><p>lost words, don't you see</p>", "Hello\n\nlost words, don't you see"),
+            ('<a href="x"">Click here</a> visible <a href="y"">next</a>', "Click here visible next"),
+            ("<p don't>x</p><p isn't>y</p>", "x\n\ny"), ('<p ="x>y', "y"), ('<p a==">b">c', 'b">c'),
+            ("<a title = \"x>y\" b='>'c>d</a>", "d"), ("a<!-->b-->c<!--->d<!-- x -->e", "ab-->cde")):
+        assert html_text.page_text(page) == want
+
+
 def test_words_survive(spark):
     words = sentences(4, 5_000).split()
     page = "<html><body>" + "".join(f"<p>{w} <i>{v}</i>" for w, v in zip(words[::2], words[1::2]))
