@@ -18,7 +18,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style xmp iframe noembed noframes noscript title textarea".split())
 HIDDEN = frozenset(
     "head script style template noscript iframe noembed noframes title datalist audio video canvas object "
-    "param source track area base meta link rp svg math".split())
+    "param source track area base meta link rp".split())
+#: Not painted inside drawings and formulas.
+UNPAINTED = frozenset("desc metadata defs symbol clippath mask pattern annotation annotation-xml mphantom".split())
 #: Blank lines above and below; other blocks only start and end a line.
 MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dl blockquote pre table hr figure fieldset dir xmp listing".split())
 BLOCK = MARGIN | frozenset(
@@ -127,8 +129,11 @@ class Builder:
             self._end_nearest(*ENDS[tag])
         if self.count.get("table"):
             self._imply(tag)
+        drawn = self.count.get("svg") or self.count.get("math")
+        if drawn and tag in UNPAINTED:
+            attrs += " hidden"
         node = Node(tag, attrs)
-        if tag in VOID:
+        if tag in VOID or drawn and attrs.removesuffix(" hidden").endswith("/") and tag not in RAW:
             self.open[-1].children.append(node)
         else:
             self._push(node)
@@ -295,11 +300,11 @@ def _marker(node: Node, lists: list[list]) -> str:
     return f"{here[1]}. "
 
 
-def render(root: Node, depth: int = 0) -> list[str]:
-    """Lines of the visible text below ``root``; the walk keeps its own stack."""
+def render(root: Node, depth: int = 0, shown: bool = True) -> list[str]:
+    """Lines of the visible text below ``root``, whose parent is ``shown`` or not; the walk keeps its own stack."""
     canvas = Canvas()
     lists: list[list] = []
-    stack: list[tuple] = [(root, False, True, False)]
+    stack: list[tuple] = [(root, False, shown, False)]
     while stack:
         node, leaving, shown, pre = stack.pop()
         if isinstance(node, str):
@@ -319,7 +324,7 @@ def render(root: Node, depth: int = 0) -> list[str]:
                 lists.pop()
             if tag in BLOCK:
                 canvas.block(int(tag in MARGIN and not (lists and tag in ("ul", "ol", "menu", "dir"))))
-            elif tag in CELLS:
+            elif tag in CELLS or tag in ("svg", "text"):
                 canvas.space = True
             continue
         if hidden(node):
@@ -340,8 +345,7 @@ def render(root: Node, depth: int = 0) -> list[str]:
             continue
         if tag == "table" and depth < DEEPEST and node is not root:
             canvas.block(1)
-            if shown:
-                canvas.put(table(node, depth + 1))
+            canvas.put(table(node, depth + 1, shown))
             canvas.block(1)
             continue
         if tag in BLOCK:
@@ -353,12 +357,14 @@ def render(root: Node, depth: int = 0) -> list[str]:
             lists.append([tag, first - step, step])
         elif tag == "li":
             marker = _marker(node, lists)
-            canvas.marker = marker
+            canvas.marker = marker if shown else None
             canvas.indent.append(canvas.indent[-1] + " " * len(marker))
         elif tag == "dd":
             canvas.indent.append(canvas.indent[-1] + "    ")
         elif tag == "blockquote":
             canvas.indent.append(canvas.indent[-1] + "  ")
+        elif tag in ("svg", "text"):
+            canvas.space = True
         pre = pre or tag in ("pre", "listing", "xmp", "textarea")
         children = node.children
         if tag == "details" and node.get("open") is None:
@@ -375,32 +381,46 @@ def render(root: Node, depth: int = 0) -> list[str]:
     return lines[start:]
 
 
-def _rows(node: Node) -> tuple[list[Node], list[Node]]:
-    """(captions and other content, rows) of a table, in order; hidden ones are left out."""
-    captions, rows = [], []
+def _loose(node: Node, shown: bool) -> list[tuple[Node, bool]]:
+    """Texts that stand directly in a table, a section or a row."""
+    found = []
     for child in node.children:
-        if isinstance(child, str):
-            if not child.isspace():
-                wrapper = Node("div")
-                wrapper.children.append(child)
-                captions.append(wrapper)
-        elif not hidden(child):
-            if child.tag in SECTIONS:
-                more, below = _rows(child)
-                captions += more
-                rows += below
-            else:
-                (rows if child.tag == "tr" else captions).append(child)
+        if isinstance(child, str) and not child.isspace():
+            wrapper = Node("div")
+            wrapper.children.append(child)
+            found.append((wrapper, shown))
+    return found
+
+
+def _rows(node: Node, shown: bool) -> tuple[list[tuple[Node, bool]], list[tuple[Node, bool]]]:
+    """(captions and other content, rows) of a table, in order, each with whether its parent or, for a row, it is painted.
+
+    What takes no place is left out.
+    """
+    captions, rows = _loose(node, shown), []
+    for child in node.children:
+        if isinstance(child, str) or hidden(child):
+            continue
+        if child.tag in SECTIONS:
+            more, below = _rows(child, visibility(child, shown))
+            captions += more
+            rows += below
+        elif child.tag == "tr":
+            now = visibility(child, shown)
+            captions += _loose(child, now)
+            rows.append((child, now))
+        else:
+            captions.append((child, shown))
     return captions, rows
 
 
-def table(node: Node, depth: int) -> list[str]:
+def table(node: Node, depth: int, shown: bool = True) -> list[str]:
     """Lines of a table: cells of a column start at one place, two blanks apart."""
-    captions, rows = _rows(node)
+    captions, rows = _rows(node, shown)
     grid: list[list[tuple[int, int, list[str]]]] = []
     busy: dict[int, int] = {}
     widths: dict[int, int] = {}
-    for row in rows:
+    for row, painted in rows:
         at, line = 0, []
         for cell in row.children:
             if isinstance(cell, str) or hidden(cell):
@@ -408,7 +428,7 @@ def table(node: Node, depth: int) -> list[str]:
             while busy.get(at, 0) > 0:
                 at += 1
             span, tall = max(1, cell.number("colspan", 1, 1000)), max(1, cell.number("rowspan", 1, 65534))
-            inside = render(cell, depth) if visibility(cell, True) else []
+            inside = render(cell, depth, painted)
             line.append((at, span, inside))
             if span == 1:
                 widths[at] = max(widths.get(at, 0), min(WIDEST, max(map(width, inside), default=0)))
@@ -423,7 +443,7 @@ def table(node: Node, depth: int) -> list[str]:
     for k in range((columns[-1] if columns else -1) + 1):
         starts[k] = total
         total += widths.get(k, 0) + (2 if widths.get(k) else 0)
-    out = [x for c in captions for x in render(c, depth)]
+    out = [x for c, painted in captions for x in render(c, depth, painted)]
     for line in grid:
         for k in range(max((len(inside) for _, _, inside in line), default=0)):
             text, used = [], 0

@@ -212,6 +212,17 @@ def test_quotes_outside_values_and_short_comments():
         assert html_text.page_text(page) == want
 
 
+def test_text_of_rows_hidden_tables_and_drawings():
+    off, on = "style='visibility:hidden'", "style='visibility:visible'"
+    for page, want in (
+            ("<table><tr>note<td>a</table>", "note\na"), ("<table><tr><td>a</td>between<td>b</table>", "between\na  b"),
+            (f"<table {off}><tr><td>no<td><b {on}>yes</b></table>", "yes"), (f"<table><tr><td {off}>no<i {on}>yes</i><td>b</table>", "yes  b"),
+            (f"<table><tbody {off}><tr>no<td>no<tr {on}><td>yes</table>", "yes"), (f"<table><tr><td {off}><ul><li>a<br>b</ul><td>c</table>", "c"),
+            ("x<svg><title>no</title><desc>no</desc><metadata/><defs><text>no</text></defs><text>one</text><text>two</text></svg>y", "x one two y"),
+            ("<math><mi>a</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math><desc>yes</desc>", "a=1yes")):
+        assert html_text.page_text(page) == want, page
+
+
 def test_words_survive(spark):
     words = sentences(4, 5_000).split()
     page = "<html><body>" + "".join(f"<p>{w} <i>{v}</i>" for w, v in zip(words[::2], words[1::2]))
