@@ -49,55 +49,74 @@ def bare(token: str) -> str:
     return token[a:z]
 
 
+def errors_allowed(term: str) -> int:
+    """Typing errors with which a term is still found."""
+    return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
+
+
 class FuzzyTrie:
     """Product of a lexicon trie and Levenshtein automata, made deterministic as words are read.
 
     A state is the set of (trie node, errors) that a read prefix can be in; reading a
     character matches or replaces an edge, or skips the character; closing a state skips
-    edges. Most words reach the empty state after a few characters.
+    edges. With ``swaps`` two neighbours that changed places are one error: half of a swap is a
+    (node, character still to come). Most words reach the empty state after a few characters.
     """
 
-    def __init__(self, terms: dict[str, float]):
+    def __init__(self, terms: dict[str, float], swaps: bool = False):
+        self.swaps = swaps
         self.children: list[dict[str, int]] = [{}]
         self.weight: list[float] = [0.0]
         self.limit: list[int] = [-1]
+        #: The highest limit of the terms at or below a node.
+        self.reach: list[int] = [0]
         for term, weight in sorted(terms.items()):
-            node = 0
+            node, limit = 0, errors_allowed(term)
+            self.reach[0] = max(self.reach[0], limit)
             for char in term:
                 if char not in self.children[node]:
                     self.children[node][char] = len(self.children)
                     self.children.append({})
                     self.weight.append(0.0)
                     self.limit.append(-1)
+                    self.reach.append(0)
                 node = self.children[node][char]
-            self.weight[node], self.limit[node] = weight, 1 if len(term) >= 5 else 0
-        self.most = 1
+                self.reach[node] = max(self.reach[node], limit)
+            self.weight[node], self.limit[node] = weight, limit
         self._reset()
 
     def _reset(self) -> None:
         self.start = self._closed({0: 0})
         self.steps: dict[tuple[frozenset, str], frozenset] = {}
 
-    def _closed(self, state: dict[int, int]) -> frozenset:
-        todo = list(state.items())
+    def _closed(self, state: dict) -> frozenset:
+        todo = [x for x in state.items() if isinstance(x[0], int)]
         while todo:
             node, errors = todo.pop()
-            if errors < self.most:
-                for child in self.children[node].values():
-                    if state.get(child, self.most + 1) > errors + 1:
-                        state[child] = errors + 1
-                        todo.append((child, errors + 1))
+            for child in self.children[node].values():
+                if errors < self.reach[child] and state.get(child, errors + 2) > errors + 1:
+                    state[child] = errors + 1
+                    todo.append((child, errors + 1))
         return frozenset(state.items())
 
     def _step(self, state: frozenset, char: str) -> frozenset:
-        after: dict[int, int] = {}
-        for node, errors in state:
-            for edge, child in self.children[node].items():
-                cost = errors + (edge != char)
-                if cost <= min(self.most, after.get(child, self.most)):
-                    after[child] = cost
-            if errors < self.most and after.get(node, self.most + 1) > errors + 1:
-                after[node] = errors + 1
+        after: dict = {}
+
+        def put(key, node: int, errors: int) -> None:
+            if errors <= self.reach[node] and errors < after.get(key, errors + 1):
+                after[key] = errors
+
+        for key, errors in state:
+            if not isinstance(key, int):
+                if key[1] == char:
+                    put(key[0], key[0], errors)
+                continue
+            for edge, child in self.children[key].items():
+                put(child, child, errors + (edge != char))
+                if self.swaps and edge != char and char in self.children[child]:
+                    below = self.children[child][char]
+                    put((below, edge), below, errors + 1)
+            put(key, key, errors + 1)
         return self._closed(after)
 
     def match(self, word: str) -> tuple[int, float] | None:
@@ -113,7 +132,7 @@ class FuzzyTrie:
             state = after
             if not state:
                 return None
-        found = [(errors, -self.weight[node]) for node, errors in state if errors <= self.limit[node]]
+        found = [(errors, -self.weight[node]) for node, errors in state if isinstance(node, int) and errors <= self.limit[node]]
         return (min(found)[0], -min(found)[1]) if found else None
 
 
@@ -121,13 +140,12 @@ class FuzzyTrie:
 class Lexicon:
     """Words and stems (beginnings of words) with their log odds.
 
-    Only ``near`` words are looked for with typing errors: words of their own, not one of the
-    many forms of a stem. ``clean`` has words that look like them but occur in clean documents.
+    All words are looked for with typing errors. ``clean`` has words that look like them but occur
+    in clean documents.
     """
 
     words: dict[str, float]
     stems: dict[str, float]
-    near: frozenset[str] = frozenset()
     clean: frozenset[str] = frozenset()
     seen: dict[str, tuple[int, float]] = field(default_factory=dict, repr=False)
     trie: FuzzyTrie | None = field(default=None, repr=False)
@@ -158,7 +176,7 @@ class Lexicon:
     def fuzzy(self, word: str) -> float:
         """Weight of the word that ``word`` is a misspelling of, or 0."""
         if self.trie is None:
-            self.trie = FuzzyTrie({w: self.words[w] for w in self.near})
+            self.trie = FuzzyTrie(self.words, swaps=True)
         hit = self.trie.match(word)
         if not hit and not word.isalpha() and not word.isdigit():
             hit = self.trie.match(word.translate(LEET))
@@ -279,12 +297,11 @@ def learn_lexicon(counts: DataFrame, totals: dict[tuple[int, int], int], halves:
         if not shorter or max(shorter) < 0.8 * r["odds"]:
             stems[stem] = round(r["odds"], 4)
     words = {r["term"]: round(r["odds"], 4) for r in rows if not r["term"].endswith("*")}
-    near = frozenset(r["term"] for r in rows if r["term"] in words and r["pos"] >= 0.05 * n_pos and r["neg"] <= 0.1 * r["pos"])
-    lexicon = Lexicon(words, stems, near)
-    # Words one error away from a term: few, as the terms are.
+    lexicon = Lexicon(words, stems)
+    # Words a typing error away from a term: few, as the terms are.
     fuzzy = F.udf(lambda w: lexicon.fuzzy(w) > 0, "boolean", useArrow=True)
-    alike = counts.where((neg > 0) & ~F.col("term").endswith("*") & (F.length("term") >= 4)).where(fuzzy("term")).select("term")
-    return Lexicon(words, stems, near, frozenset(r["term"] for r in alike.collect()) - set(words))
+    alike = counts.where((neg > 0) & ~F.col("term").endswith("*") & (F.length("term") >= 3)).where(fuzzy("term")).select("term")
+    return Lexicon(words, stems, frozenset(r["term"] for r in alike.collect()) - set(words))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> np.ndarray:

@@ -1,5 +1,6 @@
 """Token files, toxicity, HTML and secrets."""
 
+import random
 import re
 import zlib
 
@@ -155,6 +156,30 @@ def test_automaton_is_edit_distance(word):
     assert toxicity.FuzzyTrie(terms).match(word) == want
 
 
+def test_many_rare_terms_are_found_misspelled(spark):
+    pick = random.Random(5)
+    terms = sorted({"".join(pick.choice("bcdfgklmnprst") + pick.choice("aeiou") for _ in range(n)) for n in (2, 3, 4, 5) for _ in range(15)})
+    rows, labels = [], []
+    for i in range(2000):
+        words = sentences(i, 40, 2000).split()
+        if i % 5 == 1:
+            words[5:5] = pick.sample(terms, 2)
+        rows.append((i, " ".join(words), "a"))
+        labels.append((i, 1, int(i % 5 == 1)))
+    lexicon = toxicity.fit(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).lexicon
+    assert len(terms) > 50 and sum(t in lexicon.words for t in terms) == len(terms)
+    for t in terms:
+        swapped, dropped = t[:1] + t[2] + t[1] + t[3:], t[:2] + t[3:]
+        assert lexicon.look_up(swapped)[0] and lexicon.look_up(dropped)[0]
+    assert lexicon.look_up("w17") == (0, 0.0)
+
+
+def test_swaps_and_lengths_of_errors():
+    trie = toxicity.FuzzyTrie({"idiot": 1.0, "stupid": 2.0, "scum": 3.0, "nincompoop": 4.0, "abc": 5.0}, swaps=True)
+    got = [trie.match(w) for w in ("idoit", "stuipd", "scm", "scmu", "abd", "nicnompop", "nincomp", "idiot", "diito")]
+    assert got == [(1, 1.0), (1, 2.0), (1, 3.0), (1, 3.0), None, (2, 4.0), None, (0, 1.0), None]
+
+
 # --- HTML --------------------------------------------------------------------------------
 
 PAGES = [
