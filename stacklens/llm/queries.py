@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stacklens.llm import exact_dedup, html_text, mixing, packing, quality, secret_scan, simhash, suffix_dedup, token_output, toxicity
+from stacklens.llm import (
+    chunked_bpe, exact_dedup, fill_middle, html_text, mixing, packing, quality, secret_scan, simhash, suffix_dedup, token_output,
+    tokenizer_alignment, toxicity,
+)
 from stacklens.llm.common import documents, scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +60,24 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenizer_alignment.alignment(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(documents(spark, sf_dir)))
+
+
+def op13_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return chunked_bpe.digests(chunked_bpe.decode(chunked_bpe.encode(documents(spark, sf_dir), path), path))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -64,4 +85,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_suffix_dedup, op2_token_output, op3_exact_dedup, op4_quality_rules, op5_toxicity, op6_best_fit_packing, op7_simhash, op8_mix_sources, op9_html_text, op10_secret_scan, pipeline)}
+    op1_suffix_dedup, op2_token_output, op3_exact_dedup, op4_quality_rules, op5_toxicity, op6_best_fit_packing, op7_simhash, op8_mix_sources,
+    op9_html_text, op10_secret_scan, op11_tokenizer_alignment, op12_fill_in_middle, op13_bpe_chunks, pipeline)}
