@@ -8,8 +8,10 @@ the pair is counted in a vector as long as A's vocabulary; only other pairs are
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,7 +27,9 @@ PAIRS_HELD = 2_000_000
 #: Pair counts that are broadcast; more are joined by a shuffle.
 BROADCAST_PAIRS = 4_000_000
 #: Code points of texts that are tokenised at a time.
-TEXT_AT_ONCE = 1_000_000
+TEXT_AT_ONCE = 500_000
+#: Parts of texts whose ids a Python worker remembers, twice at most, and code points of those too long for it.
+PARTS_REMEMBERED, LONG_PART = 200_000, 64
 
 
 # --- the two tokenizers ------------------------------------------------------------------
@@ -41,7 +45,61 @@ def piece_bytes(piece: str) -> bytes:
     """Bytes of a sentence piece: U+2581 is a space, <0xHH> one byte."""
     if len(piece) == 6 and piece.startswith("<0x") and piece.endswith(">"):
         return bytes([int(piece[3:5], 16)])
-    return piece.replace("▁", " ").encode()
+    return piece.replace("\u2581", " ").encode()
+
+
+# A byte-level tokenizer always cuts before a single space between two characters that are none.
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+_OTHER_SPACE = re.compile(r" (?=\s)|(?<=\s) ")
+
+
+def _parts(text: str) -> list[str]:
+    """``text`` cut at such spaces; where all of its spaces are such, simply at spaces."""
+    if text[:1] == " " or text[-1:] == " " or _OTHER_SPACE.search(text):
+        return _BETWEEN.split(text)
+    return text.split(" ")
+
+
+class _Remembered:
+    """A's ids, as bytes, of a space and what follows up to the next such space; each is encoded once while remembered."""
+
+    def __init__(self, tokenizer, length: np.ndarray):
+        self.tokenizer, self.length = tokenizer, length
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encodes many parts as one text and cuts its ids by their bytes. Parts that begin with white space go alone."""
+        joined = [p for p in parts if p and not p[0].isspace()]
+        alone = [p for p in parts if not p or p[0].isspace()]
+        for part, ids in zip(alone, self._library(alone)):
+            self.now[part] = ids.tobytes()
+        if not joined:
+            return
+        ids = self._library([" ".join(joined)])[0]
+        stops = np.searchsorted(np.cumsum(self.length[ids]), np.cumsum([len(p.encode()) + 1 for p in joined]), side="right")
+        raw, at = ids.tobytes(), 0
+        for part, stop in zip(joined, (4 * stops).tolist()):
+            self.now[part] = raw[at:stop]
+            at = stop
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of a space and each text."""
+        if len(self.now) > PARTS_REMEMBERED:
+            self.now, self.before = {}, self.now
+        cut = [_parts(t) for t in texts]
+        unseen = set(itertools.chain.from_iterable(cut)).difference(self.now)
+        known = [p for p in unseen if p in self.before]
+        self.now.update((p, self.before[p]) for p in known)
+        self._learn(list(unseen.difference(known)))
+        made = [b"".join(map(self.now.__getitem__, parts)) for parts in cut]
+        for p in unseen:
+            if len(p) > LONG_PART:
+                del self.now[p]
+        return made
 
 
 class TokenizerPair:
@@ -52,46 +110,59 @@ class TokenizerPair:
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+        a = Tokenizer.from_file(path_a)
+        a.encode_special_tokens = True
+        a.no_truncation()
+        a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         symbols = _byte_of_symbol()
-        special = {t["content"] for t in json.loads(self.a.to_str())["added_tokens"]}
-        vocab = self.a.get_vocab()
-        self.bytes_a = [b""] * (1 + max(vocab.values()))
+        special = {t["content"] for t in json.loads(a.to_str())["added_tokens"]}
+        vocab = a.get_vocab()
+        bytes_a = [b""] * (1 + max(vocab.values()))
         for token, i in vocab.items():
             if token not in special:
-                self.bytes_a[i] = bytes(symbols[c] for c in token)
-        self.bytes_b = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
-        self.length_a, self.length_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b))
+                bytes_a[i] = bytes(symbols[c] for c in token)
+        bytes_b = [piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
+        self.bytes_a, self.bytes_b = pa.array(bytes_a, pa.binary()), pa.array(bytes_b, pa.binary())
+        self.length_a, self.length_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (bytes_a, bytes_b))
+        self.a = _Remembered(a, self.length_a)
         # The B id with the same bytes; single-byte pieces give way to ordinary ones, control ids stay out.
         same: dict[bytes, int] = {}
-        for i, value in enumerate(self.bytes_b):
+        for i, value in enumerate(bytes_b):
             if self.b.is_byte(i):
                 same.setdefault(value, i)
             elif not (self.b.is_control(i) or self.b.is_unknown(i)):
                 same[value] = i
-        self.same = np.array([same.get(x, -1) if x else -1 for x in self.bytes_a], dtype=np.int64)
-        self.size_b = len(self.bytes_b)
+        self.same = np.array([same.get(x, -1) if x else -1 for x in bytes_a], dtype=np.int64)
+        self.size_b = len(bytes_b)
         # The text of the digests: each id behind the sign that parts it from the token before.
-        numbers = [str(i).encode() for i in range(max(len(self.bytes_a), self.size_b))]
-        self.signs = [sign + x for sign in (b",", b";", b"|") for x in numbers]
+        numbers = [str(i).encode() for i in range(max(len(bytes_a), self.size_b))]
+        self.signs = pa.array([sign + x for sign in (b",", b";", b"|") for x in numbers], pa.binary())
         self.numbers = len(numbers)
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of both, empty where the bytes of either differ from a space and the text."""
-        spaced = [" " + t for t in texts]
-        found_a = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-        found_b = self.b.encode(texts, num_threads=1)
-        made = []
-        for text, a, b in zip(spaced, found_a, found_b):
-            raw, ids = text.encode(), a.ids
-            right = (len(text) > 1 and b"".join(map(self.bytes_a.__getitem__, ids)) == raw
-                     and b"".join(map(self.bytes_b.__getitem__, b)) == raw)
-            made.append((np.array(ids if right else [], dtype=np.int64), np.array(b if right else [], dtype=np.int64)))
-        return made
+        found_a = [np.frombuffer(x, dtype="<u4") for x in self.a.encode(texts)]
+        found_b = [np.array(x, dtype="<u4") for x in self.b.encode(texts, num_threads=1)]
+        right = [bool(t) for t in texts]
+        raw = [b" " + t.encode() for t in texts]
+        for found, table in ((found_a, self.bytes_a), (found_b, self.bytes_b)):
+            sizes = [len(x) for x in found]
+            for i, got in enumerate(_joined_runs(table, np.concatenate(found), sizes)):
+                right[i] = right[i] and got == raw[i]
+        none = np.zeros(0, dtype=np.uint32)
+        return [(a, b) if r else (none, none) for a, b, r in zip(found_a, found_b, right)]
+
+
+def _joined_runs(table: pa.Array, ids: np.ndarray, sizes: list[int]) -> list[memoryview]:
+    """The strings of ``table`` at ``ids``, joined run by run."""
+    if not len(ids):
+        return [memoryview(b"")] * len(sizes)
+    taken = table.take(pa.array(ids))
+    offsets = np.frombuffer(taken.buffers()[1], dtype=np.int32)
+    ends = offsets[np.concatenate(([0], np.cumsum(sizes)))].tolist()
+    data = memoryview(taken.buffers()[2]).cast("B")
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -109,38 +180,41 @@ def align(pair: TokenizerPair, ids: list[tuple[np.ndarray, np.ndarray]]) -> list
     with the precomputed partner, ``irregular`` the codes (A id times vocabulary of B, plus B id) of all other links.
     """
     sizes_a, sizes_b = (np.array([len(p[k]) for p in ids], dtype=np.int64) for k in (0, 1))
-    a, b = (np.concatenate([p[k] for p in ids]) if ids else np.zeros(0, np.int64) for k in (0, 1))
+    a, b = (np.concatenate([p[k] for p in ids]) if ids else np.zeros(0, np.uint32) for k in (0, 1))
     ends_a, ends_b = np.cumsum(pair.length_a[a]), np.cumsum(pair.length_b[b])
-    cuts = np.union1d(ends_a, ends_b)
-    at_a, at_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
-    link_a, link_b = a[at_a], b[at_b]
-    common = (ends_a[at_a] == cuts) & (ends_b[at_b] == cuts)
+    is_end = [np.zeros(1 + (int(ends_a[-1]) if len(a) else 0), dtype=bool) for _ in (0, 1)]
+    is_end[0][ends_a] = True
+    is_end[1][ends_b] = True
+    cuts = np.flatnonzero(is_end[0] | is_end[1])
+    cut_a, cut_b = is_end[0][cuts], is_end[1][cuts]
+    # The token that ends at a cut or covers it is the one after all that ended before.
+    link_a, link_b = a[np.cumsum(cut_a, dtype=np.int32) - cut_a], b[np.cumsum(cut_b, dtype=np.int32) - cut_b]
+    common = cut_a & cut_b
     opens = np.concatenate((np.ones(min(1, len(cuts)), dtype=bool), common[:-1]))
     regular = opens & common & (pair.same[link_a] == link_b)
-    codes = link_a * pair.size_b + link_b
+    codes = link_a.astype(np.int64) * pair.size_b + link_b
 
-    group_of_cut = np.cumsum(opens) - 1
-    group_a, group_b = group_of_cut[np.searchsorted(cuts, ends_a)], group_of_cut[np.searchsorted(cuts, ends_b)]
+    group_of_cut = np.cumsum(opens, dtype=np.int32) - 1
+    group_a, group_b = group_of_cut[cut_a], group_of_cut[cut_b]
     n_groups = int(common.sum())
     before_a, before_b = (np.concatenate(([0], np.cumsum(np.bincount(g, minlength=n_groups)))) for g in (group_a, group_b))
-    signs = np.empty(len(a) + len(b), dtype=np.int64)
+    signs = np.empty(len(a) + len(b), dtype=np.int32)
     first_a, first_b = (np.concatenate((np.ones(min(1, len(g)), dtype=bool), g[1:] != g[:-1])) for g in (group_a, group_b))
     signs[np.arange(len(a)) + before_b[group_a]] = a + np.where(first_a, pair.numbers, 0)
     signs[np.arange(len(b)) + before_a[group_b + 1]] = b + np.where(first_b, 2 * pair.numbers, 0)
-    signs = signs.tolist()
+    texts = _joined_runs(pair.signs, signs, (sizes_a + sizes_b).tolist())
 
-    ends = np.cumsum(sizes_a)
-    doc_ends = np.concatenate(([0], ends_a))[ends]
+    doc_ends = np.concatenate(([0], ends_a))[np.cumsum(sizes_a)]
     last_cut = np.searchsorted(cuts, doc_ends, side="right")
     groups_before = np.concatenate(([0], np.cumsum(common)))
-    made, cut, token = [], 0, 0
-    for n_a, n_b, stop in zip(sizes_a.tolist(), sizes_b.tolist(), last_cut.tolist()):
-        part = slice(cut, stop)
-        text = b"".join([pair.signs[s] for s in signs[token:token + n_a + n_b]])[1:]
-        made.append((n_a, n_b, int(groups_before[stop] - groups_before[cut]), stop - cut,
-                     hashlib.sha256(text).hexdigest() if n_a else "",
-                     link_a[part][regular[part]].astype("<u4"), codes[part][~regular[part]].astype("<i8")))
-        cut, token = stop, token + n_a + n_b
+    n_regular, n_irregular = (np.concatenate(([0], np.cumsum(x)))[last_cut] for x in (regular, ~regular))
+    all_regular, all_irregular = link_a[regular].astype("<u4"), codes[~regular].astype("<i8")
+    made, cut, at, other = [], 0, 0, 0
+    for n_a, n_b, stop, end, last, text in zip(sizes_a.tolist(), sizes_b.tolist(), last_cut.tolist(), n_regular.tolist(),
+                                               n_irregular.tolist(), texts):
+        made.append((n_a, n_b, int(groups_before[stop] - groups_before[cut]), stop - cut, hashlib.sha256(text[1:]).hexdigest() if n_a else "",
+                     all_regular[at:end], all_irregular[other:last]))
+        cut, at, other = stop, end, last
     return made
 
 

@@ -202,6 +202,17 @@ def test_alignment_in_small_parts(spark, short_rows, plain_rows, monkeypatch):
     assert Counter(map(tuple, tokenizer_alignment.alignment(docs, BYTE, PIECE).collect())) == plain_rows
 
 
+PAIR = tokenizer_alignment.tokenizer_pair(BYTE, PIECE)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.one_of(st.characters(max_codepoint=0x3100, exclude_categories=("Cs",)), st.sampled_from("ab  \n\t\x1c'|>1")), max_size=30),
+                max_size=4))
+def test_remembered_parts_give_the_library_s_ids(texts):
+    found = [np.frombuffer(x, "<u4").tolist() for x in PAIR.a.encode(texts)]
+    assert found == [PAIR.a.tokenizer.encode(" " + t, add_special_tokens=False).ids for t in texts]
+
+
 def test_partner_array():
     pair = tokenizer_alignment.TokenizerPair(BYTE, PIECE)
     for i in np.flatnonzero(pair.same >= 0)[:3000].tolist():
