@@ -1,13 +1,14 @@
 """BPE encoding that meets repeated text once: content-defined chunks, repaired where they join.
 
 A rolling hash cuts the texts into chunks, so a passage that several documents share gives the
-same chunks in all of them. Equal chunks meet by hash and are encoded once. A cut may fall into
-a word; therefore the words around each join are encoded again as one window, and the result
-must agree with the tokens of the chunks on both sides.
+same chunks in all of them. A Python worker encodes a chunk once and remembers its tokens. A cut may fall
+into a word; therefore the words around each join are encoded again as one window, and the
+result must agree with the tokens of the chunks on both sides. No text and no id is shuffled.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -15,13 +16,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stacklens.llm.common import whole, whole_groups
+from stacklens.llm.common import whole
 
 #: Bytes that the rolling hash sees; a power of two.
 WINDOW = 32
@@ -31,12 +30,12 @@ CUT_BITS = 9
 SHORTEST, LONGEST = 64, 4096
 #: Bytes hashed at once, which bounds the memory of a very long text.
 SLICE = 1 << 20
-#: Copies of a chunk from one task that meet those of all tasks. Further ones meet by so many copies of so many tasks.
-FIRST, COPIES, TASKS = 4, 64, 32
-#: Chunks a task remembers to have sent.
-REMEMBERED = 200_000
-#: Chunks that are encoded, and chunk rows of documents that are joined, at a time.
-CHUNKS_AT_ONCE = 4096
+#: Bytes of ids and context of the chunks that a Python worker remembers, twice at most: those met lately and those before.
+CHUNK_BYTES = 48 << 20
+#: Words that it remembers likewise, and characters of those too long for it.
+WORDS, LONG_WORD = 150_000, 64
+#: Bytes of texts that are encoded at a time.
+TEXT_AT_ONCE = 1 << 20
 
 # Fixed values of the rolling hash: one number per byte value, by a rule, and an odd factor.
 _BYTE = np.array([xxhash.xxh32_intdigest(bytes([b]), 7) for b in range(256)], dtype=np.uint32)
@@ -88,50 +87,6 @@ def chunk_ends(text: bytes) -> list[int]:
     return ends
 
 
-CHUNK_ROWS = "h1 bigint, h2 bigint, text binary, rid bigint, place int, id {id}"
-
-
-def chunk_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per chunk of each text: hash, document and place; the text comes with the first copy for a group.
-
-    Equal chunks form one group, but those that are often in one task form more: ``spread`` goes into
-    their hash, so that no group has more than a few rows per task of the job.
-    """
-    df = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), whole(text_col).cast("binary").alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
-        far = (context.partitionId() if context else 0) // TASKS << 32
-        sent: dict[bytes, int] = {}
-        for batch in batches:
-            keys, texts, rids, places, rows = [], [], [], [], []
-            for row, (rid, value) in enumerate(zip(batch["rid"].to_pylist(), batch["text"])):
-                text, start = value.as_py(), 0
-                for place, end in enumerate(chunk_ends(text)):
-                    chunk = text[start:end]
-                    plain = xxhash.xxh3_128_digest(chunk)
-                    copies = sent.get(plain, 0)
-                    if not copies and len(sent) >= REMEMBERED:
-                        sent.clear()
-                    sent[plain] = copies + 1
-                    spread = 0 if copies < FIRST else 1 + (far | copies // COPIES)
-                    keys.append(xxhash.xxh3_128_digest(chunk, spread) if spread else plain)
-                    texts.append(chunk if copies in (0, FIRST) or copies >= FIRST and copies % COPIES == 0 else None)
-                    rids.append(rid)
-                    places.append(place)
-                    rows.append(row)
-                    start = end
-            if not keys:
-                continue
-            hashes = np.frombuffer(b"".join(keys), dtype="<i8").reshape(-1, 2)
-            ids = batch["id"].take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes[:, 0].copy()), pa.array(hashes[:, 1].copy()), pa.array(texts, pa.binary()), pa.array(rids, pa.int64()),
-                 pa.array(places, pa.int32()), ids], ["h1", "h2", "text", "rid", "place", "id"])
-
-    return df.mapInArrow(run, CHUNK_ROWS.format(id=df.schema["id"].dataType.simpleString()))
-
-
 # --- encoding ----------------------------------------------------------------------------
 
 # Fixed value: Unicode white space, at which words are told apart.
@@ -149,19 +104,51 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.words: dict[str, bytes] = {}
+        self.words_before: dict[str, bytes] = {}
+        self.chunks: dict[bytes, tuple] = {}
+        self.chunks_before: dict[bytes, tuple] = {}
+        self.chunk_bytes = 0
         self.joined = None
         if self.tokenizer.decoder is None:
             size = 1 + max(self.tokenizer.get_vocab().values())
             self.joined = [(self.tokenizer.id_to_token(i) or "").encode() for i in range(size)]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.kind) for e in found]
 
+    def _learn(self, words: list[str]) -> None:
+        """Encodes many words as one text and cuts its ids by the places of their tokens."""
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        starts = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
+        cuts = np.searchsorted(starts, np.cumsum([len(w) + 1 for w in words])).tolist()
+        raw, width, at = np.array(found.ids, dtype=self.kind).tobytes(), np.dtype(self.kind).itemsize, 0
+        for word, cut in zip(words, cuts):
+            self.words[word] = raw[at:width * cut]
+            at = width * cut
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts, word by word; only for a tokenizer that keeps words apart."""
+        if len(self.words) > WORDS:
+            self.words, self.words_before = {}, self.words
+        cut = [[w for w in _SPACES.split(t) if w] for t in texts]
+        unseen = set(itertools.chain.from_iterable(cut)).difference(self.words)
+        known = [w for w in unseen if w in self.words_before]
+        self.words.update((w, self.words_before[w]) for w in known)
+        new = list(unseen.difference(known))
+        if new:
+            self._learn(new)
+        made = [np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype=self.kind) for words in cut]
+        for w in unseen:
+            if len(w) > LONG_WORD:
+                del self.words[w]
+        return made
+
     def keeps_words_apart(self) -> bool:
         """Whether white space ends every token, so that words encode alike alone and side by side."""
         one, two = "ab", "cd'ef"
-        alone = self.encode([one, two, f"{one} {two}", f"{one}\n\t {two}", f" {one}\n"])
+        alone = self.library([one, two, f"{one} {two}", f"{one}\n\t {two}", f" {one}\n"])
         both = np.concatenate(alone[:2])
         return all(np.array_equal(x, y) for x, y in ((both, alone[2]), (both, alone[3]), (alone[0], alone[4])))
 
@@ -198,8 +185,7 @@ def encode_chunks(coder: Encoder, texts: list[str]) -> list[tuple[str, np.ndarra
     words = 1
     while open_:
         parts = [_contexts(texts[i], words) for i in open_]
-        asked = [x for p in parts if p for x in p]
-        found = iter(coder.encode(asked))
+        found = iter(coder.encode([x for p in parts if p for x in p]))
         left = []
         for i, part in zip(open_, parts):
             if part is None:
@@ -208,70 +194,51 @@ def encode_chunks(coder: Encoder, texts: list[str]) -> list[tuple[str, np.ndarra
             head, tail, ids = next(found), next(found), full[i]
             inner = len(ids) - len(tail)
             if len(head) and len(tail) and len(head) <= inner and np.array_equal(ids[:len(head)], head) and np.array_equal(ids[inner:], tail):
-                made[i] = (part[0], ids[len(head):inner], part[1], int(head[-1]), int(tail[0]))
+                # A copy, so that what is remembered does not hold the whole.
+                made[i] = (part[0], ids[len(head):inner].copy(), part[1], int(head[-1]), int(tail[0]))
             else:
                 left.append(i)
         open_, words = left, 2 * words
     return made
 
 
-ENCODED = "rid bigint, place int, id {id}, head binary, ids binary, tail binary, before int, after int"
-_ENCODED = ["rid", "place", "id", "head", "ids", "tail", "before", "after"]
+def remembered_chunks(coder: Encoder, texts: list[list[str]]) -> list[list[tuple]]:
+    """The encodings of the chunks of each text; a chunk is encoded when it is met for the first time."""
+    if coder.chunk_bytes > CHUNK_BYTES:
+        coder.chunks, coder.chunks_before, coder.chunk_bytes = {}, coder.chunks, 0
+    known, before = coder.chunks, coder.chunks_before
+    keys = [[xxhash.xxh3_128_digest(c) for c in chunks] for chunks in texts]
+    new: dict[bytes, str] = {}
+    for key, chunk in zip(itertools.chain.from_iterable(keys), itertools.chain.from_iterable(texts)):
+        if key not in known and key not in new:
+            if key in before:
+                known[key] = before[key]
+            else:
+                new[key] = chunk
+    for key, made in zip(new, encode_chunks(coder, list(new.values()))):
+        known[key] = made
+        coder.chunk_bytes += 400 + len(made[0]) + len(made[2]) + (0 if made[1] is None else made[1].nbytes)
+    return [[known[key] for key in row] for row in keys]
 
 
-def encoded_chunks(rows: DataFrame, path: str) -> DataFrame:
-    """Every chunk row with its encoding; equal chunks lie side by side and are encoded once."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path)
-        for table in whole_groups(batches, ("h1", "h2"), CHUNKS_AT_ONCE):
-            new = np.ones(len(table), dtype=bool)
-            new[1:] = False
-            for k in ("h1", "h2"):
-                column = table[k].to_numpy()
-                new[1:] |= column[1:] != column[:-1]
-            first = np.flatnonzero(new)
-            texts = table["text"].take(pa.array(first)).to_pylist()
-            made = encode_chunks(coder, [t.decode("utf-8", "replace") for t in texts])
-            columns = [pa.array([m[0].encode() for m in made], pa.binary()),
-                       pa.array([None if m[1] is None else m[1].tobytes() for m in made], pa.binary()),
-                       pa.array([m[2].encode() for m in made], pa.binary()),
-                       *[pa.array([m[k] for m in made], pa.int32()) for k in (3, 4)]]
-            which = np.cumsum(new) - 1
-            # Copies of a chunk are written out some thousands at a time.
-            for at in range(0, len(table), CHUNKS_AT_ONCE):
-                take = pa.array(which[at:at + CHUNKS_AT_ONCE])
-                part = table.slice(at, CHUNKS_AT_ONCE)
-                yield pa.RecordBatch.from_arrays(
-                    [*[part[c].combine_chunks() for c in ("rid", "place", "id")], *[c.take(take) for c in columns]], _ENCODED)
-
-    met = rows.repartition("h1", "h2").sortWithinPartitions("h1", "h2", F.col("text").isNull())
-    return met.mapInArrow(run, ENCODED.format(id=rows.schema["id"].dataType.simpleString()))
-
-
-def _documents(coder: Encoder, table: pa.Table) -> list[np.ndarray]:
-    """Ids of the documents of ``table``, whose rows are sorted and whole: windows over the joins, and the chunks between."""
-    rids, inner = table["rid"].to_numpy(), table["ids"]
-    head, tail = (table[c].to_pylist() for c in ("head", "tail"))
-    before, after = table["before"].to_pylist(), table["after"].to_pylist()
-    whole_ids = [None if x is None else np.frombuffer(x, dtype=coder.kind) for x in inner.to_pylist()]
+def join_chunks(coder: Encoder, texts: list[list[tuple]]) -> list[np.ndarray]:
+    """Ids of texts from the encodings of their chunks: windows over the joins, and what lies between them."""
     windows: list[str] = []
-    plan: list[list] = []  # per document: windows' numbers and chunks' ids in turn
+    plan: list[list] = []  # per text: numbers of windows and ids of chunks in turn
     sides: list[tuple[int, int]] = []  # ids that a window has to begin and end with, -1: any
-    text, begin = b"", -1
-    for i, rid in enumerate(rids):
-        if i == 0 or rid != rids[i - 1]:
-            plan.append([])
-            text, begin = b"", -1
-        text += head[i]
-        if whole_ids[i] is not None:
-            plan[-1] += [len(windows), whole_ids[i]]
-            windows.append(text.decode("utf-8", "replace"))
-            sides.append((begin, before[i]))
-            text, begin = tail[i], after[i]
-        if i + 1 == len(rids) or rid != rids[i + 1]:
-            plan[-1].append(len(windows))
-            windows.append(text.decode("utf-8", "replace"))
-            sides.append((begin, -1))
+    for chunks in texts:
+        parts, text, begin = [], "", -1
+        for head, ids, tail, before, after in chunks:
+            text += head
+            if ids is not None:
+                parts += [len(windows), ids]
+                windows.append(text)
+                sides.append((begin, before))
+                text, begin = tail, after
+        parts.append(len(windows))
+        windows.append(text)
+        sides.append((begin, -1))
+        plan.append(parts)
     found = coder.encode(windows)
     for ids, (first, last) in zip(found, sides):
         if (first >= 0 and (not len(ids) or ids[0] != first)) or (last >= 0 and (not len(ids) or ids[-1] != last)):
@@ -279,6 +246,12 @@ def _documents(coder: Encoder, table: pa.Table) -> list[np.ndarray]:
     return [np.concatenate([found[x] if isinstance(x, int) else x for x in parts]) for parts in plan]
 
 
+def encode_texts(coder: Encoder, texts: list[bytes]) -> list[np.ndarray]:
+    """Ids of texts by their chunks."""
+    cut = [[t[a:b].decode("utf-8", "replace") for a, b in itertools.pairwise([0, *chunk_ends(t)])] for t in texts]
+    return join_chunks(coder, remembered_chunks(coder, cut))
+
+
 RESULT = "id {id}, n_tokens bigint, ids binary"
 
 
@@ -296,24 +269,24 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     encode every text as a whole. Null and empty texts have no ids. Repeated rows and null ids give rows of
     their own; an empty table gives none; other columns are ignored.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = RESULT.format(id=kind)
-
-    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(tokenizer)
+        apart = coder.keeps_words_apart()
         for batch in batches:
-            yield _result(encoder(tokenizer).encode(batch["text"].to_pylist()), batch["id"])
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ("rid",), CHUNKS_AT_ONCE):
-            rids = table["rid"].to_numpy()
-            first = pa.array(np.flatnonzero(np.concatenate(([True], rids[1:] != rids[:-1]))))
-            yield _result(_documents(encoder(tokenizer), table), pc.take(table["id"], first).combine_chunks())
-
-    if not encoder(tokenizer).keeps_words_apart():
-        found = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text")).mapInArrow(plain, schema)
-    else:
-        chunks = encoded_chunks(chunk_rows(docs, id_col, text_col), tokenizer)
-        found = chunks.repartition("rid").sortWithinPartitions("rid", "place").mapInArrow(join, schema)
+            texts = [t.as_py() for t in batch["text"]]
+            at = 0
+            while at < len(texts):
+                stop, size = at, 0
+                while stop < len(texts) and (stop == at or size + len(texts[stop]) <= TEXT_AT_ONCE):
+                    size += len(texts[stop])
+                    stop += 1
+                part = texts[at:stop]
+                ids = encode_texts(coder, part) if apart else coder.library([t.decode("utf-8", "replace") for t in part])
+                yield _result(ids, batch["id"].slice(at, stop - at))
+                at = stop
+
+    df = docs.select(F.col(id_col).alias("id"), whole(text_col).cast("binary").alias("text"))
+    found = df.mapInArrow(run, RESULT.format(id=df.schema["id"].dataType.simpleString()))
     return found.withColumnRenamed("id", id_col)
 
 

@@ -6,7 +6,6 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
-import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -67,10 +66,7 @@ def test_rolling_hash_over_slices(monkeypatch):
     assert chunked_bpe.chunk_ends(text) == want
 
 
-@pytest.mark.parametrize("copies", [64, 2])
-def test_encoding_equals_the_library(spark, monkeypatch, copies):
-    monkeypatch.setattr(chunked_bpe, "COPIES", copies)
-    monkeypatch.setattr(chunked_bpe, "FIRST", min(copies, 4))
+def test_encoding_equals_the_library(spark):
     rows, docs = many(spark)
     library = Tokenizer.from_file(WORD)
     found = chunked_bpe.decode(chunked_bpe.encode(docs, WORD), WORD).collect()
@@ -82,23 +78,29 @@ def test_encoding_equals_the_library(spark, monkeypatch, copies):
     assert all(r.n_tokens * 4 == len(r.ids) for r in found)
 
 
-def test_equal_chunks_are_encoded_once(spark):
-    rows = [(i, sentences(9, 5000, 4000), "a") for i in range(40)]
-    chunks = chunked_bpe.chunk_rows(documents(spark, rows).coalesce(1), "doc_id", "text").collect()
-    texts = [r.text for r in chunks if r.text is not None]
-    assert len(texts) == 2 * len(set(texts)) and len(chunks) == 40 * len(set(texts))
-    rows = [(i, sentences(9, 5000, 4000), "a") for i in range(4)]
-    chunks = chunked_bpe.chunk_rows(documents(spark, rows).coalesce(1), "doc_id", "text").collect()
-    texts = [r.text for r in chunks if r.text is not None]
-    assert len(texts) == len(set(texts)) and len(chunks) == 4 * len(texts)
+def test_chunks_are_encoded_once(monkeypatch):
+    coder = chunked_bpe.Encoder(WORD)
+    asked = []
+    plain = chunked_bpe.encode_chunks
+    monkeypatch.setattr(chunked_bpe, "encode_chunks", lambda c, texts: asked.extend(texts) or plain(c, texts))
+    shared = sentences(50, 3000, 4000)
+    texts = [(sentences(60 + i, 40 + 37 * i, 3000) + " " + shared).encode() for i in range(20)]
+    for t in texts:
+        ids = chunked_bpe.encode_texts(coder, [t, t])
+        assert ids[0].tolist() == ids[1].tolist() == coder.tokenizer.encode(t.decode(), add_special_tokens=False).ids
+    assert len(asked) == len(set(asked))
+    assert sum(map(len, asked)) < 0.45 * sum(map(len, texts))
 
 
-def test_hot_chunks_form_groups(spark):
-    rows = [(i, "the same short text", "a") for i in range(600)]
-    chunks = chunked_bpe.chunk_rows(documents(spark, rows).coalesce(1), "doc_id", "text").collect()
-    sizes = Counter((r.h1, r.h2) for r in chunks)
-    assert len(sizes) == 11 and max(sizes.values()) == chunked_bpe.COPIES
-    assert sum(r.text is not None for r in chunks) == 11
+def test_forgetful_encoding(monkeypatch):
+    monkeypatch.setattr(chunked_bpe, "CHUNK_BYTES", 3000)
+    monkeypatch.setattr(chunked_bpe, "WORDS", 100)
+    monkeypatch.setattr(chunked_bpe, "LONG_WORD", 3)
+    coder = chunked_bpe.Encoder(WORD)
+    for i in range(30):
+        texts = [sentences(i % 7, 300, 4000), sentences(i % 5, 700, 4000)]
+        ids = chunked_bpe.encode_texts(coder, [t.encode() for t in texts])
+        assert [x.tolist() for x in ids] == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_other_tokenizers_encode_whole_texts(spark):
@@ -278,9 +280,5 @@ def test_joins_at_any_place(data):
     cuts = sorted(data.draw(st.sets(st.integers(0, len(text)), max_size=6)))
     chunks = [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
     coder = chunked_bpe.encoder(WORD)
-    made = chunked_bpe.encode_chunks(coder, chunks)
-    table = pa.table({
-        "rid": [0] * len(made), "head": [m[0].encode() for m in made], "tail": [m[2].encode() for m in made],
-        "ids": pa.array([None if m[1] is None else m[1].tobytes() for m in made], pa.binary()),
-        "before": [m[3] for m in made], "after": [m[4] for m in made]})
-    assert [x.tolist() for x in chunked_bpe._documents(coder, table)] == [coder.tokenizer.encode(text, add_special_tokens=False).ids]
+    made = chunked_bpe.join_chunks(coder, chunked_bpe.remembered_chunks(coder, [chunks, [text]]))
+    assert [x.tolist() for x in made] == 2 * [coder.tokenizer.encode(text, add_special_tokens=False).ids]
