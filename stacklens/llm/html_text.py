@@ -5,7 +5,9 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -179,7 +181,15 @@ class Builder:
 def parse(page: str) -> Node:
     """Tree of ``page``; any input gives one."""
     builder, at, n = Builder(), 0, len(page)
+    last = page.rfind(">")
     while at < n:
+        if at > last:
+            # No tag ends any more: all is text up to a comment, which would take the rest.
+            stop = min((k for k in (page.find("<!", at), page.find("<?", at)) if k >= 0), default=n)
+            if stop > at:
+                builder.text(html.unescape(page[at:stop]))
+                at = stop
+                continue
         m = TOKEN.match(page, at)
         if m[0] == "<":
             m = LOOSE.match(page, at) or m
@@ -418,38 +428,42 @@ def table(node: Node, depth: int, shown: bool = True) -> list[str]:
     """Lines of a table: cells of a column start at one place, two blanks apart."""
     captions, rows = _rows(node, shown)
     grid: list[list[tuple[int, int, list[str]]]] = []
-    busy: dict[int, int] = {}
+    # (first, end, row) of columns that cells of earlier rows hold until that row, by first column.
+    busy: list[tuple[int, int, int]] = []
     widths: dict[int, int] = {}
-    for row, painted in rows:
-        at, line = 0, []
+    for y, (row, painted) in enumerate(rows):
+        at, line, held = 0, [], []
+        busy = [b for b in busy if b[2] > y]
+        k = 0
         for cell in row.children:
             if isinstance(cell, str) or hidden(cell):
                 continue
-            while busy.get(at, 0) > 0:
-                at += 1
+            while k < len(busy) and busy[k][0] <= at:
+                at = max(at, busy[k][1])
+                k += 1
             span, tall = max(1, cell.number("colspan", 1, 1000)), max(1, cell.number("rowspan", 1, 65534))
             inside = render(cell, depth, painted)
             line.append((at, span, inside))
             if span == 1:
                 widths[at] = max(widths.get(at, 0), min(WIDEST, max(map(width, inside), default=0)))
             if tall > 1:
-                for k in range(at, at + span):
-                    busy[k] = tall
+                # Neighbours that end together are one stretch.
+                joins = held and held[-1][1] == at and held[-1][2] == y + tall
+                first = held.pop()[0] if joins else at
+                held.append((first, at + span, y + tall))
             at += span
-        busy = {k: v - 1 for k, v in busy.items() if v > 1}
+        if held:
+            busy = sorted(busy + held)
         grid.append(line)
     columns = sorted(widths)
-    starts, total = {}, 0
-    for k in range((columns[-1] if columns else -1) + 1):
-        starts[k] = total
-        total += widths.get(k, 0) + (2 if widths.get(k) else 0)
+    starts = [0, *accumulate(widths[k] + (2 if widths[k] else 0) for k in columns)]
     out = [x for c, painted in captions for x in render(c, depth, painted)]
     for line in grid:
         for k in range(max((len(inside) for _, _, inside in line), default=0)):
             text, used = [], 0
             for at, _, inside in line:
                 if k < len(inside) and inside[k]:
-                    room = starts.get(at, total) - used
+                    room = starts[bisect_left(columns, at)] - used
                     pad = max(room, 2 if text else 0)
                     text += [" " * pad, inside[k]]
                     used += pad + width(inside[k])

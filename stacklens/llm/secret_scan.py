@@ -24,16 +24,29 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: Character classes: runs within a candidate, and the bits a window must reach.
 CLASSES = ((re.compile(r"[0-9a-fA-F]{20,}"), 3.0), (re.compile(r"[A-Za-z0-9]{20,}"), 3.8), (re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.9))
 WINDOW = 20
-#: What explains a candidate: tested on it and the characters just before it.
-ALLOWED = tuple(re.compile(p, re.IGNORECASE | re.ASCII) for p in (
-    r"\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b",  # UUID
-    r"(https?|ftp|file|data)[:/]",  # addresses and embedded data
-    r"\b(sha-?(1|224|256|384|512)|md5|crc32|integrity|checksum|digest|commit|etag)\b\W{0,3}",  # digests named as such
-    r"example|sample|dummy|placeholder|x{6,}|0123456789|abcdefghij",  # documentation
-    r"^\W*[A-Za-z]+([/_-]+[A-Za-z]*)*$",  # words joined by strokes, paths
-    r"^\W*[0-9/_=-]+$",  # numbers, dates, rulers
-))
-BEFORE = 16
+#: What explains a candidate by what stands right before it: digests named as such, embedded data.
+NAMED = re.compile(r"\b(?:(?:sha-?(?:1|224|256|384|512)|md5|crc32|integrity|checksum|digest|commit|etag)\W{0,3}|data:[\w/+.-]{0,64};base64,)\Z",
+                   re.IGNORECASE | re.ASCII)
+#: What explains it by where it begins: inside an address.
+ADDRESS = re.compile(r"\b(?:https?|ftp|file):/*+[^\s\"'<>]*+\Z", re.IGNORECASE | re.ASCII)
+#: Characters looked at before a candidate.
+BEFORE = 512
+#: What explains a stretch of high entropy: being part of a UUID, or what it holds.
+UUID = re.compile(r"\b[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\b", re.IGNORECASE | re.ASCII)
+SAMPLE = re.compile(r"example|sample|dummy|placeholder|x{6,}|0123456789|abcdefghij", re.IGNORECASE | re.ASCII)
+STROKES = re.compile(r"[/_+=-]+")
+#: Letters for each capital that words written together have, at least.
+LETTERS_A_WORD = 3
+
+
+def is_wordlike(stretch: str) -> bool:
+    """Numbers, or words, joined by strokes; capitals inside a word begin another one."""
+    parts = [p for p in STROKES.split(stretch) if p]
+    if all(p.isdigit() for p in parts):
+        return True
+    mixed = "".join(p for p in parts if not p.isupper())
+    return all(p.isalpha() for p in parts) and len(mixed) >= LETTERS_A_WORD * sum(c.isupper() for c in mixed)
+
 
 # One more than a window holds: the new character enters before the old one leaves.
 _PLOG = [0.0, *[c * math.log2(c) for c in range(1, WINDOW + 2)]]
@@ -75,16 +88,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans of high entropy that are neither allowed nor inside a base span."""
+    """Spans of high entropy that are neither allowed nor inside a base span.
+
+    Digests named as such, embedded data and addresses are told by what stands before, within
+    ``BEFORE`` characters; all else by the stretch itself.
+    """
     spans = []
     for m in CANDIDATE.finditer(text):
         candidate, at = m[0], m.start()
         if candidate.isalpha() and (candidate.islower() or candidate[1:].islower()):
             continue
+        before = text[max(0, at - BEFORE):at]
         merged: list[tuple[int, int]] = []
         for kind, bits in CLASSES:
             merged += [(r.start() + a, r.start() + b) for r in kind.finditer(candidate) for a, b in hot_runs(r[0], bits)]
-        if not merged or any(p.search(text[max(0, at - BEFORE):m.end()]) or p.search(candidate) for p in ALLOWED):
+        if not merged or NAMED.search(before) or ADDRESS.search(before):
             continue
         joined: list[list[int]] = []
         for a, b in sorted(merged):
@@ -92,7 +110,9 @@ def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int
                 joined[-1][1] = max(joined[-1][1], b)
             else:
                 joined.append([a, b])
-        spans += [(at + a, 3, at + b) for a, b in joined if not any(s <= at + a and at + b <= e for s, _, e in base)]
+        spans += [(at + a, 3, at + b) for a, b in joined if not SAMPLE.search(candidate, a, b) and not is_wordlike(candidate[a:b])
+                  and not any(u.start() <= a and b <= u.end() for u in UUID.finditer(candidate))
+                  and not any(s <= at + a and at + b <= e for s, _, e in base)]
     return spans
 
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -305,3 +306,69 @@ def test_secret_rows(spark):
     assert by[40].spans == "assign:2:22,access:24:44" and (by[40].n_assign, by[40].n_access, by[40].n_hex) == (1, 1, 0)
     assert by[41].spans == "hex:0:24" and by[4].spans == ""
     assert secret_scan.secret_spans(documents(spark, [])).count() == 0
+
+
+def timed(call, *args):
+    start = time.perf_counter()
+    out = call(*args)
+    assert time.perf_counter() - start < 1.0
+    return out
+
+
+KEY = "Zk3vQ9xLr7TbWm2NcY8hPd5s"
+
+
+@pytest.mark.parametrize("before", ["profile: ", "keyfile: ", "metadata/", "data: ", "for example ", "the commit of 2021 has ", "httpsomething "])
+def test_words_nearby_do_not_hide_a_key(before):
+    text = before + KEY
+    found = [x for x in secret_scan.spans(text) if x[1] == 3]
+    assert found and found[-1][2] == len(text)
+
+
+@pytest.mark.parametrize("text", [
+    f"https://host.org/a?b={KEY}", f"sha256: {KEY}", f"data:image/png;base64,{KEY}", "550e8400-e29b-41d4-a716-446655440000",
+    "getElementsByTagNameAndRole", "some/long_path/With_manyParts/InThe_name", "2024-12-31_23-59-59/0001-7", "abcdefghijKLMNOP0123456789"])
+def test_what_is_allowed(text):
+    assert not [x for x in secret_scan.spans(text) if x[1] == 3]
+
+
+def test_letters_only_in_mixed_case():
+    assert [x[1] for x in secret_scan.spans("token of QwxTzLkPvBnMrYdHsJfGcAeUi and")] == [3]
+
+
+@pytest.mark.parametrize("stroke", ["_", "-", "/", "=", "_-"])
+def test_long_strokes_before_a_key(stroke):
+    for text in ("name" + stroke * 10_000 + KEY, "a" + stroke * 10_000, ("word" + stroke) * 10_000 + KEY):
+        timed(secret_scan.spans, text)
+    assert [x for x in secret_scan.spans("name" + stroke * 10_000 + KEY) if x[1] == 3]
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a b=\"", "<a b='x", "</p ", "<", "<!-", "&lt;<b x"])
+def test_broken_tags_without_end(unit):
+    n = 1_000_000 // len(unit)
+    timed(html_text.page_text, unit * n)
+    timed(html_text.page_text, "<p>seen</p>" + unit * (n // 10) + ">")
+
+
+def test_text_behind_the_last_tag():
+    assert html_text.page_text("<p>one</p>two <three &amp; four") == "one\n\ntwo <three & four"
+    assert html_text.page_text("a <b") == "a <b"
+    assert html_text.page_text("<p>a</p>b <!-- c") == "a\n\nb"
+
+
+def test_wide_and_tall_cells_take_little_memory():
+    import tracemalloc
+
+    cell = "<td colspan=1000 rowspan=60000>x</td>"
+    page = "<table><tr>" + cell * (64_000 // len(cell)) + "</tr><tr><td>y</td></tr></table>"
+    tracemalloc.start()
+    text = timed(html_text.page_text, page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6 and text.split()[-1] == "y"
+
+
+def test_rowspans_move_cells():
+    page = ("<table><tr><td rowspan=2>a</td><td>bbb</td><td rowspan=3>c</td></tr><tr><td>d</td><td>e</td></tr>"
+            "<tr><td>f</td><td>g</td><td>h</td></tr></table>")
+    assert html_text.page_text(page).split("\n") == ["a  bbb  c", "   d       e", "f  g       h"]
