@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from itertools import count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,10 +23,31 @@ def known_genres(loans: DataFrame, limit: int = WIDE_GENRES) -> list[str]:
     return sorted(r.genre for r in counted.orderBy(F.desc("n"), "genre").limit(limit).collect())
 
 
+def quoted(column: str) -> Column:
+    """The column of exactly this name, whatever characters it has."""
+    escaped = column.replace("`", "``")
+    return F.col(f"`{escaped}`")
+
+
 def genre_column(genre: str) -> str:
     return f"genre_{genre.lower().replace(' ', '_')}_count"
 
 
+def distinct_columns(genres: Sequence[str], name: Callable[[str], str]) -> dict[str, str]:
+    """Column of each genre. Names that differ in case only would clash: the later genre's gets a number, from 2 on."""
+    taken = {name(g).lower() for g in genres}
+    given: set[str] = set()
+    columns = {}
+    for genre in sorted(set(genres)):
+        column = plain = name(genre)
+        numbers = count(2)
+        while column.lower() in (given if column == plain else taken | given):
+            column = f"{plain}_{next(numbers)}"
+        given.add(column.lower())
+        columns[genre] = column
+    return columns
+
+
 def genre_counts(loans: DataFrame) -> DataFrame:
     """(patron_id, genre, n): the long form, for any number of genres."""
     kept = loans.where(F.col("patron_id").isNotNull() & F.col("genre").isNotNull())
@@ -36,17 +58,18 @@ def genre_features(loans: DataFrame, genres: Sequence[str] | None = None) -> Dat
     """Loans per listed genre; number of genres, top genre and its share over all genres, per patron.
 
     Of equally frequent genres the smaller name is the top one. Loans are counted by patron
-    and genre first, so what is ordered per patron is one row per genre.
+    and genre first, so what is ordered per patron is one row per genre. Genres whose names differ only in case
+    or between blank and underscore have columns of their own.
     """
-    genres = sorted(genres) if genres is not None else known_genres(loans)
+    columns = distinct_columns(genres if genres is not None else known_genres(loans), genre_column)
     n = F.col("n")
     per_patron = genre_counts(loans).groupBy("patron_id").agg(
-        *[F.sum(F.when(F.col("genre") == g, n).otherwise(0)).alias(genre_column(g)) for g in genres],
+        *[F.sum(F.when(F.col("genre") == g, n).otherwise(0)).alias(c) for g, c in columns.items()],
         F.count_if(n > 0).alias("genre_diversity"), F.sum(n).alias("total"),
         F.min(F.struct((-n).alias("less"), "genre")).alias("top"),
     )
     return per_patron.select(
-        "patron_id", *[f"`{genre_column(g)}`" for g in genres], "genre_diversity", F.col("top.genre").alias("top_genre"),
+        "patron_id", *[quoted(c) for c in columns.values()], "genre_diversity", F.col("top.genre").alias("top_genre"),
         ratio_or_zero(-F.col("top.less"), F.col("total"), 3).alias("genre_concentration"),
     )
 
@@ -119,7 +142,9 @@ def fill_by_type(df: DataFrame, key: str) -> DataFrame:
     """0 for missing numbers, "unknown" for missing text."""
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name != key]
-    return df.fillna(0, subset=numeric).fillna("unknown", subset=text)
+    fill = {**{c: F.lit(0) for c in numeric}, **{c: F.lit("unknown") for c in text}}
+    return df.select(*[F.coalesce(quoted(f.name), fill[f.name].cast(f.dataType)).alias(f.name) if f.name in fill else quoted(f.name)
+                       for f in df.schema.fields])
 
 
 def behavioral_features(

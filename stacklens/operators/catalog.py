@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stacklens.operators.behavioral import known_genres
+from stacklens.operators.behavioral import distinct_columns, known_genres
 from stacklens.operators.quantiles import exact_quantiles, value_counts
 from stacklens.session import cut_lineage
 
@@ -79,13 +79,16 @@ def popularity_tiers(catalog: DataFrame) -> DataFrame:
 
 
 def genre_encoding(metadata: DataFrame, genres: Sequence[str] | None = None) -> DataFrame:
-    """0/1 column per genre plus popularity, engagement and overdue signals."""
-    genres = sorted(genres) if genres is not None else known_genres(metadata)
+    """0/1 column per genre plus popularity, engagement and overdue signals.
+
+    Genres whose names differ only in case have columns of their own.
+    """
+    columns = distinct_columns(genres if genres is not None else known_genres(metadata), lambda g: f"genre_{g}")
     counts = _borrow_counts(metadata)
     most = counts.agg(F.max("value")).scalar()
     return metadata.select(
         "book_id",
-        *[F.coalesce((F.col("genre") == g).cast("int"), F.lit(0)).alias(f"genre_{g}") for g in genres],
+        *[F.coalesce((F.col("genre") == g).cast("int"), F.lit(0)).alias(c) for g, c in columns.items()],
         _tier(counts).alias("popularity_tier"),
         F.round(F.col("total_borrows") / most, 4).alias("popularity_score"),
         F.round("avg_renewals", 3).alias("engagement_score"),

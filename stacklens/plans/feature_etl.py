@@ -39,6 +39,8 @@ def run(
 
     timely = save("temporal_features", temporal.temporal_features(loans))
     habits = save("behavioral_features", behavioral.behavioral_features(loans, pos, activity, genres))
+    # Every genre, also those beyond the wide columns.
+    save("genre_counts", behavioral.genre_counts(loans))
     books = save("book_metadata", catalog.book_metadata(loans))
     save("genre_encoding", catalog.genre_encoding(books, genres))
     docs = content_docs(books)

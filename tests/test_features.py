@@ -134,3 +134,42 @@ def test_stop_words_can_be_replaced(spark):
     row = spark.createDataFrame([("the red ring",)], "t string")
     assert row.select(text.tokens(F.col("t"), ["ring"])).first()[0] == ["the", "red"]
     assert len(text.load_stop_words()) == 318
+
+
+CLASHING = ["Sci Fi", "sci_fi", "Fiction", "fiction", "fiction_count_2", "Dots. and `ticks`"]
+
+
+def test_clashing_genre_names_have_columns_of_their_own(spark, tmp_path):
+    rows = [(f"P{i}", f"B{k}", g, dt(2024, 1, 1 + i), "returned") for k, g in enumerate(CLASHING) for i in range(k + 1)]
+    frame = loan_rows(spark, rows)
+    behavioral.genre_features(frame).write.parquet(str(tmp_path / "genres"))
+    out = spark.read.parquet(str(tmp_path / "genres"))
+    columns = behavioral.distinct_columns(CLASHING, behavioral.genre_column)
+    assert columns["Sci Fi"] == "genre_sci_fi_count" and columns["sci_fi"] == "genre_sci_fi_count_2"
+    assert len({c.lower() for c in columns.values()}) == len(CLASHING) and len(out.columns) == len(CLASHING) + 4
+    first = out.where("patron_id = 'P0'").first().asDict()
+    third = out.where("patron_id = 'P2'").first().asDict()
+    for k, g in enumerate(CLASHING):
+        assert first[columns[g]] == 1 and third[columns[g]] == (k >= 2)
+    filled = behavioral.fill_by_type(out.withColumn(columns["Fiction"], F.lit(None).cast("long")), "patron_id").first().asDict()
+    assert filled[columns["Fiction"]] == 0
+    encoded = catalog.genre_encoding(catalog.book_metadata(frame))
+    encoded.write.parquet(str(tmp_path / "books"))
+    books = {r["book_id"]: r.asDict() for r in spark.read.parquet(str(tmp_path / "books")).collect()}
+    named = behavioral.distinct_columns(CLASHING, lambda g: f"genre_{g}")
+    for k, g in enumerate(CLASHING):
+        assert [books[f"B{k}"][named[h]] for h in CLASHING] == [int(h == g) for h in CLASHING]
+
+
+def test_daily_job_with_clashing_genres(spark, tiny, tmp_path):
+    from stacklens.plans import feature_etl
+    from stacklens.sources import testdata
+
+    genre = F.element_at(F.array(*[F.lit(g) for g in CLASHING[:4]]), F.pmod(F.xxhash64("book_id"), F.lit(4)).cast("int") + 1)
+    mixed = testdata.loans(spark, tiny).withColumn("genre", genre)
+    paths = feature_etl.run(spark, mixed, testdata.pos(spark, tiny), testdata.activity(spark, tiny), str(tmp_path), "warn")
+    master = spark.read.parquet(paths["master_features"])
+    counts = spark.read.parquet(paths["genre_counts"])
+    columns = behavioral.distinct_columns(CLASHING[:4], behavioral.genre_column)
+    for g, column in columns.items():
+        assert master.agg(F.sum(column)).first()[0] == counts.where(F.col("genre") == g).agg(F.sum("n")).first()[0] > 0
