@@ -696,6 +696,8 @@ ORDER BY checkout_date DESC, book_id, loan_duration_days, loan_status LIMIT 20""
         "emb_profile": w(f"SELECT patron_id, CAST(dim AS INTEGER) AS dim, {r('value', 6)} AS value FROM emb_profile", "emb_profile"),
         "emb_recommend": w(best("emb_cos", 10), "emb_cos", "pairs"),
         "emb_similar": w(_emb_similar(10), "vectors"),
+        "emb_similar_lsh_recall": w(f"""SELECT count(DISTINCT book_id) AS books, count(*) AS pairs, TRUE AS recalled, CAST(0 AS BIGINT) AS wrong
+FROM ({_emb_similar(10)})""", "vectors"),
         "side_feature_tokens": w("""SELECT 'patron' AS entity, patron_id AS id, 'age_group:' || patron_age_group AS feature FROM patron_dim
 UNION ALL SELECT 'patron', patron_id, 'membership:' || patron_membership_type FROM patron_dim
 UNION ALL SELECT 'book', book_id, 'genre:' || genre FROM catalog""", "patron_dim", "catalog"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stacklens.operators import (
-    als, behavioral, catalog, dashboard, drift, embeddings, evaluation, hybrid, monitoring, ranking,
+    als, behavioral, catalog, dashboard, drift, embeddings, evaluation, hybrid, monitoring, nearest, ranking,
     requests, side_features, svd, temporal, tfidf, validation,
 )
 from stacklens.operators.interactions import interactions, matrix_stats, seen_pairs
@@ -522,6 +522,21 @@ def emb_similar(spark, d):
     return embeddings.similar(td.book_vectors(spark, d), 10)
 
 
+@query
+def emb_similar_lsh(spark, d):
+    return nearest.similar(td.book_vectors(spark, d), 10)
+
+
+@query
+def emb_similar_lsh_recall(spark, d):
+    """Books, pairs of the exact answer, whether nine of ten are found, and found scores that are not exact."""
+    vectors = cut_lineage(td.book_vectors(spark, d))
+    found, exact = cut_lineage(nearest.similar(vectors, 10)), cut_lineage(embeddings.similar(vectors, 10))
+    wrong = found.alias("f").join(exact.alias("e"), ["book_id", "similar_book_id"]).where("f.score <> e.score").agg(F.count(F.lit(1)).alias("wrong"))
+    return nearest.recall(found, exact).crossJoin(wrong).select(
+        "books", "pairs", (F.col("found") >= 0.9 * F.col("pairs")).alias("recalled"), "wrong")
+
+
 # --- factor models ------------------------------------------------------------------------
 
 @query
