@@ -1,21 +1,32 @@
-"""Truncated SVD of the interaction matrix by subspace iteration over the long table.
+"""Truncated SVD of the interaction matrix by subspace iteration.
 
-Patron and book blocks stay DataFrames throughout; only small (k + oversample)²
-Gram matrices reach the driver. Every step writes its result to the shared folder,
-so the plan does not grow with the iterations and lost executors cost one step.
+The strengths are written once as sparse row blocks: the patrons of a block with all their books, under small
+integers. A step sends the thin matrix of the books to the blocks and adds up one thin matrix per task, so no strength moves.
+Above a size of the thin matrix, patron and book vectors stay DataFrames, joined with the long table in each
+step; then only small (k + oversample)² Gram matrices reach the driver, and every step is written out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stacklens.operators.factors import FactorModel, gram
-from stacklens.session import cut_lineage
+from stacklens.operators.interactions import integer_ids
+from stacklens.session import cut_lineage, shuffle_partitions
+
+#: Bytes of the thin matrix (books × columns) that is sent to all tasks; beyond it the vectors stay DataFrames.
+THIN_BYTES = 64 << 20
+#: Strengths of a row block, about.
+BLOCK_CELLS = 1 << 14
+#: Books whose sums travel as one row.
+BOOKS_PER_ROW = 1024
 
 
 @dataclass
@@ -70,18 +81,149 @@ def _orthonormal(factors: DataFrame, key: str, dims: int) -> DataFrame:
     return _rotate(factors, key, vectors * scale)
 
 
+BLOCK = "patrons array<string>, starts array<int>, books array<int>, weights array<double>"
+
+
+def row_blocks(strengths: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row per block: its patrons, where the cells of each start, and books (integers) and weights of the cells.
+
+    A patron is in one block with all books, at most the catalog; patrons are dealt by hash.
+    """
+    blocks = max(1, math.ceil(strengths.count() / BLOCK_CELLS))
+    # The work per byte is high, so the partition number is fixed and not left to size-based coalescing.
+    tasks = min(blocks, shuffle_partitions(strengths.sparkSession))
+
+    def pack(cells):
+        import numpy as np
+        import pandas as pd
+
+        cells = cells.sort_values(["patron_id", "idx"], kind="stable")
+        patrons = cells["patron_id"].to_numpy()
+        starts = np.flatnonzero(np.concatenate(([True], patrons[1:] != patrons[:-1])))
+        return pd.DataFrame({"patrons": [patrons[starts].tolist()], "starts": [starts.astype(np.int32)],
+                             "books": [cells["idx"].to_numpy(np.int32)], "weights": [cells["interaction_score"].to_numpy(np.float64)]})
+
+    cells = strengths.join(ids, "book_id").select("patron_id", "idx", "interaction_score")
+    dealt = cells.withColumn("block", F.pmod(F.xxhash64("patron_id"), F.lit(blocks)))
+    return dealt.repartition(tasks, "block").groupBy("block").applyInPandas(pack, BLOCK)
+
+
+def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """(patrons, starts, books, weights) of each block."""
+    for i in range(batch.num_rows):
+        values = [batch[c][i].values for c in ("patrons", "starts", "books", "weights")]
+        yield values[0], *[v.to_numpy(zero_copy_only=False) for v in values[1:]]
+
+
+def _image(starts: np.ndarray, books: np.ndarray, weights: np.ndarray, thin: np.ndarray) -> np.ndarray:
+    """Rows of the block times the thin matrix."""
+    return np.add.reduceat(weights[:, None] * thin[books], starts, axis=0)
+
+
+def _sums(blocks: DataFrame, thin: np.ndarray, small: bool) -> np.ndarray:
+    """With Y the strengths times ``thin``: YᵀY if ``small``, else the strengths transposed times Y.
+
+    Each task adds up its blocks in one thin matrix; the tasks' matrices are added up by stretches of rows.
+    """
+    shared = blocks.sparkSession.sparkContext.broadcast(thin)
+    shape = (thin.shape[1], thin.shape[1]) if small else thin.shape
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, thin = np.zeros(shape), shared.value
+        for batch in batches:
+            for _, starts, books, weights in _rows_of(batch):
+                image = _image(starts, books, weights, thin)
+                if small:
+                    total += image.T @ image
+                    continue
+                row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(books))))
+                order = np.argsort(books, kind="stable")
+                sorted_books = books[order]
+                first = np.flatnonzero(np.concatenate(([True], sorted_books[1:] != sorted_books[:-1])))
+                total[sorted_books[first]] += np.add.reduceat(weights[order, None] * image[row[order]], first, axis=0)
+        places = [at for at in range(0, shape[0], BOOKS_PER_ROW) if total[at:at + BOOKS_PER_ROW].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(
+            [total[at:at + BOOKS_PER_ROW].tobytes() for at in places], pa.binary())], ["at", "part"])
+
+    def add(rows):
+        import numpy as np
+        import pandas as pd
+
+        parts = sum(np.frombuffer(p) for p in rows["part"])
+        return pd.DataFrame({"at": [rows["at"].iloc[0]], "part": [parts.tobytes()]})
+
+    found = blocks.mapInArrow(run, "at bigint, part binary").groupBy("at").applyInPandas(add, "at bigint, part binary")
+    result = np.zeros(shape)
+    for r in found.collect():
+        part = np.frombuffer(r["part"]).reshape(-1, shape[1])
+        result[r["at"]:r["at"] + len(part)] = part
+    shared.unpersist()
+    return result
+
+
+def _patron_vectors(blocks: DataFrame, thin: np.ndarray) -> DataFrame:
+    """(patron_id, vector): the strengths times ``thin``."""
+    shared = blocks.sparkSession.sparkContext.broadcast(thin)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for patrons, starts, books, weights in _rows_of(batch):
+                image = _image(starts, books, weights, shared.value)
+                offsets = np.arange(len(image) + 1, dtype=np.int32) * image.shape[1]
+                yield pa.RecordBatch.from_arrays([patrons, pa.ListArray.from_arrays(pa.array(offsets), pa.array(image.ravel()))],
+                                                 ["patron_id", "vector"])
+
+    return blocks.mapInArrow(run, "patron_id string, vector array<double>")
+
+
+def _start(books: DataFrame, dims: int, seed: int) -> DataFrame:
+    """``books`` with a start vector: a uniform number per book and column that depends on the book id only."""
+    uniform = lambda j: F.pmod(F.xxhash64("book_id", F.lit(j), F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20)) - 0.5
+    return books.select("*", F.array(*[uniform(j) for j in range(dims)]).alias("vector"))
+
+
 def fit(
-    strengths: DataFrame, n_components: int = 50, n_iter: int = 10, oversample: int = 10, seed: int = 42
+    strengths: DataFrame, n_components: int = 50, n_iter: int = 10, oversample: int = 10, seed: int = 42,
+    thin_bytes: int = THIN_BYTES,
 ) -> SvdModel:
     """Patron factors UΣ and book factors V of the ``n_components`` largest singular values.
 
-    ``strengths`` is read twice per iteration; the caller writes it out once.
+    Up to ``thin_bytes`` the matrix of all books is sent to the tasks in each step, beyond it the
+    long table is joined; both give the same model but for signs and rounding.
     """
     dims = n_components + oversample
-    # Start block: a uniform number per book and column that depends on the book id only.
-    uniform = lambda j: F.pmod(F.xxhash64("book_id", F.lit(j), F.lit(seed)), F.lit(1 << 20)) / F.lit(float(1 << 20)) - 0.5
-    books = strengths.select("book_id").distinct()
-    block = cut_lineage(books.select("book_id", F.array(*[uniform(j) for j in range(dims)]).alias("vector")))
+    ids = cut_lineage(integer_ids(strengths, "book_id"))
+    n_books = ids.count()
+    if not 0 < n_books * dims * 8 <= thin_bytes:
+        return _fit_long(strengths, n_components, n_iter, oversample, seed)
+    spark = strengths.sparkSession
+    blocks = cut_lineage(row_blocks(strengths, ids))
+    thin = np.zeros((n_books, dims))
+    for r in _start(ids, dims, seed).select("idx", "vector").collect():
+        thin[r["idx"]] = r["vector"]
+    for _ in range(n_iter):
+        thin = _sums(blocks, _basis(thin), small=False)
+    basis = _basis(thin)
+    values, vectors = np.linalg.eigh(_sums(blocks, basis, small=True))
+    largest = np.argsort(values)[::-1][:n_components]
+    basis = basis @ vectors[:, largest]
+    rows = pa.table({"idx": pa.array(np.arange(n_books), pa.int32()), "vector": pa.array(list(basis), pa.list_(pa.float64()))})
+    books = ids.join(spark.createDataFrame(rows), "idx").select("book_id", "vector")
+    return SvdModel(cut_lineage(_patron_vectors(blocks, basis)), cut_lineage(books),
+                    tuple(float(np.sqrt(max(v, 0.0))) for v in values[largest]))
+
+
+def _basis(thin: np.ndarray) -> np.ndarray:
+    """Orthonormal columns that span those of ``thin``, padded by zero columns where these are fewer or dependent."""
+    left, values, _ = np.linalg.svd(thin, full_matrices=False)
+    left = left * (values > values.max(initial=0.0) * 1e-7)
+    return np.pad(left, ((0, 0), (0, thin.shape[1] - left.shape[1])))
+
+
+def _fit_long(strengths: DataFrame, n_components: int, n_iter: int, oversample: int, seed: int) -> SvdModel:
+    """The same by joins of the long table, which is read twice per step; the caller writes it out once."""
+    dims = n_components + oversample
+    block = cut_lineage(_start(strengths.select("book_id").distinct(), dims, seed))
     for _ in range(n_iter):
         basis = _orthonormal(block, "book_id", dims)
         patrons = _multiply(strengths, basis, "book_id", "patron_id", dims)

@@ -150,6 +150,38 @@ def test_svd_finds_the_exact_factors_of_a_low_rank_matrix(spark):
     assert similar.where("abs(score) > 1").count() == 0
 
 
+def test_svd_forms_agree(spark, monkeypatch):
+    """Blocks with a thin matrix in all tasks, and joins of the long table: one model but for signs."""
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 4, size=(60, 45)) * (rng.random((60, 45)) < 0.3)
+    rows = [(f"P{i:02}", f"B{j:02}", float(a[i, j])) for i in range(60) for j in range(45) if a[i, j]]
+    strengths = spark.createDataFrame(rows, "patron_id string, book_id string, interaction_score double")
+    monkeypatch.setattr(svd, "BLOCK_CELLS", 100)
+    monkeypatch.setattr(svd, "BOOKS_PER_ROW", 7)
+    models = [svd.fit(strengths, 4, n_iter=12, oversample=6, thin_bytes=limit) for limit in (svd.THIN_BYTES, 0)]
+    assert models[0].singular_values == pytest.approx(models[1].singular_values, rel=1e-9)
+    assert models[0].singular_values == pytest.approx(np.linalg.svd(a.astype(float), compute_uv=False)[:4], rel=1e-3)
+    scores = []
+    for model in models:
+        u = np.array([r.vector for r in model.patron_factors.orderBy("patron_id").collect()])
+        v = np.array([r.vector for r in model.book_factors.orderBy("book_id").collect()])
+        scores.append(u @ v.T)
+    assert scores[0] == pytest.approx(scores[1], abs=1e-7)
+
+
+def test_svd_moves_no_strengths_in_a_step(spark):
+    rows = [(f"P{i % 40:02}", f"B{i % 37:02}", 1.0 + i % 3) for i in range(1480)]
+    strengths = spark.createDataFrame(rows, "patron_id string, book_id string, interaction_score double")
+    blocks = cut_lineage(svd.row_blocks(strengths, integer_ids(strengths, "book_id")))
+    assert sorted(p for r in blocks.collect() for p in r.patrons) == [f"P{i:02}" for i in range(40)]
+    a = np.zeros((40, 37))
+    for p, b, s in rows:
+        a[int(p[1:]), int(b[1:])] += s
+    thin = np.random.default_rng(1).normal(size=(37, 5))
+    assert svd._sums(blocks, thin, small=False) == pytest.approx(a.T @ (a @ thin))
+    assert svd._sums(blocks, thin, small=True) == pytest.approx((a @ thin).T @ (a @ thin))
+
+
 def test_minmax_of_equal_scores_is_one(spark):
     rows = spark.createDataFrame([("P", "B1", 2.0, "m"), ("P", "B2", 2.0, "m")], "patron_id string, book_id string, score double, model string")
     assert {r.normalized_score for r in ranking.minmax_normalise(rows).collect()} == {1.0}
