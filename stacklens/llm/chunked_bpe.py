@@ -92,6 +92,8 @@ def chunk_ends(text: bytes) -> list[int]:
 # Fixed value: Unicode white space, at which words are told apart.
 _SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
+_CONTROLS = re.compile("[\x1c-\x1f]")
+
 
 class Encoder:
     """A tokenizer file of the tokenizers library, without truncation, padding and added special tokens."""
@@ -132,7 +134,7 @@ class Encoder:
         """Ids of texts, word by word; only for a tokenizer that keeps words apart."""
         if len(self.words) > WORDS:
             self.words, self.words_before = {}, self.words
-        cut = [[w for w in _SPACES.split(t) if w] for t in texts]
+        cut = [_words(t) for t in texts]
         unseen = set(itertools.chain.from_iterable(cut)).difference(self.words)
         known = [w for w in unseen if w in self.words_before]
         self.words.update((w, self.words_before[w]) for w in known)
@@ -164,12 +166,29 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _words(text: str) -> list[str]:
+    """``text`` cut at white space. Python's own split takes four control characters for white space too."""
+    return [w for w in _SPACES.split(text) if w] if _CONTROLS.search(text) else text.split()
+
+
 def _contexts(text: str, words: int) -> tuple[str, str] | None:
     """First and last part of ``text``: what may belong to a word cut in two, and ``words`` whole words. None: too short."""
-    gaps = [m.span() for m in _SPACES.finditer(text)]
-    if len(gaps) < 2 * words + 1:
+    first = list(itertools.islice(_SPACES.finditer(text), words + 1))
+    if len(first) <= words:
+        return None
+    back = 32 * (words + 1)
+    while True:
+        start = max(0, len(text) - back)
+        # White space at the very start of a later part may begin before it.
+        last = [m for m in _SPACES.finditer(text, start) if m.start() > start or not start]
+        if len(last) > words:
+            break
+        if not start:
+            return None
+        back *= 4
+    if last[-words - 1].start() < first[words].start():
         return None
-    return text[:gaps[words][0]], text[gaps[-words - 1][1]:]
+    return text[:first[words].start()], text[last[-words - 1].end():]
 
 
 def encode_chunks(coder: Encoder, texts: list[str]) -> list[tuple[str, np.ndarray | None, str, int, int]]:
