@@ -17,8 +17,6 @@ from stacklens.llm.common import whole, written
 
 #: Labelled rows at most from which lexicon and weights are learned.
 TRAIN_ROWS = 12_000
-#: Entries of the lexicon at most.
-LEXICON_TERMS = 600
 #: Words on either side that make the context of a hit.
 CONTEXT = 8
 #: States and words remembered by a Python worker; beyond it the memory starts anew.
@@ -282,14 +280,14 @@ def count_terms(sample: DataFrame) -> DataFrame:
     return written(rows.groupBy("term").agg(*sums), "terms")
 
 
-def learn_lexicon(counts: DataFrame, totals: dict[tuple[int, int], int], halves: tuple[int, ...], terms: int = LEXICON_TERMS) -> Lexicon:
-    """Terms that mark the toxic documents of some halves of the sample; at most ``terms``."""
+def learn_lexicon(counts: DataFrame, totals: dict[tuple[int, int], int], halves: tuple[int, ...]) -> Lexicon:
+    """All terms that mark the toxic documents of some halves of the sample, whose size bounds them."""
     n_pos, n_neg = (sum(totals.get((h, k), 0) for h in halves) for k in (1, 0))
     pos, neg = (sum((F.col(f"{k}{h}") for h in halves[1:]), F.col(f"{k}{halves[0]}")) for k in ("pos", "neg"))
     odds = F.ln((pos + 0.5) / F.lit(n_pos + 1.0)) - F.ln((neg + 0.5) / F.lit(n_neg + 1.0))
     strong = counts.select("term", pos.alias("pos"), neg.alias("neg"), odds.alias("odds")).where(
         (F.col("pos") >= max(3, 0.004 * n_pos)) & (F.col("odds") >= 2.0))
-    rows = strong.orderBy(F.desc(F.col("pos") * F.col("odds")), "term").limit(terms).collect()
+    rows = strong.collect()
     stems: dict[str, float] = {}
     for r in sorted((r for r in rows if r["term"].endswith("*")), key=lambda r: len(r["term"])):
         stem = r["term"][:-1]
@@ -299,8 +297,11 @@ def learn_lexicon(counts: DataFrame, totals: dict[tuple[int, int], int], halves:
     words = {r["term"]: round(r["odds"], 4) for r in rows if not r["term"].endswith("*")}
     lexicon = Lexicon(words, stems)
     # Words a typing error away from a term: few, as the terms are.
-    fuzzy = F.udf(lambda w: lexicon.fuzzy(w) > 0, "boolean", useArrow=True)
-    alike = counts.where((neg > 0) & ~F.col("term").endswith("*") & (F.length("term") >= 3)).where(fuzzy("term")).select("term")
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([lexicon.fuzzy(w) > 0 for w in batch["term"].to_pylist()], pa.bool_()))
+
+    alike = counts.where((neg > 0) & ~F.col("term").endswith("*") & (F.length("term") >= 3)).select("term").mapInArrow(near, "term string")
     return Lexicon(words, stems, frozenset(r["term"] for r in alike.collect()) - set(words))
 
 

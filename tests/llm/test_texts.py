@@ -159,16 +159,16 @@ def test_automaton_is_edit_distance(word):
 
 def test_many_rare_terms_are_found_misspelled(spark):
     pick = random.Random(5)
-    terms = sorted({"".join(pick.choice("bcdfgklmnprst") + pick.choice("aeiou") for _ in range(n)) for n in (2, 3, 4, 5) for _ in range(15)})
+    terms = sorted({"".join(pick.choice("bcdfgklmnprst") + pick.choice("aeiou") for _ in range(n)) for n in (3, 4, 5) for _ in range(240)})
     rows, labels = [], []
     for i in range(2000):
         words = sentences(i, 40, 2000).split()
         if i % 5 == 1:
-            words[5:5] = pick.sample(terms, 2)
+            words[5:5] = [terms[(16 * (i // 5) + k) % len(terms)] for k in range(16)]
         rows.append((i, " ".join(words), "a"))
         labels.append((i, 1, int(i % 5 == 1)))
     lexicon = toxicity.fit(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).lexicon
-    assert len(terms) > 50 and sum(t in lexicon.words for t in terms) == len(terms)
+    assert len(terms) >= 700 and sum(t in lexicon.words for t in terms) == len(terms)
     for t in terms:
         swapped, dropped = t[:1] + t[2] + t[1] + t[3:], t[:2] + t[3:]
         assert lexicon.look_up(swapped)[0] and lexicon.look_up(dropped)[0]
