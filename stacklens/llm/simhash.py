@@ -20,7 +20,7 @@ BLOCK = 50_000
 #: Fingerprints below a pair of trie nodes that one task joins; larger pairs are split.
 NODE_ROWS = 20_000
 #: Leaf pairs of up to so many comparisons are compared directly.
-LEAF = 1024
+LEAF = 16
 
 
 def fingerprint(text: bytes | None, shingle: int = 3) -> int:

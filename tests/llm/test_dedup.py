@@ -171,6 +171,13 @@ def test_trie_links_reach_every_close_pair():
     assert len({(root(i), w) for i, w in enumerate(want)}) == len(set(want)) == len({root(i) for i in range(len(near))})
 
 
+def test_small_nodes_descend_too():
+    """Leaves are a few prints, so that six of them already walk down the trie."""
+    values = np.array(sorted({1 << 60, 3 << 60, 7 << 59, 9, 11, 1 << 30}), dtype=np.uint64)
+    assert len(values) ** 2 > simhash.LEAF
+    assert len(simhash.trie_links(values, None, 0, 0, 2)) == len(values) - len(set(classes(values.tolist())))
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(7, 7), (3, 4)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
