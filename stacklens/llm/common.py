@@ -116,6 +116,26 @@ def per_task(spark: SparkSession, rows: int, size: int) -> int:
     return max(1, -(-rows // size))
 
 
+#: Equal rows that one task writes out at a time.
+REPEATS = 100_000
+
+
+def told_apart(rows: DataFrame, name: str, at_once: int = REPEATS) -> DataFrame:
+    """``rows``, written, with ``repeat`` that counts equal rows from 0.
+
+    Equal rows are counted first, so a row that occurs very often meets in no task; it is
+    written out by many. Neither partitions nor the order of rows matter.
+    """
+    columns = rows.columns
+    counted = written(rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_equal")), f"{name}-counts")
+    few = counted.where(F.col("n_equal") <= at_once).select(*columns, F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_equal") - 1)).alias("repeat"))
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n_equal - 1) DIV {at_once}")))
+    many = counted.where(F.col("n_equal") > at_once).select("*", blocks.alias("block")).repartition("block")
+    begin = F.col("block") * at_once
+    many = many.select(*columns, F.explode(F.sequence(begin, F.least(begin + at_once, "n_equal") - 1)).alias("repeat"))
+    return written(few.unionByName(many), name)
+
+
 def whole_groups(batches, keys: tuple[str, ...], rows: int):
     """Tables of about ``rows`` rows of sorted batches; no group of equal ``keys`` is parted."""
     held, n, want = [], 0, rows

@@ -9,11 +9,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stacklens.llm.common import join_checked, n_words, numbered, unpacked, written
+from stacklens.llm.common import join_checked, n_words, numbered, told_apart, unpacked, written
 from stacklens.operators.interactions import with_global_rank
 
 #: Rows that one task balances at a time.
 CHUNK = 5_000
+#: Small units that the landing decides anew beside the two left open.
+LANDING = 12
 EPS = 1e-9
 
 
@@ -76,18 +78,27 @@ def flight(p: np.ndarray, size: np.ndarray, random: np.random.Generator) -> np.n
     return p
 
 
-def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The at most two units left are set so that words, then units, come nearest to what is due."""
+def landing(start: np.ndarray, p: np.ndarray, size: np.ndarray, small: int = LANDING) -> np.ndarray:
+    """Decides the at most two units left so that the words come nearest to what was due at the ``start``.
+
+    The ``small`` least units that were drawn (units come large first) are decided anew with them.
+    Of all choices whose number of units is less than one off what is due, or as near as
+    any, the one with the least error of words is taken, then the one with the fewest changes.
+    """
     p = p.copy()
-    left = np.flatnonzero((p > EPS) & (p < 1 - EPS))
-    due = float((p[left] * size[left]).sum()), float(p[left].sum())
-    best = None
-    for bits in range(1 << len(left)):
-        x = np.array([(bits >> i) & 1 for i in range(len(left))], dtype=float)
-        error = abs(float((x * size[left]).sum()) - due[0]), abs(float(x.sum()) - due[1])
-        if best is None or error < best[0]:
-            best = error, x
-    p[left] = best[1]
+    open_before = (start > EPS) & (start < 1 - EPS)
+    open_now = (p > EPS) & (p < 1 - EPS)
+    if not open_now.any():
+        return p
+    drawn = np.flatnonzero(open_before & ~open_now & (size > 0))
+    loose = np.concatenate([np.flatnonzero(open_now), drawn[len(drawn) - min(small, len(drawn)):]])
+    due = float(((start - p) * size).sum() + (p[loose] * size[loose]).sum()), float((start - p).sum() + p[loose].sum())
+    x = (np.arange(1 << len(loose))[:, None] >> np.arange(len(loose)) & 1).astype(float)
+    units = np.abs(x.sum(axis=1) - due[1])
+    x = x[units <= max(1 - EPS, units.min() + EPS)]
+    changes = np.abs(x - p[loose]).sum(axis=1).round(6)
+    words = np.abs(x @ size[loose] - due[0]).round(6)
+    p[loose] = x[np.lexsort((changes, words))[0]]
     return p
 
 
@@ -126,10 +137,10 @@ def _flights(dealt: DataFrame, seed: int, level: int) -> DataFrame:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         rank, part, chunks = (int(frame[c].iloc[0]) for c in ("rank", "part", "chunks"))
         frame = frame.sort_values(["size", "order", "rid"], ascending=[False, True, True], kind="stable")
-        size, p = frame["size"].to_numpy(dtype=np.float64), frame["p"].to_numpy()
-        p = flight(p, size, np.random.Generator(np.random.PCG64([seed, level, rank, part])))
+        size, start = frame["size"].to_numpy(dtype=np.float64), frame["p"].to_numpy()
+        p = flight(start, size, np.random.Generator(np.random.PCG64([seed, level, rank, part])))
         if chunks == 1:
-            p = landing(p, size)
+            p = landing(start, p, size)
         return frame[["rid", "key", "rank", "size"]].assign(p=p)
 
     df = dealt.withColumn("order", F.xxhash64("key", F.lit(seed + 1000)))
@@ -138,14 +149,18 @@ def _flights(dealt: DataFrame, seed: int, level: int) -> DataFrame:
 
 
 def _copies(units: DataFrame, weights: tuple[int, ...], seed: int) -> DataFrame:
-    """rid, copies, source_size, target of every unit (rid, key, source, size)."""
+    """rid, copies, source_size, target of every unit (rid, key, source, size, repeat).
+
+    Units are dealt by key, size and repeat, so units with one key are spread as well.
+    """
     targets = source_targets(units, weights)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     planned = join_checked(units, targets.withColumn("rate", rate).withColumnRenamed("source", "ts"),
                            F.col("source").eqNullSafe(F.col("ts"))).drop("ts")
     whole = F.floor(F.col("rate") + EPS)
     planned = written(planned.withColumns({"whole": whole.cast("long"), "p": F.greatest(F.col("rate") - whole, F.lit(0.0))}), "plan")
-    extra = cube_sample(planned.select("rid", "key", "rank", "size", "p"), seed).withColumn("extra", F.lit(1).cast("long"))
+    deal = F.xxhash64("key", "size", "repeat").alias("key")
+    extra = cube_sample(planned.select("rid", deal, "rank", "size", "p"), seed).withColumn("extra", F.lit(1).cast("long"))
     return planned.join(extra, "rid", "left").withColumn("copies", F.col("whole") + F.coalesce("extra", F.lit(0)))
 
 
@@ -155,20 +170,33 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A source's rate is its target over its size. Each document is taken floor(rate) times and
     once more with the rest as its probability; the cube method draws these so that the
-    words and documents of a source come to what is due, but for the last two units.
+    words and documents of a source come to what is due, but for the last two units, which
+    are set together with the smallest ones that were drawn.
     Null text has size 0; null is a source of its own, last in order; a source without
     words takes none. Repeated rows are documents of their own. An empty table gives no rows.
     """
-    units = written(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("key"),
-                                F.col(source_col).alias("source"), n_words(F.coalesce(F.col(text_col), F.lit(""))).alias("size")), "units")
+    units = told_apart(docs.select(F.col(id_col).alias("key"), F.col(source_col).alias("source"),
+                                   n_words(F.coalesce(F.col(text_col), F.lit(""))).alias("size")), "units")
+    units = written(units.select(F.monotonically_increasing_id().alias("rid"), "*"), "numbered-units")
     return _copies(units, weights, seed).select(
         F.col("key").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           weights: tuple[int, ...] = (3, 1, 2), seed: int = 7) -> DataFrame:
-    """The rows of the mix, each as often as it is taken, with all their columns."""
+    """The rows of the mix, each as often as it is taken, with all their columns.
+
+    Null text has size 0 and null is a source, as in ``mix_sources``; clashing names of extra
+    columns stay apart. Rows that share id and size are told apart by their row number, so
+    which of them is taken may depend on the files. An empty table gives no rows.
+    """
     rows = numbered(docs, "mix", key=F.col(id_col), source=F.col(source_col), size=n_words(F.coalesce(F.col(text_col), F.lit(""))))
-    taken = _copies(rows.select("rid", "key", "source", "size"), weights, seed).where("copies > 0").select("rid", "copies")
+    units = rows.select("rid", "key", "source", "size")
+    shared = units.groupBy(F.col("key").alias("k"), F.col("size").alias("s")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = written(shared, "shared-ids")
+    on = F.col("key").eqNullSafe(F.col("k")) & (F.col("size") == F.col("s"))
+    repeat = F.when(F.col("n").isNull(), 0).otherwise(F.col("rid"))
+    units = join_checked(units, shared, on, "left").select("rid", "key", "source", "size", repeat.alias("repeat"))
+    taken = _copies(units, weights, seed).where("copies > 0").select("rid", "copies")
     out = rows.select("rid", "row").join(taken, "rid")
     return unpacked(out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stacklens.llm.common import n_words, per_task, whole, words, written
+from stacklens.llm.common import n_words, per_task, told_apart, whole, words
 
 #: Documents packed by one task.
 GROUP = 8_192
@@ -113,19 +113,20 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     last one is packed. No bin holds two pieces of one source or of one duplicate cluster
     (``cluster``; default: equal texts). Documents are dealt by hash into groups of about
     ``group`` documents, each packed by one task, so every source and cluster is spread over all groups.
+    Groups and order follow from what the rows hold, so bins do not depend on partitions.
 
     A document without words (null text too) has one row with a null bin. A null source is a
     source of its own; repeated rows conflict as copies. An empty table gives no rows; other
     columns are ignored.
     """
     text = whole(text_col)
-    units = written(docs.select(
-        F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+    units = told_apart(docs.select(
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"),
         (content_cluster(text) if cluster is None else cluster).alias("cluster"), n_words(text).alias("n")), "units")
     groups = per_task(docs.sparkSession, units.count(), group)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["order", "rid"], kind="stable")
+        frame = frame.sort_values(["order", "n", "repeat"], kind="stable")
         g, n = int(frame["g"].iloc[0]), frame["n"].to_numpy()
         rest = np.flatnonzero(n % capacity)
         sources, clusters = (pd.factorize(frame[c].iloc[rest], use_na_sentinel=False)[0].tolist() for c in ("source", "cluster"))
@@ -146,7 +147,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
             "bin_offset": pd.array([*offsets, *[0] * len(at), *blank], dtype="Int64")})
 
     kind = units.schema["id"].dataType.simpleString()
-    dealt = units.withColumns({"order": F.xxhash64("rid"), "g": F.pmod(F.xxhash64("rid"), F.lit(groups))})
+    unit = ("id", "source", "cluster", "n", "repeat")
+    dealt = units.withColumns({"order": F.xxhash64(*unit, F.lit(1)), "g": F.pmod(F.xxhash64(*unit), F.lit(groups))})
     packed = dealt.groupBy("g").applyInPandas(
         run, f"id {kind}, piece bigint, start_word bigint, n_words bigint, bin_id bigint, bin_offset bigint")
     return packed.withColumnRenamed("id", id_col)

@@ -6,8 +6,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from stacklens.llm import mixing, packing, quality
+from stacklens.llm import common, mixing, packing, quality
 from tests.llm.data import COLUMNS, documents, edge_rows, sentences
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -175,6 +176,42 @@ def test_flight_keeps_totals():
     assert np.abs(mean - 0.4).max() < 0.04
 
 
+def test_landing_comes_nearest_with_small_units():
+    random = np.random.default_rng(2)
+    size = np.sort(random.integers(1, 2000, 60).astype(float))[::-1].copy()
+    start = np.full(60, 0.37)
+    p = mixing.flight(start, size, np.random.default_rng(1))
+    landed = mixing.landing(start, p, size)
+    assert set(landed.tolist()) <= {0.0, 1.0} and abs(landed.sum() - start.sum()) < 1
+    least = min(abs(x @ size - start @ size) for x in (mixing.landing(start, p, size, 0), landed))
+    assert abs(landed @ size - start @ size) == least <= 0.001 * (start @ size)
+    decided = np.isin(p, (0.0, 1.0)) & (np.arange(60) < 40)
+    assert np.array_equal(landed[decided], p[decided])
+    done = np.array([0.0, 1.0, 1.0])
+    assert np.array_equal(mixing.landing(done, done, np.ones(3)), done)
+
+
+@pytest.mark.parametrize("at_once", [100_000, 7])
+def test_equal_rows_are_told_apart_and_dealt_evenly(spark, at_once):
+    rows = spark.createDataFrame([(None, "a", 5)] * 1200 + [(1, "a", 5)] * 3 + [(1, None, 5)], "key long, source string, size long")
+    units = common.told_apart(rows, "test", at_once)
+    got = units.groupBy("key", "source", "size").agg(F.min("repeat"), F.max("repeat"), F.countDistinct("repeat"), F.count(F.lit(1))).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(None, "a", 5, 0, 1199, 1200, 1200), (1, "a", 5, 0, 2, 3, 3), (1, None, 5, 0, 0, 1, 1)]))
+    parts = units.where("key IS NULL").groupBy(F.pmod(F.xxhash64("key", "size", "repeat"), F.lit(12))).count().collect()
+    assert len(parts) == 12 and max(r["count"] for r in parts) < 160
+
+
+def test_mix_of_equal_ids(spark):
+    rows = [(None, "one two three", "a")] * 200 + [(1, "four", "b")] * 50 + [(1, "five six", "b")] * 50
+    docs = documents(spark, rows)
+    got = mixing.mix_sources(docs).collect()
+    assert len(got) == 300 and all(r.copies in (0, 1, 2) for r in got)
+    for s in {r.source_size for r in got}:
+        assert abs(sum(r.taken for r in got if r.source_size == s) - next(r.target for r in got if r.source_size == s)) <= 3
+    assert sorted(map(str, mixing.mix_sources(docs.repartition(5)).collect())) == sorted(map(str, got))
+    assert mixing.mixed(docs).count() > 0
+
+
 # --- packing -----------------------------------------------------------------------------
 
 
@@ -237,6 +274,13 @@ def test_packing_is_whole_and_free_of_conflicts(spark):
         assert len({source[i] for i in known}) == len(known) and len({text[i] for i in known}) == len(known)
 
 
+def test_bins_do_not_depend_on_partitions(spark):
+    docs = documents(spark, packed_rows())
+    once, again, third = (sorted(map(str, packing.pack(d, capacity=200, group=100).collect()))
+                          for d in (docs, docs.repartition(9), docs.orderBy(F.desc("text")).coalesce(1)))
+    assert once == again == third
+
+
 def test_packing_of_nothing(spark):
     assert packing.pack(documents(spark, [])).count() == 0
     assert [r.bin_id for r in packing.pack(documents(spark, [(1, None, None)])).collect()] == [None]
