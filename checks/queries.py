@@ -29,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 HYBRID_SETTINGS = hybrid.HybridSettings(weights={"popular": 0.6, "tfidf": 0.2, "embedding": 0.2})
-HEALTH_AS_OF = "2001-08-01 12:00:00"
+HEALTH_AS_OF = "2001-11-04 12:00:00"
 TEMPORAL = temporal.TEMPORAL_COLUMNS
 CATALOG = ("patron_id", "book_id", "book_title", "genre", "checkout_date")
 
@@ -941,7 +941,7 @@ def _health(spark, d):
         "loans": (td.loans(spark, d, ("checkout_date",)), "checkout_date"),
         "pos": (td.pos(spark, d), "transaction_date"),
         "activity": (td.activity(spark, d), "event_timestamp"),
-        "returns": (td.loans(spark, d, ("return_date",)).where(F.col("return_date") < "2001-01-01"), "return_date"),
+        "returns": (td.loans(spark, d, ("return_date",)), "return_date"),
     }, F.lit(HEALTH_AS_OF).cast("timestamp"))
 
 
@@ -1050,13 +1050,14 @@ def explain_batch(spark, d):
 # --- streaming ----------------------------------------------------------------------------
 
 def _event_stream(spark, d):
-    """The events as four files that arrive one per batch, in no order of time, and a fifth that repeats some."""
+    """The events as four parts that arrive in some four batches, in no order of time."""
     path = scratch(spark, "events")
     events = td.table(spark, d, "events")
     part = F.pmod(F.xxhash64("event_id"), F.lit(4))
     for i in range(4):
-        events.where(part == i).coalesce(1).write.mode("append").parquet(path)
-    return live.from_files(spark, path, events.schema, max_files=1), events, path
+        events.where(part == i).write.mode("append").parquet(path)
+    files = len(spark.read.schema(events.schema).parquet(path).inputFiles())
+    return live.from_files(spark, path, events.schema, max_files=max(1, files // 4)), events, path
 
 
 @query
@@ -1064,7 +1065,7 @@ def stream_equals_batch(spark, d):
     """Events in several batches, out of order and with repeats: each comes out once."""
     out = scratch(spark, "activity")
     stream, events, path = _event_stream(spark, d)
-    events.where("event_id % 10 = 3").coalesce(1).write.mode("append").parquet(path)
+    events.where("event_id % 10 = 3").write.mode("append").parquet(path)
     live.unique_events(td.activity_from_events(stream), out, f"{out}/checkpoint").awaitTermination()
     return live.settled_events(spark, out)
 
@@ -1107,6 +1108,35 @@ def stream_windowed_rate(spark, d):
     return metrics.current_rates(spark, out)
 
 
+def _running_counts(spark, d, name, length="1 minute"):
+    out = scratch(spark, name)
+    stream, _, _ = _event_stream(spark, d)
+    metrics.rate_updates(td.request_log_from_events(stream), out, f"{out}/checkpoint", length).awaitTermination()
+    return out
+
+
+@query
+def stream_increase(spark, d):
+    """Requests of the last 24 hours, every hour, from counts kept batch by batch."""
+    return metrics.current_increase(spark, _running_counts(spark, d, "increase", "1 hour"))
+
+
+@query
+def stream_changes(spark, d):
+    """Changes per hour of a counter that starts anew every day, from counts kept batch by batch."""
+    return metrics.current_changes(spark, _running_counts(spark, d, "changes"))
+
+
+@query
+def stream_percentiles(spark, d):
+    """Latencies per five minutes from value bins that are added up batch by batch."""
+    out = scratch(spark, "percentiles")
+    stream, _, _ = _event_stream(spark, d)
+    metrics.percentile_updates(td.request_log_from_events(stream), "latency_ms", out, f"{out}/checkpoint").awaitTermination()
+    found = metrics.current_percentiles(spark, out)
+    return found.select("window_start", "n", *[F.round(c, 6).alias(c) for c in ("p50", "p95", "p99")])
+
+
 @query
 def windowed_rate(spark, d):
     return metrics.windowed_rate(td.request_log(spark, d), "1 minute")

@@ -1,18 +1,20 @@
 """Service metrics over event-time windows.
 
 Counts are additive: streams keep sums per window (``*_updates``) that are read with ``current_*``.
-Percentiles are not; a stream gives them for windows the watermark has closed.
+So are the counts of value bins from which a stream's percentiles are read: late rows enter
+their window whenever they come, and neither the order nor the size of batches matters.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stacklens.operators import drift
-from stacklens.streaming.activity import additive_updates, append_batches, current_sums
+from stacklens.streaming.activity import additive_updates, current_sums
 
 PERCENTILES = (0.50, 0.95, 0.99)
 
@@ -39,11 +41,17 @@ def windowed_rate(requests: DataFrame, length: str = "1 minute", slide: str | No
     step = _seconds(slide)
     if seconds % step:
         raise ValueError(f"{length} is no multiple of {slide}")
-    small = window_counts(requests, slide)
+    return rates(sliding_counts(window_counts(requests, slide), length, slide), seconds)
+
+
+def sliding_counts(counts: DataFrame, length: str, slide: str) -> DataFrame:
+    """Requests of windows of ``length`` that begin every ``slide``, from counts of windows no longer than the slide."""
+    seconds, step = _seconds(length), _seconds(slide)
+    small = counts.groupBy(F.window("window_start", slide)["start"].alias("window_start"), "endpoint").agg(F.sum("requests").alias("requests"))
     back = F.explode(F.transform(F.sequence(F.lit(0), F.lit(seconds // step - 1)), lambda k: F.make_interval(secs=k * step)))
     spread = small.select("endpoint", "requests", "window_start", back.alias("back"))
-    return rates(spread.groupBy((F.col("window_start") - F.col("back")).alias("window_start"), "endpoint").agg(
-        F.sum("requests").alias("requests")), seconds)
+    return spread.groupBy((F.col("window_start") - F.col("back")).alias("window_start"), "endpoint").agg(
+        F.sum("requests").alias("requests"))
 
 
 def _seconds(length: str) -> int:
@@ -63,6 +71,16 @@ def current_rates(spark: SparkSession, out: str, length: str = "1 minute") -> Da
     return rates(current_sums(spark, RATE_KEYS, out), _seconds(length))
 
 
+def current_increase(spark: SparkSession, out: str, length: str = "24 hours", slide: str = "1 hour") -> DataFrame:
+    """Requests of the last ``length``, every ``slide``, from the running counts of ``rate_updates``."""
+    return sliding_counts(current_sums(spark, RATE_KEYS, out), length, slide)
+
+
+def current_changes(spark: SparkSession, out: str, length: str = "1 hour", reset: str = "1 day") -> DataFrame:
+    """Changes and increase of the running total, from the running counts of ``rate_updates``."""
+    return counter_changes(samples_from_counts(current_sums(spark, RATE_KEYS, out), reset), length)
+
+
 def windowed_percentiles(
     requests: DataFrame, value: str, length: str = "5 minutes", probs: Sequence[float] = PERCENTILES,
     accuracy: int = 10_000,
@@ -78,10 +96,53 @@ def windowed_percentiles(
     )
 
 
-def closed_percentiles(stream: DataFrame, value: str, lateness: str, out: str, checkpoint: str, length: str = "5 minutes",
-                       probs: Sequence[float] = PERCENTILES):
-    """Percentiles of the windows that the watermark has closed, as a stream into parquet."""
-    return append_batches(windowed_percentiles(stream.withWatermark("request_ts", lateness), value, length, probs), out, checkpoint)
+#: Largest relative error of a percentile read from value bins.
+BIN_ERROR = 0.01
+BIN_KEYS = ("window_start", "sign", "bin")
+
+
+def _growth(error: float) -> float:
+    """Ratio of the bounds of a bin whose middle is off by no more than ``error`` of any value in it."""
+    return (1 + error) / (1 - error)
+
+
+def value_bins(requests: DataFrame, value: str, length: str = "5 minutes", error: float = BIN_ERROR) -> DataFrame:
+    """(window_start, sign, bin, n): how many values fall between two powers of a growth factor; additive over batches.
+
+    A bin is the least power that is not below the absolute value. Zero has sign 0 and bin 0. Null and NaN
+    are not counted. The number of bins grows with the logarithm of the range of values only.
+    """
+    v = F.col(value).cast("double")
+    power = F.ceil(F.greatest(F.least(F.ln(F.abs(v)) / F.lit(math.log(_growth(error))), F.lit(1e6)), F.lit(-1e6)))
+    known = requests.where(v.isNotNull() & ~F.isnan(v)).select(
+        F.window("request_ts", length)["start"].alias("window_start"), F.signum(v).cast("int").alias("sign"),
+        F.when(v == 0, 0).otherwise(power).cast("long").alias("bin"))
+    return known.groupBy(*BIN_KEYS).agg(F.count(F.lit(1)).alias("n"))
+
+
+def percentiles_from_bins(bins: DataFrame, probs: Sequence[float] = PERCENTILES, error: float = BIN_ERROR) -> DataFrame:
+    """(window_start, n, p…): the middle of the bin that holds the value of rank ⌈p·n⌉.
+
+    The rank is exact, the value is off by ``error`` of itself at most.
+    """
+    growth = _growth(error)
+    middle = F.col("sign") * F.lit(2 / (growth + 1)) * F.pow(F.lit(growth), F.col("bin"))
+    order = Window.partitionBy("window_start").orderBy("sign", F.col("sign") * F.col("bin"))
+    # One row per window and bin, however many values there were.
+    upto = bins.select("window_start", middle.alias("middle"), F.sum("n").over(order).alias("upto"),
+                       F.sum("n").over(Window.partitionBy("window_start")).alias("total"))
+    at = [F.min(F.when(F.col("upto") >= F.ceil(F.lit(p) * F.col("total")), F.struct("upto", "middle")))["middle"].alias(f"p{round(p * 100)}")
+          for p in probs]
+    return upto.groupBy("window_start").agg(F.max("total").alias("n"), *at)
+
+
+def percentile_updates(stream: DataFrame, value: str, out: str, checkpoint: str, length: str = "5 minutes", error: float = BIN_ERROR):
+    """Running counts of value bins per window."""
+    return additive_updates(stream, lambda batch: value_bins(batch, value, length, error), BIN_KEYS, out, checkpoint)
+
+
+def current_percentiles(spark: SparkSession, out: str, probs: Sequence[float] = PERCENTILES, error: float = BIN_ERROR) -> DataFrame:
+    return percentiles_from_bins(current_sums(spark, BIN_KEYS, out), probs, error)
 
 
 PSI_KEYS = ("day", "feature", "bin")
@@ -105,8 +166,12 @@ def counter_samples(requests: DataFrame, length: str = "1 minute", reset: str =
 
     Ordered within endpoint and period over the counts of windows, not over requests.
     """
-    period = F.window("window_start", reset)["start"]
-    counted = window_counts(requests, length).withColumn("period", period)
+    return samples_from_counts(window_counts(requests, length), reset)
+
+
+def samples_from_counts(counts: DataFrame, reset: str = "1 day") -> DataFrame:
+    """The same from counts of windows."""
+    counted = counts.withColumn("period", F.window("window_start", reset)["start"])
     upto = Window.partitionBy("endpoint", "period").orderBy("window_start")
     return counted.select("period", "window_start", "endpoint", F.sum("requests").over(upto).alias("value"))
 

@@ -1,4 +1,6 @@
 import json
+import math
+import random
 from datetime import datetime as dt
 
 import pytest
@@ -86,3 +88,49 @@ def test_windows_work_on_a_stream(spark, tiny, tmp_path):
     # The last window stays open, so only closed ones are compared.
     assert closed.exceptAll(batch).count() == 0
     assert batch.count() - closed.count() <= 5
+
+
+def test_counts_of_many_batches_give_increase_and_changes(spark, tiny, tmp_path):
+    requests = testdata.request_log(spark, tiny)
+    requests.repartition(6, F.xxhash64("latency_ms")).write.parquet(str(tmp_path / "in"))
+    stream = live.from_files(spark, str(tmp_path / "in"), requests.schema, max_files=1)
+    metrics.rate_updates(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    want = metrics.windowed_rate(requests, "24 hours", "1 hour").drop("per_second")
+    got = metrics.current_increase(spark, str(tmp_path / "out"))
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+    want = metrics.counter_changes(metrics.counter_samples(requests))
+    got = metrics.current_changes(spark, str(tmp_path / "out"))
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def near(got, want, error):
+    return abs(got - want) <= error * abs(want) * (1 + 1e-9)
+
+
+@pytest.mark.parametrize("error", [0.01, 0.05])
+def test_percentiles_of_a_stream_in_any_order(spark, tmp_path, error):
+    pick = random.Random(4)
+    values = [pick.lognormvariate(2, 2) for _ in range(700)] + [-pick.lognormvariate(0, 3) for _ in range(200)] + [0.0] * 60 + [1.0] * 40
+    pick.shuffle(values)
+    rows = [(dt(2024, 1, 1, k % 3, 7 * k % 60), "a", v) for k, v in enumerate(values)]
+    rows += [(dt(2024, 1, 1, 5), "a", None), (dt(2024, 1, 1, 5), "a", float("nan")), (dt(2024, 1, 1, 6), "a", float("inf")), (dt(2024, 1, 1, 6), "a", 1e-300)]
+    df = spark.createDataFrame(rows, "request_ts timestamp, endpoint string, latency_ms double")
+    results = []
+    for k, order in enumerate((F.col("request_ts"), F.col("request_ts").desc(), F.rand(3))):
+        df.repartitionByRange(5, order).write.parquet(str(tmp_path / f"in{k}"))
+        stream = live.from_files(spark, str(tmp_path / f"in{k}"), df.schema, max_files=1)
+        metrics.percentile_updates(stream, "latency_ms", str(tmp_path / f"out{k}"), str(tmp_path / f"cp{k}"), "1 hour", error).awaitTermination()
+        results.append(sorted(metrics.current_percentiles(spark, str(tmp_path / f"out{k}"), error=error).collect()))
+    assert results[0] == results[1] == results[2]
+    by_hour = {r.window_start.hour: r for r in results[0]}
+    assert sorted(by_hour) == [0, 1, 2, 6] and by_hour[6].n == 2
+    for hour in range(3):
+        exact = sorted(v for k, v in enumerate(values) if k % 3 == hour)
+        row = by_hour[hour]
+        assert row.n == len(exact)
+        for p, got in ((0.5, row.p50), (0.95, row.p95), (0.99, row.p99)):
+            assert near(got, exact[math.ceil(p * len(exact)) - 1], error)
+    spread = metrics.percentiles_from_bins(metrics.value_bins(df, "latency_ms", "1 hour", error), [k / 100 for k in range(1, 101)], error).collect()
+    for row in (r for r in spread if r.window_start.hour < 3):
+        exact = sorted(v for k, v in enumerate(values) if k % 3 == row.window_start.hour)
+        assert all(near(row[f"p{k}"], exact[math.ceil(k / 100 * len(exact)) - 1], error) for k in range(1, 101))
