@@ -14,8 +14,10 @@ from stacklens.operators.interactions import with_global_rank
 
 #: Rows that one task balances at a time.
 CHUNK = 5_000
-#: Small units that the landing decides anew beside the two left open.
+#: Drawn units that the landing may decide anew beside the two left open.
 LANDING = 12
+#: Share of the words due by which a landing may be off before it changes more drawn units.
+NEAR = 0.001
 EPS = 1e-9
 
 
@@ -78,12 +80,12 @@ def flight(p: np.ndarray, size: np.ndarray, random: np.random.Generator) -> np.n
     return p
 
 
-def landing(start: np.ndarray, p: np.ndarray, size: np.ndarray, small: int = LANDING) -> np.ndarray:
+def landing(start: np.ndarray, p: np.ndarray, size: np.ndarray, more: int = LANDING) -> np.ndarray:
     """Decides the at most two units left so that the words come nearest to what was due at the ``start``.
 
-    The ``small`` least units that were drawn (units come large first) are decided anew with them.
-    Of all choices whose number of units is less than one off what is due, or as near as
-    any, the one with the least error of words is taken, then the one with the fewest changes.
+    Up to ``more`` drawn units, spread evenly over the sizes, may be decided anew with them. Of all
+    choices whose number of units is less than one off what is due, or as near as any, those
+    with words within ``NEAR`` of what is due, or as near as any, are left; the fewest changes decide.
     """
     p = p.copy()
     open_before = (start > EPS) & (start < 1 - EPS)
@@ -91,14 +93,15 @@ def landing(start: np.ndarray, p: np.ndarray, size: np.ndarray, small: int = LAN
     if not open_now.any():
         return p
     drawn = np.flatnonzero(open_before & ~open_now & (size > 0))
-    loose = np.concatenate([np.flatnonzero(open_now), drawn[len(drawn) - min(small, len(drawn)):]])
+    loose = np.concatenate([np.flatnonzero(open_now), drawn[np.unique(np.linspace(0, len(drawn) - 1, min(more, len(drawn))).astype(int))]])
     due = float(((start - p) * size).sum() + (p[loose] * size[loose]).sum()), float((start - p).sum() + p[loose].sum())
     x = (np.arange(1 << len(loose))[:, None] >> np.arange(len(loose)) & 1).astype(float)
     units = np.abs(x.sum(axis=1) - due[1])
     x = x[units <= max(1 - EPS, units.min() + EPS)]
     changes = np.abs(x - p[loose]).sum(axis=1).round(6)
     words = np.abs(x @ size[loose] - due[0]).round(6)
-    p[loose] = x[np.lexsort((changes, words))[0]]
+    near = words <= max(words.min(), NEAR * float(start @ size))
+    p[loose] = x[near][np.lexsort((words[near], changes[near]))[0]]
     return p
 
 
@@ -171,7 +174,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A source's rate is its target over its size. Each document is taken floor(rate) times and
     once more with the rest as its probability; the cube method draws these so that the
     words and documents of a source come to what is due, but for the last two units, which
-    are set together with the smallest ones that were drawn.
+    are set together with up to twelve drawn ones.
     Null text has size 0; null is a source of its own, last in order; a source without
     words takes none. Repeated rows are documents of their own. An empty table gives no rows.
     """
