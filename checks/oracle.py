@@ -387,6 +387,26 @@ def _emb_similar(n: int) -> str:
 
 part("strength", """SELECT patron_id, book_id, CAST(least(count(loan_status) + 0.5 * sum(times_renewed), 5) AS DOUBLE) AS interaction_score
 FROM loans GROUP BY ALL""", "loans")
+_plain = [f"('0x' || substr(md5(book_id || '|{j}|42'), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS f{j}" for j in range(2)]
+part("plain_start", f"SELECT book_id, {', '.join(_plain)} FROM (SELECT DISTINCT book_id FROM strength)", "strength")
+
+
+def ridge_half(name: str, key: str, other: str, factors: str) -> None:
+    """Part ``name``: (key, f0, f1), the two equations of each key with ridge 0.1 solved by determinants."""
+    part(name, f"""SELECT {key}, (c * r0 - b * r1) / (a * c - b * b) AS f0, (a * r1 - b * r0) / (a * c - b * b) AS f1 FROM (
+  SELECT {key}, sum(f0 * f0) + 0.1::DOUBLE AS a, sum(f0 * f1) AS b, sum(f1 * f1) + 0.1::DOUBLE AS c,
+    sum(f0 * interaction_score) AS r0, sum(f1 * interaction_score) AS r1
+  FROM strength JOIN {factors} USING ({other}) WHERE interaction_score > 0 GROUP BY {key})""", "strength", factors)
+
+
+ridge_half("plain_u1", "patron_id", "book_id", "plain_start")
+ridge_half("plain_v1", "book_id", "patron_id", "plain_u1")
+ridge_half("plain_u", "patron_id", "book_id", "plain_v1")
+ridge_half("plain_v", "book_id", "patron_id", "plain_u")
+part("plain_dot", f"""SELECT patron_id, book_id, {r('u.f0 * v.f0 + u.f1 * v.f1', 9)} AS score FROM plain_u u CROSS JOIN plain_v v""", "plain_u", "plain_v")
+part("plain_like", f"""SELECT a.book_id, b.book_id AS similar_book_id,
+  {r('(a.f0 * b.f0 + a.f1 * b.f1) / sqrt((a.f0 * a.f0 + a.f1 * a.f1) * (b.f0 * b.f0 + b.f1 * b.f1))', 9)} AS score
+FROM plain_v a JOIN plain_v b ON a.book_id <> b.book_id""", "plain_v")
 part("popular", """SELECT u.patron_id, c.book_id, CAST(total_borrows AS DOUBLE) AS score
 FROM (SELECT DISTINCT patron_id FROM pairs) u CROSS JOIN catalog c""", "pairs", "catalog")
 part("train", f"SELECT * FROM loans WHERE checkout_date < TIMESTAMP '{HOLDOUT_START}'", "loans")
@@ -677,6 +697,15 @@ ORDER BY checkout_date DESC, book_id, loan_duration_days, loan_status LIMIT 20""
         "interaction_strength": w("SELECT * FROM strength", "strength"),
         "interaction_stats": w(f"""SELECT count(DISTINCT patron_id) AS n_patrons, count(DISTINCT book_id) AS n_books, count(*) AS n_filled,
   {r('count(*) * 100.0::DOUBLE / (count(DISTINCT patron_id) * count(DISTINCT book_id))', 4)} AS density_pct FROM strength""", "strength"),
+        "als_plain_factors": w(f"""SELECT 'patron' AS side, patron_id AS id, {r('f0', 6)} AS f0, {r('f1', 6)} AS f1 FROM plain_u
+UNION ALL SELECT 'book', book_id, {r('f0', 6)}, {r('f1', 6)} FROM plain_v""", "plain_u", "plain_v"),
+        "als_plain_recommend": w(best("plain_dot", 10), "plain_dot", "pairs"),
+        "als_plain_similar": w(f"""SELECT book_id, similar_book_id, {r('score', 4)} AS score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY score DESC, similar_book_id) AS rank FROM plain_like) WHERE rank <= 10""", "plain_like"),
+        "als_plain_loss": w(f"""SELECT count(*) FILTER (WHERE s IS NOT NULL) AS n_filled, {r('sqrt(avg((s - p) * (s - p)) FILTER (WHERE s IS NOT NULL))', 4)} AS observed_rmse,
+  {r('sqrt(var_pop(s))', 4)} AS mean_predictor_rmse, {r('avg((coalesce(s, 0) - p) * (coalesce(s, 0) - p))', 4)} AS full_matrix_mse
+FROM (SELECT interaction_score AS s, u.f0 * v.f0 + u.f1 * v.f1 AS p FROM plain_u u CROSS JOIN plain_v v
+  LEFT JOIN strength t ON t.patron_id = u.patron_id AND t.book_id = v.book_id)""", "plain_u", "plain_v", "strength"),
         "exclude_seen": w("SELECT * FROM relevant ANTI JOIN train_pairs USING (patron_id, book_id)", "relevant", "train_pairs"),
         "topn_popular_cold": w(best("train_popular_all", 10, pairs="train_pairs"), "train_popular_all", "train_pairs"),
         "topn_popular_unseen": w("SELECT * FROM popular_top10", "popular_top10"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stacklens.operators import (
-    als, behavioral, catalog, dashboard, drift, embeddings, evaluation, hybrid, monitoring, nearest, ranking,
+    als, behavioral, catalog, dashboard, drift, embeddings, evaluation, hybrid, least_squares, monitoring, nearest, ranking,
     requests, side_features, svd, temporal, tfidf, validation,
 )
 from stacklens.operators.interactions import interactions, matrix_stats, seen_pairs
@@ -551,6 +551,36 @@ def als_loss(spark, d):
     return als.loss(strengths, als.fit(strengths, 20, 10), 20)
 
 
+def _plain_als(strengths):
+    return least_squares.fit(strengths, 2, 2, 0.1, 42)
+
+
+@query
+def als_plain_factors(spark, d):
+    """Vectors of all patrons and books after two rounds with a plain ridge."""
+    model = _plain_als(_strengths(spark, d))
+    of = lambda factors, key, side: factors.select(F.lit(side).alias("side"), F.col(key).alias("id"), "vector")
+    both = of(model.patron_factors, "patron_id", "patron").unionByName(of(model.book_factors, "book_id", "book"))
+    return rounded(both.select("side", "id", *[F.get("vector", F.lit(i)).alias(f"f{i}") for i in range(2)]))
+
+
+@query
+def als_plain_recommend(spark, d):
+    strengths = cut_lineage(_strengths(spark, d))
+    return _plain_als(strengths).recommend(10, strengths.select("patron_id", "book_id"))
+
+
+@query
+def als_plain_similar(spark, d):
+    return _plain_als(_strengths(spark, d)).similar(10)
+
+
+@query
+def als_plain_loss(spark, d):
+    strengths = cut_lineage(_strengths(spark, d))
+    return als.loss(strengths, _plain_als(strengths), 2)
+
+
 @query
 def svd_recommend(spark, d):
     strengths = cut_lineage(_strengths(spark, d))
