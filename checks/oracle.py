@@ -623,6 +623,7 @@ def oracle_sql() -> dict[str, str]:
         "load_loans": w("SELECT * FROM loans", "loans"),
         "load_loans_csv": w("SELECT * FROM loans", "loans"),
         "feature_etl": w("SELECT * FROM temporal JOIN behavioral USING (patron_id)", "temporal", "behavioral"),
+        "incremental_etl_master": w("SELECT * FROM temporal JOIN behavioral USING (patron_id)", "temporal", "behavioral"),
         "load_pos": w("SELECT * FROM pos", "pos"),
         "load_pos_csv": w("SELECT * FROM pos", "pos"),
         "load_activity_csv": w("SELECT * FROM activity", "activity"),

@@ -14,7 +14,7 @@ from stacklens.operators import (
 )
 from stacklens.operators.interactions import interactions, matrix_stats, seen_pairs
 from stacklens.plans import feature_etl as etl
-from stacklens.plans import retraining
+from stacklens.plans import incremental_etl, retraining
 from stacklens.plans.feature_etl import content_docs
 from stacklens.session import configure, cut_lineage, shared_dir
 from stacklens.functions import calendar as cal
@@ -29,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 HYBRID_SETTINGS = hybrid.HybridSettings(weights={"popular": 0.6, "tfidf": 0.2, "embedding": 0.2})
+LOAD_SPLIT = "2000-07-01"
 HEALTH_AS_OF = "2001-11-04 12:00:00"
 TEMPORAL = temporal.TEMPORAL_COLUMNS
 CATALOG = ("patron_id", "book_id", "book_title", "genre", "checkout_date")
@@ -74,6 +75,19 @@ def feature_etl(spark, d):
     return spark.read.parquet(paths["master_features"])
 
 
+@query
+def incremental_etl_master(spark, d):
+    """The master table after two loads, the second of which runs twice, first with the rows of some patrons only."""
+    out = scratch(spark, "loads")
+    tables = ((td.loans(spark, d), "checkout_date"), (td.pos(spark, d), "transaction_date"), (td.activity(spark, d), "event_timestamp"))
+    is_later = lambda ts: F.coalesce(F.col(ts) >= F.lit(LOAD_SPLIT).cast("timestamp"), F.lit(False))
+    later = [df.where(is_later(ts)) for df, ts in tables]
+    incremental_etl.load_day(spark, 1, *[df.where(~is_later(ts)) for df, ts in tables], out, 16)
+    incremental_etl.load_day(spark, 2, *[df.where(F.pmod(F.xxhash64("patron_id"), F.lit(10)) == 0) for df in later], out)
+    incremental_etl.load_day(spark, 2, *later, out)
+    return incremental_etl.current_master(spark, out)
+
+
 @query
 def load_pos(spark, d):
     return td.pos(spark, d)
