@@ -821,6 +821,7 @@ FROM catalog c CROSS JOIN {terms50} v LEFT JOIN books50_weights w ON w.book_id =
     sql["svd_properties"] = w(f"SELECT {of_patrons}, 20 AS n_components, TRUE AS ratios_fit, TRUE AS values_fall FROM strength", "strength")
     sql["svd_similar_properties"] = w(f"SELECT {of_books} FROM strength", "strength")
     sql["side_feature_properties"] = f"SELECT {lists.format(k='c_custkey')} FROM customer"
+    sql["side_feature_joint_properties"] = f"SELECT {lists.format(k='c_custkey')}, TRUE AS above_mean FROM customer"
     sql["hybrid_full_properties"] = w("""SELECT count(DISTINCT patron_id) AS n_lists, TRUE AS ranks_run, TRUE AS scores_fall, 0 AS n_seen,
   TRUE AS short_enough, TRUE AS cap_kept FROM strength""", "strength")
     sql["hybrid_explain_properties"] = w("""SELECT count(DISTINCT patron_id) AS n_patrons, 3 * count(DISTINCT patron_id) AS n_rows,

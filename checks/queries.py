@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stacklens.operators import (
-    als, behavioral, catalog, dashboard, drift, embeddings, evaluation, hybrid, least_squares, monitoring, nearest, ranking,
-    requests, side_features, svd, temporal, tfidf, validation,
+    als, behavioral, catalog, dashboard, drift, embeddings, evaluation, hybrid, joint_features, least_squares, monitoring,
+    nearest, ranking, requests, side_features, svd, temporal, tfidf, validation,
 )
 from stacklens.operators.interactions import interactions, matrix_stats, seen_pairs
 from stacklens.plans import feature_etl as etl
@@ -716,6 +716,30 @@ def side_feature_properties(spark, d):
     return _list_properties(side_features.fit(train, patrons, books).recommend(10, seen_pairs(train)), seen_pairs(train))
 
 
+@query
+def side_feature_joint(spark, d):
+    """Lists of all customers from the jointly trained model."""
+    train, _ = _split(spark, d, ("patron_id", "book_id", "checkout_date", "times_renewed"))
+    train = cut_lineage(train)
+    patrons, books = _patrons_and_books(spark, d)
+    return joint_features.fit(train, patrons, books, 16, 10).recommend(10, seen_pairs(train))
+
+
+@query
+def side_feature_joint_properties(spark, d):
+    """Properties of those lists, and whether borrowed books score above the mean of all books for most loans."""
+    train, _ = _split(spark, d, ("patron_id", "book_id", "checkout_date", "times_renewed"))
+    train = cut_lineage(train)
+    patrons, books = _patrons_and_books(spark, d)
+    model = joint_features.fit(train, patrons, books, 16, 10)
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    mean = model.book_factors.agg(F.array(*[F.avg(F.get("vector", F.lit(i))) for i in range(17)]).alias("mean"))
+    scored = (seen_pairs(train).join(model.patron_factors.withColumnRenamed("vector", "u"), "patron_id")
+              .join(model.book_factors.withColumnRenamed("vector", "v"), "book_id").crossJoin(F.broadcast(mean)))
+    above = scored.agg((F.avg((dot("u", "v") > dot("u", "mean")).cast("double")) > 0.5).alias("above_mean"))
+    return _list_properties(model.recommend(10, seen_pairs(train)), seen_pairs(train)).crossJoin(above)
+
+
 @query
 def hybrid_full_properties(spark, d):
     engine = _engine(spark, d)

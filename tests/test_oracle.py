@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from checks import compare
 
 ORACLE = entry.oracle_sql()
-SLOW = {"hybrid_full", "hybrid_explain", "model_comparison", "retrain", "svd_recommend", "svd_similar", "svd_variance"}
+SLOW = {"hybrid_full", "hybrid_explain", "model_comparison", "retrain", "svd_recommend", "svd_similar", "svd_variance", "side_feature_joint"}
 
 
 @pytest.fixture(scope="module")
