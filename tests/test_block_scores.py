@@ -30,13 +30,13 @@ def test_no_row_is_copied_per_chunk_or_block(spark, monkeypatch):
 
 @pytest.mark.parametrize("cosine", [False, True])
 def test_ties_go_to_the_smaller_ids_whatever_the_blocks(spark, monkeypatch, cosine):
-    """Many equal scores, all zero for one query, over several tasks per chunk: as by brute force."""
+    """Many equal scores, all zero for one query: as by brute force."""
     rng = np.random.default_rng(6)
     queries = {f"Q{i:02}": rng.integers(-1, 2, 3).astype(float) for i in range(12)} | {"Q00": np.zeros(3)}
     items = {f"I{i:03}": rng.integers(-1, 2, 3).astype(float) for i in range(150)}
     banned = {(q, i) for q in queries for i in items if rng.random() < 0.2}
     _, rows = scored(spark, monkeypatch, queries, items, 7, banned, cosine, ITEMS_PER_BLOCK=25, QUERIES_PER_CHUNK=5,
-                     BLOCKS_PER_TASK=2, TILE_QUERIES=3, TILE_ITEMS=9, CROWDED=2)
+                     TILE_QUERIES=3, TILE_ITEMS=9, CROWDED=2)
     assert rows == brute_force(queries, items, 7, banned, cosine)
 
 

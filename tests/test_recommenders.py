@@ -255,3 +255,21 @@ def test_encoder_hook(spark):
 
 def test_catalog_counts(loans):
     assert book_catalog(loans).agg(F.sum("total_borrows")).first()[0] == loans.count()
+
+
+def test_svd_steps_shuffle_nothing_where_vectors_are_frames(spark):
+    """Cells times vectors by a product of blocks without an exchange, also where a block of cells is read in several parts."""
+    rng = np.random.default_rng(8)
+    a = rng.integers(0, 3, size=(23, 17)) * (rng.random((23, 17)) < 0.4)
+    a[:, 0] = 1
+    rows = [(i, j, float(a[i, j])) for i in range(23) for j in range(17) if a[i, j]]
+    cells = svd._cell_blocks(spark.createDataFrame(rows, "p int, b int, weight double"), "p", "b", 4, 3)
+    thin, rotation = rng.normal(size=(17, 5)), rng.normal(size=(5, 5))
+    vectors = svd._vector_blocks(spark.createDataFrame([(j, v.tolist()) for j, v in enumerate(thin)], "idx int, vector array<double>"), 3)
+    for split in (cells, cells.repartition(7)):
+        found = svd._times(split, vectors, rotation, 23, 4)
+        image = np.zeros((23, 5))
+        for r in found.collect():
+            image[r["block"]::4] = np.frombuffer(r["vectors"]).reshape(-1, 5)
+        assert image == pytest.approx(a @ thin @ rotation)
+    assert svd._gram(found, 5) == pytest.approx(image.T @ image)
