@@ -45,3 +45,19 @@ def test_close_scores_keep_their_order_in_double_precision(spark, monkeypatch):
     items = {f"I{i:03}": np.array([1.0, 1e-8 * ((i * 37) % 200)]) for i in range(200)}
     _, rows = scored(spark, monkeypatch, {"Q": np.array([1.0, 1.0])}, items, 6, TILE_ITEMS=10, ITEMS_PER_BLOCK=50)
     assert {(i, rank) for _, i, _, rank in rows} == {(k, r + 1) for r, k in enumerate(sorted(items, key=lambda k: -items[k][1])[:6])}
+
+
+def test_scores_of_given_pairs_shuffle_no_vector(spark, monkeypatch):
+    """Products of the pairs alone, unknown ids left out; no exchange beside the packing of pairs and vectors."""
+    for name, size in (("ITEMS_PER_BLOCK", 15), ("QUERIES_PER_CHUNK", 7)):
+        monkeypatch.setattr(block_scores, name, size)
+    rng = np.random.default_rng(8)
+    queries, items = ({f"{p}{i:02}": rng.normal(size=3) for i in range(40)} for p in "QI")
+    pairs = {(q, i) for q in queries for i in items if rng.random() < 0.1} | {("Q00", "none"), ("none", "I00"), (None, "I00")}
+    asked = spark.createDataFrame(list(pairs), "q string, i string")
+    found = block_scores.pair_scores(frame(spark, queries, "q"), frame(spark, items, "i"), asked, "q", "i")
+    final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "CartesianProduct" in final and "Join" not in final
+    got = {(r.q, r.i): r.score for r in found.collect()}
+    want = {(q, i): float(queries[q] @ items[i]) for q, i in pairs if q in queries and i in items}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
