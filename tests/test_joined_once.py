@@ -6,7 +6,7 @@ from checks import queries
 from stacklens.sources import testdata
 
 
-@pytest.mark.parametrize("name, most", [("system_status", 2)])
+@pytest.mark.parametrize("name, most", [("system_status", 2), ("incremental_etl_master", 1)])
 def test_loans_are_joined_once(spark, tiny, monkeypatch, name, most):
     joined, kept = testdata.loans, queries.cut_lineage
     read, written = [], []
