@@ -61,3 +61,26 @@ def test_scores_of_given_pairs_shuffle_no_vector(spark, monkeypatch):
     got = {(r.q, r.i): r.score for r in found.collect()}
     want = {(q, i): float(queries[q] @ items[i]) for q, i in pairs if q in queries and i in items}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_a_first_block_is_screened_too(monkeypatch):
+    """With many items wanted the first block is not gone through in double precision as a whole, and the lists are right."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    row = lambda n, name: {"ids": pa.array([f"{name}{i:05}" for i in range(n)]), "lengths": np.full(n, 6, np.int32).tobytes(),
+                           "positions": None, "weights": rng.normal(size=(n, 6)).tobytes()}
+    queries, items = row(40, "Q"), row(20_000, "I") | {"block": 0}
+    banned = np.sort(rng.integers(20_000, size=80)).astype(np.int64)
+    queries |= {"extra": np.zeros(40, np.int32).tobytes(), "ban_rows": np.repeat(np.arange(40), 2).astype(np.int32).tobytes(),
+                "ban_starts": np.array([0, 80], np.int64).tobytes(), "ban_items": items["ids"].take(pa.array(banned))}
+    best, made = block_scores._Best(queries, 50, False), []
+    dense = block_scores._Vectors.dense
+    monkeypatch.setattr(block_scores._Vectors, "dense", lambda self, *a: (made.append((self.size, a[3])), dense(self, *a))[1])
+    best.meet(items)
+    assert (20_000, np.float64) not in made
+    found = best.result(["q", "i"]).to_pydict()
+    scores = np.round(np.frombuffer(queries["weights"]).reshape(40, 6) @ np.frombuffer(items["weights"]).reshape(-1, 6).T, 9)
+    scores[np.repeat(np.arange(40), 2), banned] = -np.inf
+    want = np.argsort(-scores, axis=1, kind="stable")[:, :50]
+    assert found["i"] == [f"I{i:05}" for i in want.ravel()] and found["rank"] == list(range(1, 51)) * 40
