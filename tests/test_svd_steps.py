@@ -51,3 +51,31 @@ def test_blocks_read_in_several_parts(spark, monkeypatch):
     model = svd.fit(strengths, 5, thin_bytes=0)
     expected = np.linalg.svd(_matrix(strengths), compute_uv=False)[:5]
     assert np.allclose(model.singular_values, expected, rtol=1e-4)
+
+
+def test_vectors_travel_in_rows_of_bounded_size(spark, monkeypatch):
+    """Several rows of vectors per block, hot rows and all: as by NumPy, and every block in a task of its own."""
+    monkeypatch.setattr(svd, "ROW_BYTES", 400, raising=False)
+    monkeypatch.setattr(svd, "LEAST_CELLS", 300)
+    for name, size in (("TURNS", 2), ("CELLS_AT_ONCE", 8)):
+        monkeypatch.setattr(svd, name, size, raising=False)
+    strengths = _strengths(spark, 70, 50)
+    read, times = [], svd._times
+    monkeypatch.setattr(svd, "_times", lambda cells, vectors, *a: (read.append((cells, vectors)), times(cells, vectors, *a))[1])
+    model = svd.fit(strengths, 5, 8, thin_bytes=0)
+    assert np.allclose(model.singular_values, np.linalg.svd(_matrix(strengths), compute_uv=False)[:5], rtol=1e-3)
+    cells, vectors = read[1]
+    n_blocks = cells.select("block").distinct().count()
+    assert n_blocks > 1 and vectors.count() > n_blocks
+    assert max(len(r.vectors) for r in vectors.collect()) <= 800
+    assert len({r.block for r in model_blocks(spark, cells)}) == len(model_blocks(spark, cells))
+
+
+def model_blocks(spark, cells):
+    """(block, partition) pairs of the cells as a step reads them."""
+    from pyspark.sql import functions as F
+
+    from stacklens.session import file_per_task
+
+    with file_per_task(spark):
+        return cells.select("block", F.spark_partition_id().alias("part")).distinct().collect()
