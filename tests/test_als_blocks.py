@@ -53,3 +53,16 @@ def test_split_blocks_are_put_together(spark):
     cells = svd._cell_blocks(spark.createDataFrame([(i % 9, i // 9, 1.0) for i in range(81)], "user int, item int, weight double"), "user", "item", 3, 3)
     whole = als_blocks.held_whole(cells.repartition(9), 3)
     assert max(len({r.block for r in part}) for part in whole.rdd.glom().collect()) <= 1
+
+
+def test_vectors_in_small_rows_give_the_same_factors(spark, monkeypatch, rows):
+    """Whatever the rows in which vectors travel; a task keeps the vector of each of its cells once."""
+    monkeypatch.setattr(als, "MLLIB_CELLS", 0)
+    monkeypatch.setattr(als_blocks, "HELD_CELLS", 200)
+    strengths = spark.createDataFrame(rows, "patron_id string, book_id string, interaction_score double")
+    found = []
+    for size in (1 << 20, 64):
+        monkeypatch.setattr(svd, "ROW_BYTES", size)
+        model = als.fit(strengths, 4, 2, 0.05, 7)
+        found.append({r[0]: r.vector for f in (model.patron_factors, model.book_factors) for r in f.collect()})
+    assert found[0].keys() == found[1].keys() and all(found[1][k] == pytest.approx(v, abs=1e-9) for k, v in found[0].items())
