@@ -84,3 +84,26 @@ def test_a_first_block_is_screened_too(monkeypatch):
     scores[np.repeat(np.arange(40), 2), banned] = -np.inf
     want = np.argsort(-scores, axis=1, kind="stable")[:, :50]
     assert found["i"] == [f"I{i:05}" for i in want.ravel()] and found["rank"] == list(range(1, 51)) * 40
+
+
+def test_items_too_short_to_reach_a_list_are_skipped(spark, monkeypatch):
+    """Products are bounded by lengths, so few of the items of a later block are multiplied; lists as by brute force, ties and empty vectors too."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    lengths = rng.pareto(1.0, 400) + 0.01
+    queries = {f"Q{i:02}": rng.normal(size=3) * (i % 5) for i in range(30)}
+    items = {f"I{i:03}": np.round(rng.normal(size=3) * length, 1) for i, length in enumerate(lengths)}
+    banned = {(q, i) for q in queries for i in items if rng.random() < 0.2}
+    _, rows = scored(spark, monkeypatch, queries, items, 4, banned, ITEMS_PER_BLOCK=100, QUERIES_PER_CHUNK=7, TILE_QUERIES=3, TILE_ITEMS=20)
+    assert rows == brute_force(queries, items, 4, banned, False)
+    pack = lambda vectors, names: {"ids": pa.array(names), "lengths": np.full(len(names), 3, np.int32).tobytes(),
+                                   "positions": None, "weights": np.array(vectors).tobytes()}
+    best = block_scores._Best(pack(list(queries.values()), list(queries)) | {
+        "extra": np.zeros(30, np.int32).tobytes(), "ban_rows": b"", "ban_starts": np.zeros(3, np.int64).tobytes(), "ban_items": pa.array([], pa.string())}, 4, False)
+    seen, screened = [], block_scores._Best._screened
+    monkeypatch.setattr(block_scores._Best, "_screened", lambda self, single, columns, *a: (seen.append(columns.shape[1]), screened(self, single, columns, *a))[1])
+    names = list(items)
+    for block, part in enumerate((names[:200], names[200:])):
+        best.meet(pack([items[i] for i in part], part) | {"block": block})
+    assert min(seen) < 100
